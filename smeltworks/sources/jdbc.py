@@ -1,0 +1,24 @@
+"""Optional warehouse access over JDBC. Needs a driver jar on the classpath."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    key: str,
+    low: int,
+    high: int,
+    partitions: int,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """Read a table in parallel slices of an integer key."""
+    return spark.read.jdbc(
+        url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions, properties=properties
+    )
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
+    """Append in batches of 1000 rows per round trip."""
+    df.write.option("batchsize", 1000).jdbc(url, table, mode="append", properties=properties)
