@@ -125,7 +125,7 @@ def _valid(*ids: str) -> str:
 
 
 def _number(c: str, to: str, default: str) -> str:
-    return f"CASE WHEN regexp_full_match({c}, '[0-9]+\\.?[0-9]*') THEN CAST({c} AS {to}) ELSE {default} END"
+    return f"CASE WHEN regexp_full_match({c}, '[0-9]+\\.?[0-9]*') THEN CAST({c} AS {to}) ELSE CAST({default} AS {to}) END"
 
 
 def _whole(c: str, default: int) -> str:
@@ -278,7 +278,7 @@ FROM c_orders l LEFT JOIN first_batch f ON l.order_id = f.order_id"""
     )
     by_day = "SELECT order_date AS revenue_date, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(15,2)) AS gross_revenue"
     events_json = """
-SELECT event_type, count(*) AS events, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_total,
+SELECT event_type, count(*) AS events, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total,
        max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_max
 FROM events GROUP BY event_type"""
     return {
@@ -365,6 +365,7 @@ FROM (SELECT *, CAST(sum(month_revenue) OVER (PARTITION BY customer_id) AS DECIM
 WHERE place = 1""",
         # silver
         "silver_customers": _cleaned(f"SELECT {_CUSTOMER_COLUMNS} FROM c_customers"),
+        "customers_full_refresh": _cleaned(f"SELECT {_CUSTOMER_COLUMNS} FROM c_customers"),
         "silver_products": _cleaned(
             "SELECT product_id, product_name, category, price, cost, margin_pct, stock_qty, source_batch FROM c_products"
         ),
@@ -445,6 +446,11 @@ GROUP BY 1""",
 SELECT 'medallion' AS pipeline_name, 'all' AS layer, 'SUCCESS' AS status,
        (SELECT count(*) FROM c_customers) AS customers, (SELECT count(*) FROM c_products) AS products,
        (SELECT count(*) FROM c_orders) AS orders, (SELECT count(*) FROM c_items) AS order_items""",
+        "order_summary_view": _ctes(*clean_ctes()) + """
+SELECT o.order_id, o.order_date, o.status, o.total_amount, c.full_name AS customer_name, c.email, c.tier, c.country,
+       count(i.order_item_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(15,2)) AS calculated_total
+FROM c_orders o JOIN c_customers c ON o.customer_id = c.customer_id JOIN c_items i ON o.order_id = i.order_id
+GROUP BY o.order_id, o.order_date, o.status, o.total_amount, c.full_name, c.email, c.tier, c.country""",
         "catalog_query": _from_monthly("SELECT year_month, gross_revenue, order_count FROM monthly WHERE order_count > 100"),
         # plain SQL the warehouse offers
         "month_gaps": _silver() + """

@@ -75,12 +75,17 @@ def _performance(spark, d, **options) -> DataFrame:
 def _clean(spark, d, name: str) -> DataFrame:
     raw = bronze(spark, d, f"raw_{name}")
     if name == "orders":
-        return cleaning.clean_orders(raw, _clean(spark, d, "customers"))
+        return cleaning.clean_orders(raw, _kept(spark, d, "customers"))
     if name == "order_items":
-        return cleaning.clean_order_items(raw, _clean(spark, d, "orders"), _clean(spark, d, "products"))
+        return cleaning.clean_order_items(raw, _kept(spark, d, "orders"), _kept(spark, d, "products"))
     return cleaning.CLEANERS[name](raw)
 
 
+def _kept(spark, d, name: str) -> DataFrame:
+    """A cleaned table as the silver layer holds it: stored."""
+    return materialise(_clean(spark, d, name), name)
+
+
 def _shown(df: DataFrame) -> DataFrame:
     """Silver rows without load-time columns; the creation time as text."""
     out = df.withColumnRenamed("_source_batch", "source_batch").drop("_silver_loaded_at", "_is_valid")
@@ -102,7 +107,7 @@ def _batch(df: DataFrame, number: int) -> DataFrame:
 
 def silver_orders_hot_customers(spark, d) -> DataFrame:
     """Orders cleaned with the split join switched on for every customer the sample finds."""
-    raw, customers = bronze(spark, d, "raw_orders"), _clean(spark, d, "customers")
+    raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
     hot = hot_hashes(raw.select(F.lower("customer_id").alias("customer_id")), ["customer_id"], split_above=0, min_hits=2)
     return _shown(cleaning.clean_orders(raw, customers, hot={"customer_id": hot}))
 
@@ -116,13 +121,14 @@ def order_history_hot_customers(spark, d) -> DataFrame:
 
 def rejected_orders(spark, d) -> DataFrame:
     """Orders that do not reach silver, with reasons."""
-    lost = cleaning.rejects("orders", bronze(spark, d, "raw_orders"), {"customers": _clean(spark, d, "customers")})
+    lost = cleaning.rejects("orders", bronze(spark, d, "raw_orders"), {"customers": _kept(spark, d, "customers")})
     return lost.select("order_id", F.col("_batch_id").alias("batch_id"), F.concat_ws("; ", "_errors").alias("reasons"))
 
 
 def orphan_items(spark, d) -> DataFrame:
     """Items whose order is not completed: an anti join against a part of the parent table."""
-    items, orders = _clean(spark, d, "order_items"), _clean(spark, d, "orders")
+    orders, raw = _kept(spark, d, "orders"), bronze(spark, d, "raw_order_items")
+    items = cleaning.clean_order_items(raw, orders, _kept(spark, d, "products"))
     return orphans(items, orders.where("status = 'completed'"), ["order_id"]).select(
         "order_item_id", "order_id", "quantity"
     )
@@ -179,12 +185,20 @@ def upsert_customers(spark, d) -> DataFrame:
 def upsert_orders(spark, d) -> DataFrame:
     """Upsert of some columns: creation times stay as first loaded."""
     target, raw = _stored(spark, silver_spec("orders", 8)), bronze(spark, d, "raw_orders")
-    customers = _clean(spark, d, "customers")
+    customers = _kept(spark, d, "customers")
     for number in (1, 2):
         loads.upsert(target, cleaning.clean_orders(_batch(raw, number), customers))
     return _shown(target.read())
 
 
+def customers_full_refresh(spark, d) -> DataFrame:
+    """The customer model rebuilt in full, twice."""
+    target, raw = _stored(spark, CUSTOMERS), bronze(spark, d, "raw_customers")
+    loads.replace_table(target, cleaning.clean_customers(_batch(raw, 1)))
+    loads.replace_table(target, cleaning.clean_customers(raw))
+    return _shown(target.read())
+
+
 def insert_new_orders(spark, d) -> DataFrame:
     """Known orders are left alone, the others come in with amount 0."""
     orders = silver(spark, d, "orders")
@@ -230,7 +244,7 @@ def backfill_range(spark, d) -> DataFrame:
 
 
 def _incremental(spark, d, buffer: datetime.timedelta) -> DataFrame:
-    raw, customers = bronze(spark, d, "raw_orders"), _clean(spark, d, "customers")
+    raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
     source, target = _stored(spark, BRONZE["raw_orders"]), _stored(spark, silver_spec("orders", 8))
     log = RunLog(spark, scratch_path(spark, "runs"))
     for number in (1, 2):
@@ -245,7 +259,7 @@ def _incremental(spark, d, buffer: datetime.timedelta) -> DataFrame:
 
 def stream_orders(spark, d, arrival: tuple[int, ...]) -> DataFrame:
     """Bronze files taken in by a stream, one run per arriving batch, newest row per order kept."""
-    raw, customers = bronze(spark, d, "raw_orders"), materialise(_clean(spark, d, "customers").select("customer_id"))
+    raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
     stamps = [T.StructField("_ingested_at", T.TimestampType()), T.StructField("_id", T.LongType())]
     schema = T.StructType([*ORDERS.schema.fields, *stamps])
     everything = tuple(c for c in schema.names if c != "order_id")
@@ -300,11 +314,13 @@ def sales_month(spark, d) -> DataFrame:
 
 def quality_checks(spark, d) -> DataFrame:
     """Failing rows per rule, one pass per table."""
+    kept, raw = _kept(spark, d, "orders"), bronze(spark, d, "raw_order_items")
+    cleaned = cleaning.clean_order_items(raw, kept, _kept(spark, d, "products"))
     orders = constraints.check_quality(
-        _clean(spark, d, "orders"),
+        kept,
         {"amount is positive": "total_amount > 0", "creation time is present": "created_at IS NOT NULL"},
     )
-    items = constraints.check_quality(_clean(spark, d, "order_items"), {"discount is not full": "discount < 100"})
+    items = constraints.check_quality(cleaned, {"discount is not full": "discount < 100"})
     return orders.select(F.lit("orders").alias("table_name"), "*").unionByName(
         items.select(F.lit("order_items").alias("table_name"), "*")
     )
@@ -375,6 +391,12 @@ WITH monthly AS (
 SELECT year_month, gross_revenue, order_count FROM monthly WHERE order_count > 100""")
 
 
+def order_summary_view(spark, d) -> DataFrame:
+    """The helper view, by its catalog name, over the tables of the whole run."""
+    medallion.register(_ran(spark, d))
+    return spark.sql("SELECT * FROM silver.v_order_summary")
+
+
 # -- plain SQL
 
 
@@ -453,6 +475,7 @@ def registry() -> dict:
         "validate_bronze": validate_bronze,
         "upsert_customers": upsert_customers,
         "upsert_orders": upsert_orders,
+        "customers_full_refresh": customers_full_refresh,
         "insert_new_orders": insert_new_orders,
         "replace_table": replace_table,
         "replace_partition": replace_partition,
@@ -470,6 +493,7 @@ def registry() -> dict:
         "medallion_product_performance": lambda s, d: _ran(s, d).gold("product_performance").read().drop("_computed_at"),
         "run_log": run_log,
         "catalog_query": catalog_query,
+        "order_summary_view": order_summary_view,
         "month_gaps": month_gaps,
         "events_json": events_json,
     }

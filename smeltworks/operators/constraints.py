@@ -46,19 +46,23 @@ def enforce(df: DataFrame, spec: TableSpec, on_error: str = "fail") -> DataFrame
     ``fail``: the first broken row fails the job that reads the result. ``quarantine``: broken rows are left
     out; get them from ``rejected``.
     """
-    return split_errors(df.withColumn("_errors", row_errors(spec)), on_error)
+    return split_errors(df.withColumn("_errors", row_errors(spec)), spec.keys[0], on_error)
 
 
-def split_errors(df: DataFrame, on_error: str) -> DataFrame:
-    """Drop the ``_errors`` column by policy."""
+def split_errors(df: DataFrame, key: str, on_error: str) -> DataFrame:
+    """Drop the ``_errors`` column by policy.
+
+    Under ``fail`` the check rides on the key column, so it is made for exactly the rows that leave here, and in
+    every job that reads the key, as all loads do. A filter would be pushed below the joins before it and trip
+    over rows that they drop.
+    """
     if on_error == "quarantine":
         return df.where(F.size("_errors") == 0).drop("_errors")
     if on_error != "fail":
         raise ValueError(f"on_error is 'fail' or 'quarantine', not {on_error!r}")
     message = F.concat(F.lit("constraint violation: "), F.concat_ws(", ", "_errors"))
-    # A filter, not a column, so that no projection can prune the check away.
-    holds = F.when(F.size("_errors") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return df.where(holds).drop("_errors")
+    failed = F.raise_error(message).cast(df.schema[key].dataType)
+    return df.withColumn(key, F.when(F.size("_errors") > 0, failed).otherwise(F.col(key))).drop("_errors")
 
 
 def rejected(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -98,7 +102,7 @@ def enforce_unique(
         clashes = contested(batch, target, column, key)
         if target is not None:
             # Values the batch does not touch are the target's own business.
-            clashes = clashes.join(batch.select(column), column, "left_semi")
+            clashes = clashes.join(batch.select(column).distinct(), column, "left_semi")
         if on_error == "fail":
             if clashes.limit(1).count():
                 raise ConstraintViolation(f"{spec.name}.{column} is not unique")

@@ -17,6 +17,7 @@ from smeltworks.operators.loads import LoadMetrics, replace_table, upsert
 from smeltworks.operators.skew import orphans
 from smeltworks.plans import gold, silver
 from smeltworks.schemas import BRONZE, GOLD, SILVER, silver_spec
+from smeltworks.sources import catalog
 from smeltworks.sources.runs import RunLog
 from smeltworks.sources.scratch import materialise
 from smeltworks.sources.tables import StoredTable
@@ -51,6 +52,17 @@ class Warehouse:
         return RunLog(self.spark, f"{self.root}/bronze/pipeline_runs")
 
 
+def register(house: Warehouse) -> None:
+    """Put every loaded table and the helper view into the session catalog under its layer name."""
+    catalog.create_layers(house.spark)
+    for layer, names in (("bronze", BRONZE), ("silver", SILVER), ("gold", GOLD)):
+        for name in names:
+            table = getattr(house, layer)(name)
+            if table.snapshot().dirs:
+                catalog.register(table, f"{layer}.{name}")
+    catalog.create_views(house.spark)
+
+
 def validate_bronze(house: Warehouse) -> DataFrame:
     """Fail if a bronze table is empty; else the row count of each."""
     tables = {name: house.bronze(name).read() for name in BRONZE}

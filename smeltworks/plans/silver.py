@@ -145,7 +145,7 @@ def _clean(
     for c, parent in rule.parents.items():
         split = _hot_parents(bronze, c) if hot is None else hot.get(c, [])
         rows = join_unique(rows, parents[parent].select(c), [c], "left_semi", hot=split)
-    good = split_errors(_typed(rows, rule), on_error)
+    good = split_errors(_typed(rows, rule), rule.ids[0], on_error)
     return good.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in rule.spec.schema])
 
 
@@ -190,7 +190,7 @@ def project_orders(bronze: DataFrame, customers: DataFrame, on_error: str = "fai
     """
     rule = _rules()["orders"]
     known = _eligible(bronze, rule).join(customers.select("customer_id"), "customer_id", "left_semi")
-    good = split_errors(_typed(known, rule), on_error)
+    good = split_errors(_typed(known, rule), rule.ids[0], on_error)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in rule.spec.schema]
     return good.select(*typed, *NEWEST_FIRST)
 

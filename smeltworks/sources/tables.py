@@ -91,6 +91,12 @@ class StoredTable:
             df = self.spark.createDataFrame([], self.full_schema)
         return df.select(*(self.full_schema.names if helpers else self.spec.schema.names))
 
+    def leaves_from(self, snapshot: Snapshot, low: str) -> set[str]:
+        """Directories whose outermost level is at least ``low``, compared as text."""
+        prefix = f"{self.partition_cols[0]}="
+        leaves = {_leaf(d) for d in snapshot.dirs}
+        return {leaf for leaf in leaves if leaf.partition("/")[0].removeprefix(prefix) >= low}
+
     # -- writing
 
     def with_partition(self, df: DataFrame) -> DataFrame:

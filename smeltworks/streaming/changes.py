@@ -79,7 +79,11 @@ class ChangeStream:
     def apply(self, name: str) -> LoadMetrics:
         """Upsert one change set and mark it applied."""
         # Read through the sink's own log: files of a broken run that were never committed are not in it.
-        changes = self.spark.read.parquet(f"{self.home}/changes").where(F.col(SET) == name).drop(SET)
+        path = f"{self.home}/changes"
+        if not self._fs.exists(self._path(f"{path}/_spark_metadata")):
+            return LoadMetrics()
+        schema = T.StructType([*self.target.spec.schema.fields, T.StructField(SET, T.StringType())])
+        changes = self.spark.read.schema(schema).parquet(path).where(F.col(SET) == name).drop(SET)
         latest = latest_by(changes, list(self.target.spec.keys), self.newest_first)
         metrics = upsert(self.target, latest, order_col=self.order_col)
         self._fs.mkdirs(self._path(f"{self.home}/applied/{SET}={name}"))

@@ -13,11 +13,12 @@ from smeltworks.sources.tables import StoredTable
 NO_BUFFER = datetime.timedelta(0)
 
 
-def newer_than(bronze: DataFrame, mark: datetime.datetime) -> DataFrame:
-    """Rows ingested after ``mark``. The directory column is compared too, so old days are not read; a day is
+def newer_than(bronze: StoredTable, mark: datetime.datetime) -> DataFrame:
+    """Rows of one snapshot ingested after ``mark``. Directories of older days are not even listed; a day is
     allowed for sessions in another time zone."""
-    stamp = F.lit(mark)
-    return bronze.where((F.col("_ingested_at") > stamp) & (F.col("_ingest_date") >= F.date_sub(stamp, 1)))
+    state = bronze.snapshot()
+    recent = bronze.leaves_from(state, str(mark.date() - datetime.timedelta(days=1)))
+    return bronze.read(state, recent).where(F.col("_ingested_at") > F.lit(mark))
 
 
 def incremental_load(
@@ -38,7 +39,7 @@ def incremental_load(
     started = datetime.datetime.now(datetime.timezone.utc)
     mark = log.last_watermark(pipeline)
     since = mark if mark == EPOCH else mark - buffer
-    fresh = newer_than(bronze.read(bronze.snapshot(), helpers=True), since).drop("_ingest_date")
+    fresh = newer_than(bronze, since)
     top = fresh.agg(F.max("_ingested_at").cast("double").alias("seconds")).first().seconds
     if top is None:
         log.log_run(pipeline, "silver", "SUCCESS", LoadMetrics(), started_at=started, watermark=mark)
