@@ -7,6 +7,8 @@ from smeltworks.sources.scratch import input_bytes
 
 # Inputs up to this size are never split: AQE's own threshold for calling a partition skewed.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
+# Spark's own guess for relations without statistics is about 2^63; those are counted in full.
+UNKNOWN_BYTES = 1 << 60
 # A key seen this often in the sample is split.
 MIN_HITS = 1000
 # At most this many keys can each hold more than a thousandth of the rows.
@@ -31,7 +33,8 @@ def hot_hashes(
     size = input_bytes(df)
     if size <= split_above:
         return []
-    fraction = max(min(1.0, SPLIT_ABOVE_BYTES / max(size, 1)), 1e-6)
+    known = size < UNKNOWN_BYTES
+    fraction = max(min(1.0, SPLIT_ABOVE_BYTES / max(size, 1)), 1e-6) if known else 1.0
     counted = (
         df.select(key_hash(keys).alias("h"))
         .sample(fraction=fraction, seed=17)
