@@ -48,13 +48,13 @@ DAILY = (
     f"""
 SELECT o.order_date AS revenue_date, count(DISTINCT o.order_id) AS order_count,
        CAST(sum(i.line_total) AS DECIMAL(15,2)) AS gross_revenue,
-       CAST(sum(CASE WHEN {OK} THEN i.line_total ELSE 0 END) AS DECIMAL(15,2)) AS net_revenue,
+       CAST(coalesce(sum(i.line_total) FILTER (WHERE {OK}), 0) AS DECIMAL(15,2)) AS net_revenue,
        {avg2("o.total_amount")} AS avg_order_value,
        count(DISTINCT o.customer_id) AS unique_customers,
-       count(DISTINCT CASE WHEN o.order_date = f.first_date THEN o.customer_id END) AS new_customers
-FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id
-LEFT JOIN (SELECT customer_id, min(order_date) AS first_date FROM silver_orders GROUP BY customer_id) f
-       ON o.customer_id = f.customer_id
+       count(DISTINCT o.customer_id) FILTER (WHERE NOT EXISTS (
+         SELECT 1 FROM silver_orders e WHERE e.customer_id = o.customer_id AND e.order_date < o.order_date
+       )) AS new_customers
+FROM silver_orders o JOIN silver_items i USING (order_id)
 GROUP BY o.order_date""",
 )
 
@@ -235,14 +235,15 @@ FROM ltv WHERE total_orders > 0"""
 
 
 _HISTORY = """
-SELECT customer_id, order_id, order_date, total_amount,
-       first_value(order_date) OVER w AS first_order_date, last_value(order_date) OVER w AS last_order_date,
-       row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS order_number,
-       CAST(order_date - lag(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS INT)
-         AS days_since_last_order
-FROM silver_orders WHERE status = 'completed'
-WINDOW w AS (PARTITION BY customer_id ORDER BY order_date, order_id
-             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+, done AS (SELECT customer_id, order_id, order_date, total_amount,
+                  row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS order_number
+           FROM silver_orders WHERE status = 'completed'),
+span AS (SELECT customer_id, min(order_date) AS first_order_date, max(order_date) AS last_order_date
+         FROM done GROUP BY customer_id)
+SELECT d.*, s.first_order_date, s.last_order_date,
+       CAST(date_diff('day', p.order_date, d.order_date) AS INT) AS days_since_last_order
+FROM done d JOIN span s USING (customer_id)
+LEFT JOIN done p ON p.customer_id = d.customer_id AND p.order_number = d.order_number - 1"""
 
 _LAG = "lag(gross_revenue, {}) OVER (ORDER BY year_month)"
 
@@ -261,7 +262,7 @@ def sql() -> dict[str, str]:
     monthly_calendar = f"""
 SELECT {_MONTH_COLUMNS}, {growth("m.gross_revenue", "p.gross_revenue", 2, "DECIMAL(6,2)")} AS mom_growth_pct
 FROM monthly m LEFT JOIN monthly p
-  ON p.year = m.year AND p.month = m.month - 1 OR (p.year = m.year - 1 AND m.month = 1 AND p.month = 12)"""
+  ON make_date(p.year, p.month, 1) + INTERVAL 1 MONTH = make_date(m.year, m.month, 1)"""
     upserted = _ctes(*clean_ctes()) + f"""
 , first_batch AS (
 SELECT lower(order_id) AS order_id, CAST(CAST(created_at AS TIMESTAMP) AS STRING) AS created_at

@@ -108,14 +108,14 @@ def _batch(df: DataFrame, number: int) -> DataFrame:
 def silver_orders_hot_customers(spark, d) -> DataFrame:
     """Orders cleaned with the split join switched on for every customer the sample finds."""
     raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
-    hot = hot_hashes(raw.select(F.lower("customer_id").alias("customer_id")), ["customer_id"], split_above=0, min_hits=2)
+    hot = hot_hashes(raw.select(F.lower("customer_id").alias("customer_id")), ["customer_id"], split_above=0, hot_rows=2)
     return _shown(cleaning.clean_orders(raw, customers, hot={"customer_id": hot}))
 
 
 def order_history_hot_customers(spark, d) -> DataFrame:
     """Order histories with the range-partitioned path switched on for every customer the sample finds."""
     orders = silver(spark, d, "orders")
-    hot = hot_hashes(orders.where("status = 'completed'"), ["customer_id"], split_above=0, min_hits=2)
+    hot = hot_hashes(orders.where("status = 'completed'"), ["customer_id"], split_above=0, hot_rows=2)
     return analytics.order_history(orders, hot)
 
 

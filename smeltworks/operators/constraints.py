@@ -25,6 +25,12 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns(generated_columns(spec)).select(*spec.schema.names)
 
 
+def admit(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``conform``, then the row rules of the table, as a database checks them on every insert."""
+    rows = conform(df, spec)
+    return enforce(rows, spec) if spec.keys and (spec.not_null or spec.checks) else rows
+
+
 def generated_columns(spec: TableSpec) -> dict[str, Column]:
     """Generated columns in their declared type; a value that does not fit fails the job."""
     return {c: F.expr(e).cast(spec.schema[c].dataType) for c, e in spec.generated.items()}

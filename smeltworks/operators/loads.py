@@ -19,10 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from smeltworks.operators.constraints import ConstraintViolation, conform, generated_columns
+from smeltworks.operators.constraints import ConstraintViolation, admit, duplicate_keys, generated_columns
 from smeltworks.operators.skew import join_unique
 from smeltworks.sources.scratch import materialise
-from smeltworks.sources.tables import StoredTable, _leaf
+from smeltworks.sources.tables import Snapshot, StoredTable, _leaf
 
 
 @dataclass(frozen=True)
@@ -40,12 +40,20 @@ def _leaves(df: DataFrame, cols: list[str]) -> set[str]:
     return {"/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None else r[c]}" for c in cols) for r in rows}
 
 
-def replace_table(table: StoredTable, df: DataFrame) -> LoadMetrics:
-    """Full refresh. Running it again gives the same table, and rows gone from the source are gone here."""
+def replace_table(table: StoredTable, df: DataFrame, check_keys: bool = False) -> LoadMetrics:
+    """Full refresh. Running it again gives the same table, and rows gone from the source are gone here.
+
+    ``check_keys`` looks for double keys in what was written before it is published. Rows grouped by their key
+    need no check.
+    """
     seen = Observation()
-    rows = table.with_partition(conform(df, table.spec))
+    rows = table.with_partition(admit(df, table.spec))
     base = table.snapshot()
     dirs = table.write_revision(rows, seen, [F.count("*").alias("n")])
+    if check_keys:
+        written = table.read(Snapshot(base.number, dirs))
+        if not duplicate_keys(written, list(table.spec.keys)).isEmpty():
+            raise ConstraintViolation(f"{table.spec.name}: a key occurs more than once")
     table.publish(dirs, base=base)
     n = seen.get["n"]
     return LoadMetrics(n, n, 0)
@@ -72,7 +80,7 @@ def upsert(
     keys = keys or list(spec.keys)
     update_cols = list(spec.update_cols) if update_cols is None else update_cols
     base = table.snapshot()
-    source = table.with_partition(conform(df, spec))
+    source = table.with_partition(admit(df, spec))
     cols = table.partition_cols
     if base.dirs and cols:
         source = source if stored else materialise(source, f"upsert-{spec.name}")
@@ -134,7 +142,7 @@ def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None)
     key a single one is kept. Existing files stay as they are."""
     keys = keys or list(table.spec.keys)
     base = table.snapshot()
-    source = materialise(table.with_partition(conform(df, table.spec)), f"insert-{table.spec.name}")
+    source = materialise(table.with_partition(admit(df, table.spec)), f"insert-{table.spec.name}")
     cols = table.partition_cols
     known = table.read(base, _leaves(source, cols) if cols else None, helpers=True).select(*keys)
     fresh = join_unique(source, known, keys, "left_anti").dropDuplicates(keys)
@@ -158,7 +166,7 @@ def replace_range(table: StoredTable, df: DataFrame, column: str, start, end) ->
         return (F.col(c) >= lo) & (F.col(c) < hi)
 
     stray = F.raise_error(F.concat(F.lit(f"{column} outside the range: "), F.col(column).cast("string")))
-    guarded = conform(df, table.spec).where(F.when(inside(column), True).otherwise(stray.cast("boolean")))
+    guarded = admit(df, table.spec).where(F.when(inside(column), True).otherwise(stray.cast("boolean")))
     source = materialise(table.with_partition(guarded), f"range-{table.spec.name}")
     touched = None
     if cols:
@@ -195,9 +203,9 @@ def append_batch(table: StoredTable, df: DataFrame, batch_id: str) -> LoadMetric
     first_id = base.facts.get("next_id", 1)
     seen = Observation()
     numbered = df.withColumn("_id", F.monotonically_increasing_id() + F.lit(first_id))
-    dirs = table.write_revision(
-        table.with_partition(numbered), seen, [F.count("*").alias("n"), F.max("_id").alias("last")]
-    )
+    metrics = [F.count("*").alias("n"), F.max("_id").alias("last")]
+    # All rows go to one directory: tasks write their rows as they come.
+    dirs = table.write_revision(table.with_partition(numbered), seen, metrics, placed=True)
     got = seen.get
     facts = {
         "batches": [*base.facts.get("batches", []), batch_id],

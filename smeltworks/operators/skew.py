@@ -7,12 +7,12 @@ from smeltworks.sources.scratch import input_bytes
 
 # Inputs up to this size are never split: AQE's own threshold for calling a partition skewed.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
-# Spark's own guess for relations without statistics is about 2^63; those are counted in full.
-UNKNOWN_BYTES = 1 << 60
-# A key seen this often in the sample is split.
-MIN_HITS = 1000
-# At most this many keys can each hold more than a thousandth of the rows.
-MAX_HOT_KEYS = 1000
+# A key with about this many rows is split; one task handles fewer with ease.
+HOT_ROWS = 1_000_000
+# Sampled rows that stand for a hot key: enough to tell it from its neighbours.
+SAMPLE_HITS = 100
+# Greatest number of keys to split, heaviest first. The rest stay exact and are left to AQE.
+MAX_HOT_KEYS = 10_000
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -23,24 +23,22 @@ def hot_hashes(
     df: DataFrame,
     keys: list[str],
     split_above: int = SPLIT_ABOVE_BYTES,
-    min_hits: int = MIN_HITS,
+    hot_rows: int = HOT_ROWS,
 ) -> list[int]:
     """Hashes of the keys worth splitting; at most ``MAX_HOT_KEYS`` of them.
 
-    Reads a sample of the key columns, so it costs one pruned scan and a small shuffle. The sample decides
-    only where rows travel: a key missed or added here changes no result.
+    Reads a sample of the key columns: one pruned scan and, at the default of one row in ten thousand, a small
+    shuffle. The sample decides only where rows travel: a key missed or added here changes no result.
     """
-    size = input_bytes(df)
-    if size <= split_above:
+    if input_bytes(df) <= split_above:
         return []
-    known = size < UNKNOWN_BYTES
-    fraction = max(min(1.0, SPLIT_ABOVE_BYTES / max(size, 1)), 1e-6) if known else 1.0
+    fraction = min(1.0, SAMPLE_HITS / hot_rows)
     counted = (
         df.select(key_hash(keys).alias("h"))
         .sample(fraction=fraction, seed=17)
         .groupBy("h")
         .count()
-        .where(F.col("count") >= min_hits)
+        .where(F.col("count") >= hot_rows * fraction)
         .orderBy(F.desc("count"))
         .limit(MAX_HOT_KEYS)
     )

@@ -88,17 +88,15 @@ def monthly_revenue(daily: DataFrame, mom: str = "calendar", money: str = GOLD_M
         money=money,
     )
     gross = F.col("gross_revenue")
-    if mom == "previous_row":
-        # One row per calendar month in all.
-        previous = F.lag(gross).over(Window.orderBy(F.col("year_month").asc_nulls_last()))
-        out = monthly.withColumn("_previous", previous)
-    elif mom == "calendar":
-        index = month_index(F.col("year"), F.col("month"))
-        before = monthly.select((index + 1).alias("_index"), gross.alias("_previous"))
-        out = monthly.withColumn("_index", index).join(before, "_index", "left")
-    else:
+    # One row per calendar month in all, so one task is enough, and no self join reads the days twice.
+    months = Window.orderBy(F.col("year_month").asc_nulls_last())
+    index = month_index(F.col("year"), F.col("month"))
+    previous = F.lag(gross).over(months)
+    if mom == "calendar":
+        previous = F.when(F.lag(index).over(months) == index - 1, previous)
+    elif mom != "previous_row":
         raise ValueError(f"mom is 'calendar' or 'previous_row', not {mom!r}")
-    return out.select(
+    return monthly.withColumn("_previous", previous).select(
         "year_month",
         "year",
         "month",

@@ -219,6 +219,10 @@ new_customers bigint
 _computed_at timestamp
 """),
             keys=("revenue_date",),
+            not_null=(
+                "revenue_date", "order_count", "gross_revenue", "net_revenue", "avg_order_value", "unique_customers",
+                "new_customers",
+            ),
             defaults={"new_customers": "0", "_computed_at": "current_timestamp()"},
             partition={"_month": "date_format(revenue_date, 'yyyy-MM')"},
             ordered_by="revenue_date",
@@ -238,6 +242,10 @@ unique_customers bigint
 _computed_at timestamp
 """),
             keys=("year_month",),
+            not_null=(
+                "year_month", "year", "month", "order_count", "gross_revenue", "net_revenue", "avg_order_value",
+                "unique_customers",
+            ),
             checks={"year_month": "length(year_month) <= 7"},
             defaults={"_computed_at": "current_timestamp()"},
         ),
@@ -259,6 +267,7 @@ ltv_segment string
 _computed_at timestamp
 """),
             keys=("customer_id",),
+            not_null=("customer_id", "total_orders", "total_revenue"),
             defaults={"total_orders": "0", "total_revenue": "0", "_computed_at": "current_timestamp()"},
         ),
         TableSpec(
@@ -277,6 +286,7 @@ category_rank bigint
 _computed_at timestamp
 """),
             keys=("product_id",),
+            not_null=("product_id", "product_name", "total_units_sold", "total_revenue", "order_count"),
             defaults={"total_units_sold": "0", "order_count": "0", "_computed_at": "current_timestamp()"},
         ),
         TableSpec(

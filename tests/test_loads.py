@@ -126,6 +126,25 @@ def test_replace_table_forgets_what_is_gone(spark, make):
     assert content(table) == []
 
 
+def test_refresh_can_check_its_keys(spark, make):
+    table = make()
+    loads.replace_table(table, things(spark, [(1, "a", 1, 1)]), check_keys=True)
+    with pytest.raises(constraints.ConstraintViolation, match="more than once"):
+        loads.replace_table(table, things(spark, [(2, "a", 1, 1), (2, "b", 1, 1)]), check_keys=True)
+    assert content(table) == [(1, "a", 1, 2)]
+
+
+@pytest.mark.parametrize("load", [loads.upsert, loads.insert_new, loads.replace_table])
+def test_every_load_keeps_the_row_rules(spark, make, load):
+    table = make(SPEC.like("things", not_null=("id", "name"), checks={"n": "n >= 0"}))
+    load(table, things(spark, [(1, "a", 1, 1)]))
+    with pytest.raises(Exception, match="name is null"):
+        load(table, things(spark, [(2, None, 1, 1)]))
+    with pytest.raises(Exception, match="n breaks check"):
+        load(table, things(spark, [(2, "b", -1, 1)]))
+    assert content(table) == [(1, "a", 1, 2)]
+
+
 def test_readers_keep_their_state_and_never_see_a_half_written_one(spark, make):
     table = make()
     loads.replace_table(table, things(spark, [(1, "a", 1, 1)]))

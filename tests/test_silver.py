@@ -164,7 +164,7 @@ def test_hot_parent_gives_the_same_rows(spark, customers, rows):
 
     raw = [order(n, customer_id=uid(1 if n % 3 else 2 if n % 2 else 9, "c")) for n in range(1, 60)]
     frame = bronze(spark, "raw_orders", raw)
-    hot = hot_hashes(frame, ["customer_id"], split_above=0, min_hits=5)
+    hot = hot_hashes(frame, ["customer_id"], split_above=0, hot_rows=5)
     assert hot
     split = silver.clean_orders(frame, customers, hot={"customer_id": hot})
     assert rows(split, "order_id") == rows(silver.clean_orders(frame, customers), "order_id")

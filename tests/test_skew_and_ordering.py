@@ -26,7 +26,7 @@ def parents(spark):
 
 def test_hot_keys_are_found_only_above_the_size_limit(skewed):
     assert hot_hashes(skewed, ["k"]) == []
-    hot = hot_hashes(skewed, ["k"], split_above=0, min_hits=100)
+    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=100)
     assert hot == [skewed.where("k = 7").select(F.xxhash64("k")).first()[0]]
 
 
@@ -34,7 +34,7 @@ def test_hot_keys_are_found_only_above_the_size_limit(skewed):
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_split_join_equals_plain_join(skewed, parents, rows, how, null_safe):
     parents = parents.unionByName(parents.sparkSession.createDataFrame([(None, "none")], "k int, name string"))
-    hot = hot_hashes(skewed, ["k"], split_above=0, min_hits=30)
+    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=30)
     assert len(hot) >= 2 - (not null_safe)
     split = join_unique(skewed, parents, ["k"], how, hot=hot, null_safe=null_safe, spread=5)
     plain = join_unique(skewed, parents, ["k"], how, hot=[], null_safe=null_safe)
@@ -43,7 +43,7 @@ def test_split_join_equals_plain_join(skewed, parents, rows, how, null_safe):
 
 
 def test_split_join_spreads_the_hot_key(skewed, parents):
-    hot = hot_hashes(skewed, ["k"], split_above=0, min_hits=100)
+    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=100)
     spark = skewed.sparkSession
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -118,7 +118,7 @@ def test_history_of_hot_owners_equals_plain_windows(spark, rows):
     rnd = random.Random(4)
     data = [(1 if i % 3 else rnd.randint(2, 9), f"2021-01-{rnd.randint(1, 28):02d}", i) for i in range(600)]
     df = spark.createDataFrame(data, "c int, d string, id int").withColumn("d", F.col("d").cast("date"))
-    hot = hot_hashes(df, ["c"], split_above=0, min_hits=30)
+    hot = hot_hashes(df, ["c"], split_above=0, hot_rows=30)
     assert hot
     split, plain = add_history(df, "c", "d", "id", hot), add_history(df, "c", "d", "id", [])
     assert rows(split, *plain.columns) == rows(plain, *plain.columns)
