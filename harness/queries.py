@@ -122,7 +122,7 @@ def order_history_hot_customers(spark, d) -> DataFrame:
 def rejected_orders(spark, d) -> DataFrame:
     """Orders that do not reach silver, with reasons."""
     lost = cleaning.rejects("orders", bronze(spark, d, "raw_orders"), {"customers": _kept(spark, d, "customers")})
-    return lost.select("order_id", F.col("_batch_id").alias("batch_id"), F.concat_ws("; ", "_errors").alias("reasons"))
+    return lost.select("order_id", F.col("_batch_id").alias("batch_id"), F.col("_errors").alias("reasons"))
 
 
 def orphan_items(spark, d) -> DataFrame:
@@ -285,6 +285,7 @@ def sales_month(spark, d) -> DataFrame:
     """A fact table with one directory per month, read for two months."""
     orders, items = silver(spark, d, "orders"), silver(spark, d, "items")
     sales = items.join(orders, "order_id").select(
+        F.monotonically_increasing_id().alias("sale_id"),
         F.col("order_id").cast("string"),
         F.col("customer_id").cast("string"),
         F.col("product_id").cast("string"),
@@ -344,7 +345,7 @@ def enforce_sales(spark, d) -> DataFrame:
         (F.col("l_tax") * 1500).cast("decimal(5,2)").alias("discount_pct"),
     )
     only_checks = SALES.like("sales", not_null=())
-    reasons = F.concat_ws("; ", constraints.row_errors(only_checks))
+    reasons = constraints.row_errors(only_checks)
     return sales.groupBy(reasons.alias("reasons")).agg(F.count("*").alias("sales"))
 
 

@@ -36,14 +36,20 @@ def generated_columns(spec: TableSpec) -> dict[str, Column]:
     return {c: F.expr(e).cast(spec.schema[c].dataType) for c, e in spec.generated.items()}
 
 
+def reasons(*broken: Column) -> Column:
+    """The non-NULL texts joined by ``; ``, empty if there are none. Plain text, not an array: array functions with
+    lambdas would take the projection out of generated code."""
+    return F.concat_ws("; ", *broken)
+
+
 def row_errors(spec: TableSpec) -> Column:
-    """Array of the NOT NULL and CHECK rules a row breaks. As in SQL, a check that is NULL holds."""
+    """The NOT NULL and CHECK rules a row breaks, as text. As in SQL, a check that is NULL holds."""
     broken = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in spec.not_null]
     broken += [
         F.when(~F.coalesce(F.expr(check), F.lit(True)), F.lit(f"{name} breaks check"))
         for name, check in spec.checks.items()
     ]
-    return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    return reasons(*broken)
 
 
 def enforce(df: DataFrame, spec: TableSpec, on_error: str = "fail") -> DataFrame:
@@ -63,17 +69,17 @@ def split_errors(df: DataFrame, key: str, on_error: str) -> DataFrame:
     over rows that they drop.
     """
     if on_error == "quarantine":
-        return df.where(F.size("_errors") == 0).drop("_errors")
+        return df.where("_errors = ''").drop("_errors")
     if on_error != "fail":
         raise ValueError(f"on_error is 'fail' or 'quarantine', not {on_error!r}")
-    message = F.concat(F.lit("constraint violation: "), F.concat_ws(", ", "_errors"))
+    message = F.concat(F.lit("constraint violation: "), F.col("_errors"))
     failed = F.raise_error(message).cast(df.schema[key].dataType)
-    return df.withColumn(key, F.when(F.size("_errors") > 0, failed).otherwise(F.col(key))).drop("_errors")
+    return df.withColumn(key, F.when(F.col("_errors") != "", failed).otherwise(F.col(key))).drop("_errors")
 
 
 def rejected(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that break a rule, with the reasons in ``_errors``."""
-    return df.withColumn("_errors", row_errors(spec)).where(F.size("_errors") > 0)
+    return df.withColumn("_errors", row_errors(spec)).where("_errors <> ''")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

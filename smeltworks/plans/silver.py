@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltworks.functions import canonical_uuid, is_present, safe_decimal, safe_int
-from smeltworks.operators.constraints import add_absent, row_errors, split_errors
+from smeltworks.operators.constraints import add_absent, reasons, row_errors, split_errors
 from smeltworks.operators.dedup import latest_by
 from smeltworks.operators.skew import hot_hashes, join_unique
 from smeltworks.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
@@ -107,15 +107,10 @@ def _hot_parents(bronze: DataFrame, c: str) -> list[int]:
 
 def _typed(rows: DataFrame, rule: Rule) -> DataFrame:
     """Typed columns plus ``_errors``: unparsable dates and broken row constraints."""
-    unparsed = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(f"{c} is not a {t}"))
-                for c, t in rule.casts.items()
-            ],
-            F.lit(None).cast("string"),
-        )
-    )
+    unparsed = {
+        f"_bad_{c}": F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(f"{c} is not a {t}"))
+        for c, t in rule.casts.items()
+    }
     carried = [c for c in NEWEST_FIRST if c in rows.columns]
     typed = rows.select(
         *rule.ids,
@@ -123,14 +118,14 @@ def _typed(rows: DataFrame, rule: Rule) -> DataFrame:
         *[expression.alias(name) for name, expression in rule.columns.items()],
         F.col("_batch_id").alias("_source_batch"),
         *carried,
-        unparsed.alias("_unparsed"),
+        *[text.alias(name) for name, text in unparsed.items()],
     )
     types = {c: rule.spec.schema[c].dataType for c in rule.spec.generated}
     wide = {c: F.expr(e) for c, e in rule.spec.generated.items()}
     typed = add_absent(typed, rule.spec).withColumns({c: e.try_cast(types[c]) for c, e in wide.items()})
     oversize = [F.when(e.isNotNull() & F.col(c).isNull(), F.lit(f"{c} does not fit")) for c, e in wide.items()]
-    errors = F.concat("_unparsed", row_errors(rule.spec), F.array_compact(F.array(*oversize, F.lit(None))))
-    return typed.withColumn("_errors", errors).drop("_unparsed")
+    broken = F.nullif(row_errors(rule.spec), F.lit(""))
+    return typed.withColumn("_errors", reasons(*map(F.col, unparsed), broken, *oversize)).drop(*unparsed)
 
 
 def _clean(
@@ -206,16 +201,14 @@ CLEANERS: dict[str, Callable[..., DataFrame]] = {
 def rejects(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Bronze rows that do not reach silver, with every reason; superseded rows are not rejects.
 
-    Columns: the key as delivered, ``_id``, ``_batch_id``, ``_errors``.
+    Columns: the key as delivered, ``_id``, ``_batch_id``, ``_errors`` (reasons joined by ``; ``).
     """
     rule = _rules()[name]
     key = rule.ids[0]
-    reasons = [F.when(canonical_uuid(c).isNull(), F.lit(f"{c} is not a canonical id")) for c in rule.ids]
-    reasons += [F.when(~F.coalesce(ok, F.lit(False)), F.lit(text)) for text, ok in rule.required.items()]
+    failed = [F.when(canonical_uuid(c).isNull(), F.lit(f"{c} is not a canonical id")) for c in rule.ids]
+    failed += [F.when(~F.coalesce(ok, F.lit(False)), F.lit(text)) for text, ok in rule.required.items()]
     report = [key, "_id", "_batch_id", "_errors"]
-    filtered = (
-        bronze.withColumn("_errors", F.array_compact(F.array(*reasons))).where(F.size("_errors") > 0).select(*report)
-    )
+    filtered = bronze.withColumn("_errors", reasons(*failed)).where("_errors <> ''").select(*report)
     latest = _latest(bronze, rule)
     unknown = []
     for c, parent in rule.parents.items():
@@ -223,14 +216,13 @@ def rejects(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | Non
         latest = join_unique(latest, known, [c], "left", hot=_hot_parents(bronze, c))
         unknown.append(F.when(F.col(f"_known_{c}").isNull(), F.lit(f"{c} is unknown")))
     if unknown:
-        missing = F.array_compact(F.array(*unknown))
-        orphaned = latest.withColumn("_errors", missing).where(F.size("_errors") > 0).select(*report)
+        orphaned = latest.withColumn("_errors", reasons(*unknown)).where("_errors <> ''").select(*report)
         filtered = filtered.unionByName(orphaned)
         for c in rule.parents:
             latest = latest.where(F.col(f"_known_{c}"))
     broken = (
         _typed(latest, rule)
-        .where(F.size("_errors") > 0)
+        .where("_errors <> ''")
         .select(key, "_id", F.col("_source_batch").alias("_batch_id"), "_errors")
     )
     return filtered.unionByName(broken)
