@@ -197,6 +197,22 @@ line_total decimal(12,2)
 SILVER = {spec.name: spec for spec in (CUSTOMERS, PRODUCTS, ORDERS, ORDER_ITEMS)}
 
 
+# Bronze rows that did not reach silver, with the reasons.
+REJECTS = TableSpec(
+    "rejects",
+    columns("""
+reject_id string
+rejected_key string
+_id bigint
+_batch_id string
+_errors string
+"""),
+    keys=("reject_id",),
+    # Rows are told apart by their bronze number, rows of a contested value by their key.
+    generated={"reject_id": "concat_ws(':', _batch_id, coalesce(cast(_id AS string), rejected_key))"},
+)
+
+
 def silver_spec(name: str, buckets: int) -> TableSpec:
     """A silver table laid out for upserts. Choose ``buckets`` so that one bucket is about 256 MB to 1 GB."""
     spec = SILVER[name]
