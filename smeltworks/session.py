@@ -23,6 +23,8 @@ def local_session(cores: int | str = "*", name: str = "smeltworks", **extra) ->
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8")
+        # Recording the Python call site of every column expression is most of the cost of building a plan.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

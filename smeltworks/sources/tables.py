@@ -30,6 +30,19 @@ def _leaf(path: str) -> str:
     return path.partition("/")[2]
 
 
+_FIELDS: dict[tuple, list[T.StructField]] = {}
+
+
+def _helper_fields(spark: SparkSession, spec: TableSpec) -> list[T.StructField]:
+    """Directory columns that are not columns of the table, with the types of their expressions."""
+    helper = {c: e for c, e in spec.partition.items() if c not in spec.schema.names}
+    known = (spec.schema.simpleString(), *helper.items())
+    if known not in _FIELDS:
+        columns = [F.expr(e).alias(c) for c, e in helper.items()]
+        _FIELDS[known] = spark.createDataFrame([], spec.schema).select(*columns).schema.fields if helper else []
+    return _FIELDS[known]
+
+
 class StoredTable:
     """A table at a path, declared by a spec."""
 
@@ -37,12 +50,8 @@ class StoredTable:
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self._jvm_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._jvm_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        helper = [c for c in spec.partition if c not in spec.schema.names]
-        probe = spark.createDataFrame([], spec.schema).select(
-            *[F.expr(spec.partition[c]).alias(c) for c in helper]
-        )
         self.partition_cols = list(spec.partition)
-        self.full_schema = T.StructType([*spec.schema.fields, *probe.schema.fields])
+        self.full_schema = T.StructType([*spec.schema.fields, *_helper_fields(spark, spec)])
 
     # -- reading
 
