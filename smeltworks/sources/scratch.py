@@ -1,6 +1,7 @@
 """Cut lineage by writing a table into the cluster's shared checkpoint folder."""
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return _local_dir()
 
