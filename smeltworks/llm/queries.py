@@ -2,13 +2,20 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from smeltworks.llm.common import table
 from smeltworks.llm.exact_dedup import exact_dedup
+from smeltworks.llm.language_id import language_id
+from smeltworks.llm.packing import packed_digests
 from smeltworks.llm.simhash import simhash_dedup
 
 
+def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -17,8 +24,12 @@ def op8_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_trie_join, op8_cuckoo_exact_dedup)}
+    return {f.__name__: f for f in (op2_ppm_language_id, op5_simhash_trie_join, op8_cuckoo_exact_dedup, op9_harmonic_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
