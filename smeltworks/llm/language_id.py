@@ -200,8 +200,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
     return counted(training_rows(docs, lang, text, doc_id, sample))
 
 
-def identify(docs: DataFrame, counts: list, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, predicted from the whole text alone.
+def identify(docs: DataFrame, counts: list, text: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (or the given ``names``), predicted from the whole text alone.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if no labelled row was there to learn
     from. Equal texts get equal results; ties go to the first language by name. Input columns with the new names are replaced.
@@ -214,7 +214,7 @@ def identify(docs: DataFrame, counts: list, text: str = "text", keep: list[str]
             held["model"] = build(shared.value)
         return [*predict(held["model"], texts)]
 
-    return with_columns(docs, text, "lang_pred string, score double", compute, keep)
+    return with_columns(docs, text, f"{names[0]} string, {names[1]} double", compute, keep)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
