@@ -9,6 +9,7 @@ from smeltworks.llm.common import table
 from smeltworks.llm.exact_dedup import exact_dedup
 from smeltworks.llm.language_id import language_id
 from smeltworks.llm.packing import packed_digests
+from smeltworks.llm.piece_encoding import encoded_digests
 from smeltworks.llm.pii import personal_data
 from smeltworks.llm.simhash import simhash_dedup
 
@@ -25,6 +26,10 @@ def op5_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -34,7 +39,7 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ppm_language_id, op4_boosted_pii, op5_simhash_trie_join, op8_cuckoo_exact_dedup, op9_harmonic_packing)}
+    return {f.__name__: f for f in (op2_ppm_language_id, op4_boosted_pii, op5_simhash_trie_join, op6_prefix_table_pieces, op8_cuckoo_exact_dedup, op9_harmonic_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

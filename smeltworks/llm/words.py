@@ -20,6 +20,23 @@ REMEMBER = 400_000
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def spread(made: list[bytes], units: pa.DictionaryArray, offsets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (uint32) of texts in a row, and where each text ends.
+
+    ``made`` has the little-endian ids of each distinct unit, ``units`` the units of all texts, ``offsets`` where texts begin in them.
+    """
+    sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    flat = np.frombuffer(b"".join(made), "<u4")
+    index = units.indices.to_numpy()
+    length = sizes[index]
+    ends = np.cumsum(length)
+    # Position in ``flat`` of every id: its unit's first position, then counting on.
+    first = (np.cumsum(sizes) - sizes)[index]
+    at = np.repeat(first - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+    cut = offsets.to_numpy()
+    return flat[at], np.r_[0, ends][cut[1:] - cut[0]]
+
+
 class WordEncoder:
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -40,17 +57,7 @@ class WordEncoder:
         """Ids of all texts in a row (uint32) and where each text ends. Null counts as empty."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         words = split.flatten().dictionary_encode()
-        made = self._units(words.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        flat = np.frombuffer(b"".join(made), "<u4")
-        index = words.indices.to_numpy()
-        length = sizes[index]
-        ends = np.cumsum(length)
-        # Position in ``flat`` of every id: its word's first position, then counting on.
-        first = (np.cumsum(sizes) - sizes)[index]
-        at = np.repeat(first - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        offsets = split.offsets.to_numpy()
-        return flat[at], np.r_[0, ends][offsets[1:] - offsets[0]]
+        return spread(self._units(words.dictionary.to_pylist()), words, split.offsets)
 
     def _units(self, units: list[str]) -> list[bytes]:
         if len(self.units) > REMEMBER:
