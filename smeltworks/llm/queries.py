@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from smeltworks.llm.common import table
 from smeltworks.llm.exact_dedup import exact_dedup
 from smeltworks.llm.language_id import language_id
+from smeltworks.llm.line_dedup import drop_boilerplate
 from smeltworks.llm.packing import packed_digests
 from smeltworks.llm.piece_encoding import encoded_digests
 from smeltworks.llm.pii import personal_data
+from smeltworks.llm.secrets import scan
 from smeltworks.llm.simhash import simhash_dedup
 
 
+def op1_host_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
+
+
 def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -38,12 +44,45 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ppm_language_id, op4_boosted_pii, op5_simhash_trie_join, op6_prefix_table_pieces, op8_cuckoo_exact_dedup, op9_harmonic_packing)}
+    registered = (
+        op1_host_line_frequency,
+        op2_ppm_language_id,
+        op4_boosted_pii,
+        op5_simhash_trie_join,
+        op6_prefix_table_pieces,
+        op8_cuckoo_exact_dedup,
+        op9_harmonic_packing,
+        op10_forest_secret_scan,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_host_line_frequency": r"""
+WITH lines AS (
+    SELECT DISTINCT doc_id, source, line
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE source IS NOT NULL)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), often AS (
+    SELECT source, line FROM lines JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY source) USING (source)
+    GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) * 100 > pages * 3
+), lists AS (
+    SELECT source, list(line) AS bad FROM often GROUP BY source
+), cut AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS before,
+        list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(bad, []::VARCHAR[]), x)) AS after
+    FROM documents LEFT JOIN lists USING (source)
+)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN array_to_string(after, chr(10)) END AS text,
+    coalesce(len(before) - len(after), 0) AS n_dropped
+FROM cut
+""",
         "op8_cuckoo_exact_dedup": r"""
 WITH hashed AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
