@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smeltworks.llm.cells import CELL_ROWS, cell_ranges, deal
 from smeltworks.llm.common import gathered, with_columns
 from smeltworks.llm.components import connected_components, merge
 from smeltworks.sources.scratch import materialise
@@ -24,7 +25,6 @@ from smeltworks.sources.scratch import materialise
 SHINGLE = 3
 SEED = 42
 BUDGET = 3
-CELL_ROWS = 512
 FRONTIER = 1 << 19
 
 
@@ -80,16 +80,7 @@ def links(prints: DataFrame, match: int | None = None, cell_rows: int = CELL_ROW
     masks = block_masks(match or _match(prints.count()))
     keys = F.array(*[F.struct(F.lit(s).alias("scheme"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for s, m in enumerate(masks)])
     placed = prints.select("id", "fp", F.inline(keys))
-    hot = placed.groupBy("scheme", "key").count().where(F.col("count") > cell_rows)
-    hot = materialise(hot.select("scheme", "key", F.ceil(F.col("count") / cell_rows).cast("int").alias("chunks")), "hot")
-    if hot.isEmpty():
-        placed = placed.select("*", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("chunk"))
-    else:
-        chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-        placed = placed.join(hot, ["scheme", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        placed = placed.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        placed = placed.select("id", "fp", "scheme", "key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk")
-    dealt = placed.repartition("scheme", "key", "lo", "hi")
+    dealt = deal(placed, ["scheme", "key"], "fp", cell_rows)
     return dealt.mapInArrow(_joined, "a bigint, b bigint")
 
 
@@ -101,15 +92,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     side = (rows["chunk"] != rows["lo"]).astype(np.int8)
     order = np.lexsort((fp, side, rows["hi"], rows["lo"], rows["key"], rows["scheme"]))
     fp, side, ids = fp[order], side[order], rows["id"][order]
-    cell = [rows[n][order] for n in ("scheme", "key", "lo", "hi")]
-    self_cell = cell[2] == cell[3]
-    new_cell = np.r_[True, np.any([c[1:] != c[:-1] for c in cell], axis=0)]
-    begin = np.flatnonzero(new_cell)
-    end = np.r_[begin[1:], len(fp)]
-    ones = np.r_[0, np.cumsum(side)]
-    middle = end - (ones[end] - ones[begin])  # where the second chunk of a cell begins
-    own = self_cell[begin]
-    nodes = np.stack([begin, np.where(own, end, middle), np.where(own, begin, middle), end])
+    nodes = cell_ranges([rows["scheme"][order], rows["key"][order]], rows["lo"][order], rows["hi"][order], side)
     labels = np.arange(len(fp))
     for a, b in walk(fp, nodes):
         labels = merge(labels, a, b)
