@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from smeltworks.llm.common import table
+from smeltworks.llm.embedding_dedup import embedding_dedup
 from smeltworks.llm.exact_dedup import exact_dedup
+from smeltworks.llm.html_wrappers import main_text
 from smeltworks.llm.language_id import language_id
 from smeltworks.llm.line_dedup import drop_boilerplate
 from smeltworks.llm.packing import packed_digests
@@ -24,6 +26,10 @@ def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_union_free_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -36,6 +42,10 @@ def op6_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_rotated_code_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op8_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,9 +62,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_host_line_frequency,
         op2_ppm_language_id,
+        op3_union_free_wrappers,
         op4_boosted_pii,
         op5_simhash_trie_join,
         op6_prefix_table_pieces,
+        op7_rotated_code_vectors,
         op8_cuckoo_exact_dedup,
         op9_harmonic_packing,
         op10_forest_secret_scan,
