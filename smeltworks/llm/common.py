@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SLICE_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_columns(df: DataFrame, text: str, fields: str, compute: Callable[[list], list], keep: list[str] | None = None) -> DataFrame:
-    """``df`` with columns computed in Python from one text column, one Arrow batch at a time.
+    """``df`` with columns computed in Python from one text column, a few MB of rows at a time.
 
     ``fields`` is a DDL string of the new columns; ``compute`` takes the batch's texts (None for null) and returns one
     list or Arrow array per new column. ``keep`` limits the columns carried along. An input column with the name of
@@ -27,7 +29,7 @@ def with_columns(df: DataFrame, text: str, fields: str, compute: Callable[[list]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             if kinds is None:
                 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -41,6 +43,13 @@ def with_columns(df: DataFrame, text: str, fields: str, compute: Callable[[list]
     return carried.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``size`` bytes: what Python holds at once does not grow with the batch."""
+    step = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+    for i in range(0, batch.num_rows, step):
+        yield batch.slice(i, step)
+
+
 def gathered(batches: Iterator[pa.RecordBatch], names: list[str]) -> dict[str, np.ndarray] | None:
     """All rows of a partition as numpy arrays, None if there are none."""
     got = [b for b in batches if b.num_rows]

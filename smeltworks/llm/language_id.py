@@ -27,7 +27,7 @@ MAX_CONTEXTS = 12_000
 # Bytes with a symbol of their own; all rarer ones share one symbol, whose cost includes telling them apart.
 SYMBOLS = 128
 # Bytes scored at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -90,13 +90,13 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]], min_context: int = M
         np.add.at(seen, gram & 255, n)
     # The zero byte, which stands before a text, always has symbol 1; symbol 0 is "any other byte".
     frequent = [b for b in np.argsort(-seen, kind="stable") if b and seen[b]][: a - 2]
-    symbol = np.zeros(256, np.int64)
+    symbol = np.zeros(256, np.int32)
     symbol[0], symbol[frequent] = 1, np.arange(2, len(frequent) + 2)
     others = int((symbol == 0).sum())
 
     coded = []
     for _, gram, n in counts:
-        parts = [symbol[gram >> s & 255] for s in (24, 16, 8, 0)]
+        parts = [symbol[gram >> s & 255].astype(np.int64) for s in (24, 16, 8, 0)]
         coded.append((*parts, n))
     # Contexts by length, the last byte lowest. Which exist is decided on all languages together.
     exists, total = [np.array([0])], {}
@@ -137,7 +137,7 @@ def build(counts: list[tuple[str, np.ndarray, np.ndarray]], min_context: int = M
         cost[:, 0, :] += np.log2(others)
     # Longest existing context of each triple of symbols.
     node = np.zeros(a**3, np.int32)
-    triples = np.arange(a**3)
+    triples = np.arange(a**3, dtype=np.int32)
     for order in (1, 2, 3):
         table = np.full(a**order, -1, np.int32)
         table[exists[order]] = first[order] + np.arange(len(exists[order]))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from smeltworks.llm.common import slices
 from smeltworks.llm.words import word_encoder
 from smeltworks.sources.scratch import materialise
 
@@ -51,9 +52,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
         encoder, task = word_encoder(tokenizer), TaskContext.get().partitionId()
         counts: dict[int, int] = {}
         for batch in batches:
-            # A few thousand documents at a time bound the memory whatever the batch size.
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
+            for part in slices(batch):
                 ids, ends = encoder.encode(part.column(1))
                 yield _cut(part.column(0).to_pylist(), ids, ends, task, counts, capacity, end_id)
 

@@ -11,7 +11,6 @@ there into units. Each distinct unit of a batch is encoded once and remembered u
 
 import functools
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -199,15 +198,10 @@ def round_trip(docs: DataFrame, model: str, text: str = "text", keep: list[str]
     replaced, all others stay; an empty table gives no rows.
     """
 
-    def compute_parts(texts: pa.Array) -> Iterator[tuple[pa.ListArray, list[str]]]:
-        encoder = piece_encoder(model)
-        for i in range(0, len(texts), 2000):
-            ids = encoder.encode(texts.slice(i, 2000))
-            yield ids, encoder.decode(ids)
-
     def compute(texts: list) -> list:
-        parts = list(compute_parts(pa.array(texts, pa.large_string())))
-        return [pa.concat_arrays([p[0] for p in parts]) if parts else [], [t for p in parts for t in p[1]]]
+        encoder = piece_encoder(model)
+        ids = encoder.encode(pa.array(texts, pa.large_string()))
+        return [ids, encoder.decode(ids)]
 
     return with_columns(docs, text, "ids array<int>, decoded string", compute, keep)
 
