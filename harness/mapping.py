@@ -2,6 +2,8 @@
 
 Each mapping is one SQL text that Spark and DuckDB read alike, so both sides of a check see the same input.
 All rows of the driver tables are used. Dirt depends on the data (nation, size, day of month), not on a sample.
+So that rules can be told apart, the orders of one month are dated in the next one, which leaves a month without
+revenue, and the items of some products are booked on others, which leaves products unsold and tied in rank.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +18,16 @@ SELECT c.c_custkey AS customer_id, c.c_name AS full_name, lower(c.c_name) || '@e
        upper(n.n_name) AS country
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "silver_orders": """
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+       CASE WHEN year(o_orderdate) = 1996 AND month(o_orderdate) = 7 THEN CAST(o_orderdate AS DATE) + 31
+            ELSE CAST(o_orderdate AS DATE) END AS order_date,
        CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'shipped'
             WHEN o_orderpriority = '1-URGENT' THEN 'refunded' ELSE 'cancelled' END AS status,
        CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
 FROM orders""",
     "silver_items": """
-SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,
+SELECT l_orderkey AS order_id, CASE WHEN l_partkey % 20 = 19 THEN l_partkey - 1 ELSE l_partkey END AS product_id,
+       CAST(l_quantity AS INT) AS quantity,
        CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(10,2))
             * (1 - CAST(l_discount AS DECIMAL(5,2))) AS DECIMAL(12,2)) AS line_total

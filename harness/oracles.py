@@ -47,8 +47,8 @@ DAILY = (
     "daily",
     f"""
 SELECT o.order_date AS revenue_date, count(DISTINCT o.order_id) AS order_count,
-       CAST(sum(i.line_total) AS DECIMAL(15,2)) AS gross_revenue,
-       CAST(coalesce(sum(i.line_total) FILTER (WHERE {OK}), 0) AS DECIMAL(15,2)) AS net_revenue,
+       CAST(sum(i.line_total) AS DECIMAL(28,2)) AS gross_revenue,
+       CAST(coalesce(sum(i.line_total) FILTER (WHERE {OK}), 0) AS DECIMAL(28,2)) AS net_revenue,
        {avg2("o.total_amount")} AS avg_order_value,
        count(DISTINCT o.customer_id) AS unique_customers,
        count(DISTINCT o.customer_id) FILTER (WHERE NOT EXISTS (
@@ -59,8 +59,8 @@ GROUP BY o.order_date""",
 )
 
 _ROLLUP = f"""CAST(sum(order_count) AS BIGINT) AS order_count,
-       CAST(sum(gross_revenue) AS DECIMAL(15,2)) AS gross_revenue,
-       CAST(sum(net_revenue) AS DECIMAL(15,2)) AS net_revenue,
+       CAST(sum(gross_revenue) AS DECIMAL(28,2)) AS gross_revenue,
+       CAST(sum(net_revenue) AS DECIMAL(28,2)) AS net_revenue,
        {avg2("avg_order_value")} AS avg_order_value,
        CAST(sum(unique_customers) AS BIGINT) AS unique_customers"""
 
@@ -82,7 +82,7 @@ LTV = (
 SELECT c.customer_id, c.full_name, c.email, c.tier, c.country,
        min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date,
        count(DISTINCT o.order_id) AS total_orders,
-       CAST(coalesce(sum(i.line_total), 0) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(coalesce(sum(i.line_total), 0) AS DECIMAL(28,2)) AS total_revenue,
        {avg2("o.total_amount")} AS avg_order_value,
        CAST(date_diff('day', max(o.order_date), DATE '{AS_OF}') AS INT) AS days_since_last,
        CASE WHEN date_diff('day', max(o.order_date), DATE '{AS_OF}') >= {CHURN_DAYS} THEN 'CHURNED'
@@ -109,8 +109,8 @@ PRODUCTS = (
     "performance",
     """
 SELECT product_id, product_name, category, CAST(coalesce(units, 0) AS BIGINT) AS total_units_sold,
-       CAST(coalesce(revenue, 0) AS DECIMAL(15,2)) AS total_revenue,
-       CAST(coalesce(revenue - total_cost, 0) AS DECIMAL(15,2)) AS total_profit,
+       CAST(coalesce(revenue, 0) AS DECIMAL(28,2)) AS total_revenue,
+       CAST(coalesce(revenue - total_cost, 0) AS DECIMAL(28,2)) AS total_profit,
        orders AS order_count, price AS avg_selling_price,
        rank() OVER (ORDER BY revenue DESC NULLS LAST) AS revenue_rank,
        rank() OVER (PARTITION BY category ORDER BY revenue DESC NULLS LAST) AS category_rank
@@ -277,7 +277,7 @@ FROM c_orders l LEFT JOIN first_batch f ON l.order_id = f.order_id"""
     items_clean = _cleaned(
         "SELECT order_item_id, order_id, product_id, quantity, unit_price, discount, line_total, source_batch FROM c_items"
     )
-    by_day = "SELECT order_date AS revenue_date, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(15,2)) AS gross_revenue"
+    by_day = "SELECT order_date AS revenue_date, count(*) AS order_count, CAST(sum(total_amount) AS DECIMAL(28,2)) AS gross_revenue"
     events_json = """
 SELECT event_type, count(*) AS events, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total,
        max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_max
@@ -297,33 +297,33 @@ FROM (SELECT *, {_LAG.format(1)} AS before FROM monthly) m"""),
         "product_performance_distributed_ranks": performance,
         "order_summary": _silver() + """
 SELECT o.order_id, o.order_date, o.status, o.total_amount, c.full_name AS customer_name, c.email, c.tier, c.country,
-       count(i.product_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(15,2)) AS calculated_total
+       count(i.product_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(28,2)) AS calculated_total
 FROM silver_orders o JOIN silver_customers c ON o.customer_id = c.customer_id
 JOIN silver_items i ON o.order_id = i.order_id
 GROUP BY o.order_id, o.order_date, o.status, o.total_amount, c.full_name, c.email, c.tier, c.country""",
         "category_revenue": _silver() + f"""
 SELECT p.category, strftime(o.order_date, '%Y-%m') AS year_month, CAST(sum(i.quantity) AS BIGINT) AS units_sold,
-       CAST(sum(i.line_total) AS DECIMAL(15,2)) AS gross_revenue,
-       CAST(sum(CASE WHEN {OK} THEN i.line_total ELSE 0 END) AS DECIMAL(15,2)) AS net_revenue
+       CAST(sum(i.line_total) AS DECIMAL(28,2)) AS gross_revenue,
+       CAST(sum(CASE WHEN {OK} THEN i.line_total ELSE 0 END) AS DECIMAL(28,2)) AS net_revenue
 FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id JOIN silver_products p ON i.product_id = p.product_id
 GROUP BY 1, 2""",
         "high_value_orders": _silver() + "SELECT *, total_amount > 500 AS is_high_value FROM silver_orders",
         "completed_by_day": _silver() + f"{by_day} FROM silver_orders WHERE status = 'completed' GROUP BY 1",
         "kpi_tiles": _from_daily(f"""
-SELECT CAST(sum(gross_revenue) AS DECIMAL(15,2)) AS total_revenue, CAST(sum(net_revenue) AS DECIMAL(15,2)) AS net_revenue,
+SELECT CAST(sum(gross_revenue) AS DECIMAL(28,2)) AS total_revenue, CAST(sum(net_revenue) AS DECIMAL(28,2)) AS net_revenue,
        {avg2("avg_order_value")} AS avg_order_value,
        (SELECT count(DISTINCT customer_id) FROM silver_orders) AS unique_customers
 FROM daily"""),
         "total_ltv": _from_ltv(
-            "SELECT CAST(sum(total_revenue) AS DECIMAL(15,2)) AS total_ltv, count(*) AS customers FROM ltv"
+            "SELECT CAST(sum(total_revenue) AS DECIMAL(28,2)) AS total_ltv, count(*) AS customers FROM ltv"
         ),
         "customers_by_segment": _from_ltv("""
-SELECT ltv_segment, count(*) AS customers, CAST(sum(total_revenue) AS DECIMAL(15,2)) AS total_ltv
+SELECT ltv_segment, count(*) AS customers, CAST(sum(total_revenue) AS DECIMAL(28,2)) AS total_ltv
 FROM ltv GROUP BY ltv_segment"""),
         "revenue_by_tier": _from_ltv(f"""
 SELECT tier, count(*) AS customers, CAST(sum(total_orders) AS BIGINT) AS total_orders,
-       CAST(sum(total_revenue) AS DECIMAL(15,2)) AS total_revenue,
-       {avg2("total_revenue", to="DECIMAL(15,2)")} AS revenue_per_customer
+       CAST(sum(total_revenue) AS DECIMAL(28,2)) AS total_revenue,
+       {avg2("total_revenue", to="DECIMAL(28,2)")} AS revenue_per_customer
 FROM ltv GROUP BY tier"""),
         "churn_rate": _from_ltv(f"""
 SELECT churned_customers, customers,
@@ -335,12 +335,12 @@ ORDER BY total_revenue DESC NULLS LAST, product_id LIMIT 10"""),
         # windows
         "running_revenue": _from_daily(f"""
 SELECT revenue_date, gross_revenue,
-       CAST(sum(gross_revenue) OVER ({_DAYS.format("UNBOUNDED")}) AS DECIMAL(15,2)) AS running_total,
-       {avg2("gross_revenue", f"OVER ({_DAYS.format(6)})", "DECIMAL(15,2)")} AS rolling_7d_avg
+       CAST(sum(gross_revenue) OVER ({_DAYS.format("UNBOUNDED")}) AS DECIMAL(28,2)) AS running_total,
+       {avg2("gross_revenue", f"OVER ({_DAYS.format(6)})", "DECIMAL(28,2)")} AS rolling_7d_avg
 FROM daily"""),
         "rolling_30_rows": _from_daily(f"""
 SELECT revenue_date, gross_revenue,
-       {avg2("gross_revenue", f"OVER ({_DAYS.format(29)})", "DECIMAL(15,2)")} AS rolling_30d_avg
+       {avg2("gross_revenue", f"OVER ({_DAYS.format(29)})", "DECIMAL(28,2)")} AS rolling_30d_avg
 FROM daily"""),
         "customer_ranks": ranks,
         "customer_ranks_distributed": ranks,
@@ -358,10 +358,10 @@ FROM (SELECT *, rank() OVER (PARTITION BY category ORDER BY total_revenue DESC N
         "best_month": _silver() + f"""
 , spent AS (
 SELECT o.customer_id, strftime(o.order_date, '%Y-%m') AS best_month,
-       CAST(sum(i.line_total) AS DECIMAL(15,2)) AS month_revenue
+       CAST(sum(i.line_total) AS DECIMAL(28,2)) AS month_revenue
 FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id WHERE {OK} GROUP BY 1, 2)
 SELECT customer_id, best_month, month_revenue, total_ltv
-FROM (SELECT *, CAST(sum(month_revenue) OVER (PARTITION BY customer_id) AS DECIMAL(15,2)) AS total_ltv,
+FROM (SELECT *, CAST(sum(month_revenue) OVER (PARTITION BY customer_id) AS DECIMAL(28,2)) AS total_ltv,
              rank() OVER (PARTITION BY customer_id ORDER BY month_revenue DESC) AS place FROM spent)
 WHERE place = 1""",
         # silver
@@ -390,6 +390,9 @@ WHERE NOT EXISTS (SELECT 1 FROM c_orders o WHERE o.order_id = i.order_id AND o.s
         "bronze_batches": _ctes(*BRONZE_SQL.items()) + """
 SELECT _batch_id AS batch_id, order_id, customer_id, order_date, status, total_amount, currency, created_at
 FROM raw_orders""",
+        "json_ingest": _ctes(*BRONZE_SQL.items()) + """
+SELECT _batch_id AS batch_id, count(*) AS row_count, count(order_id) AS order_ids, count(currency) AS currencies,
+       count(DISTINCT total_amount) AS amounts FROM raw_orders GROUP BY 1""",
         "csv_ingest": _ctes(*BRONZE_SQL.items()) + """
 SELECT _batch_id AS batch_id, count(*) AS row_count, count(order_id) AS order_ids, count(currency) AS currencies,
        count(DISTINCT total_amount) AS amounts FROM raw_orders GROUP BY 1""",
@@ -397,6 +400,10 @@ SELECT _batch_id AS batch_id, count(*) AS row_count, count(order_id) AS order_id
         + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in BRONZE_SQL),
         "upsert_customers": _cleaned(f"SELECT {_CUSTOMER_COLUMNS} FROM c_customers"),
         "upsert_orders": upserted,
+        "rebucketed_upsert": _cleaned(f"SELECT {_CUSTOMER_COLUMNS} FROM c_customers"),
+        "incremental_late_parent": _ctes(*clean_ctes("_batch_id = 'batch-1'")) + f"SELECT {_ORDER_COLUMNS} FROM c_orders",
+        "catalog_after_inserts": _silver() + "SELECT order_id, customer_id, order_date, status, total_amount FROM silver_orders",
+        "stream_upsert_delayed": orders_clean,
         "insert_new_orders": _silver() + """
 SELECT order_id, customer_id, order_date, status,
        CASE WHEN status = 'completed' THEN total_amount ELSE 0 END AS total_amount FROM silver_orders""",
@@ -449,7 +456,7 @@ SELECT 'medallion' AS pipeline_name, 'all' AS layer, 'SUCCESS' AS status,
        (SELECT count(*) FROM c_orders) AS orders, (SELECT count(*) FROM c_items) AS order_items""",
         "order_summary_view": _ctes(*clean_ctes()) + """
 SELECT o.order_id, o.order_date, o.status, o.total_amount, c.full_name AS customer_name, c.email, c.tier, c.country,
-       count(i.order_item_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(15,2)) AS calculated_total
+       count(i.order_item_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(28,2)) AS calculated_total
 FROM c_orders o JOIN c_customers c ON o.customer_id = c.customer_id JOIN c_items i ON o.order_id = i.order_id
 GROUP BY o.order_id, o.order_date, o.status, o.total_amount, c.full_name, c.email, c.tier, c.country""",
         "catalog_query": _from_monthly("SELECT year_month, gross_revenue, order_count FROM monthly WHERE order_count > 100"),

@@ -2,6 +2,7 @@
 
 import datetime
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from harness.mapping import BRONZE_SQL, bronze, silver, table
 from harness.oracles import AS_OF, CHURN_DAYS, HIGH, MEDIUM
 from smeltworks.operators import constraints, loads
-from smeltworks.operators.skew import hot_hashes, orphans
+from smeltworks.operators.skew import hot_keys, orphans
 from smeltworks.plans import analytics, gold, medallion
 from smeltworks.plans import silver as cleaning
 from smeltworks.schemas import (
@@ -66,9 +67,9 @@ def _ltv(spark, d) -> DataFrame:
     )
 
 
-def _performance(spark, d, **options) -> DataFrame:
+def _performance(spark, d) -> DataFrame:
     return gold.product_performance(
-        silver(spark, d, "products"), silver(spark, d, "items"), silver(spark, d, "orders"), **options
+        silver(spark, d, "products"), silver(spark, d, "items"), silver(spark, d, "orders")
     )
 
 
@@ -108,14 +109,14 @@ def _batch(df: DataFrame, number: int) -> DataFrame:
 def silver_orders_hot_customers(spark, d) -> DataFrame:
     """Orders cleaned with the split join switched on for every customer the sample finds."""
     raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
-    hot = hot_hashes(raw.select(F.lower("customer_id").alias("customer_id")), ["customer_id"], split_above=0, hot_rows=2)
+    hot = hot_keys(raw.select(F.lower("customer_id").alias("customer_id")), ["customer_id"], hot_rows=2)
     return _shown(cleaning.clean_orders(raw, customers, hot={"customer_id": hot}))
 
 
 def order_history_hot_customers(spark, d) -> DataFrame:
     """Order histories with the range-partitioned path switched on for every customer the sample finds."""
     orders = silver(spark, d, "orders")
-    hot = hot_hashes(orders.where("status = 'completed'"), ["customer_id"], split_above=0, hot_rows=2)
+    hot = hot_keys(orders.where("status = 'completed'"), ["customer_id"], hot_rows=2)
     return analytics.order_history(orders, hot)
 
 
@@ -154,11 +155,16 @@ def bronze_batches(spark, d) -> DataFrame:
 
 def csv_ingest(spark, d) -> DataFrame:
     """Raw CSV files, one folder per batch, into a bronze table."""
+    return _file_ingest(spark, d, "csv", header=True)
+
+
+def _file_ingest(spark, d, kind: str, **options) -> DataFrame:
     raw, target = bronze(spark, d, "raw_orders"), _stored(spark, BRONZE["raw_orders"])
     for number in (1, 2):
-        folder = scratch_path(spark, "csv")
-        _batch(raw, number).drop("_id", "_ingested_at", "_source_file", "_batch_id").write.csv(folder, header=True)
-        ingest_bronze(target, read_raw(spark, folder, "raw_orders"), f"batch-{number}")
+        folder = scratch_path(spark, kind)
+        rows = _batch(raw, number).drop("_id", "_ingested_at", "_source_file", "_batch_id")
+        rows.write.format(kind).options(**options).save(folder)
+        ingest_bronze(target, read_raw(spark, folder, "raw_orders", kind), f"batch-{number}")
     return target.read().groupBy(F.col("_batch_id").alias("batch_id")).agg(
         F.count("*").alias("row_count"),
         F.count("order_id").alias("order_ids"),
@@ -167,6 +173,11 @@ def csv_ingest(spark, d) -> DataFrame:
     )
 
 
+def json_ingest(spark, d) -> DataFrame:
+    """Raw JSON lines, one folder per batch, into a bronze table."""
+    return _file_ingest(spark, d, "json")
+
+
 def validate_bronze(spark, d) -> DataFrame:
     """Gate on empty tables, then row counts."""
     tables = {name: bronze(spark, d, name) for name in BRONZE_SQL}
@@ -191,6 +202,29 @@ def upsert_orders(spark, d) -> DataFrame:
     return _shown(target.read())
 
 
+def rebucketed_upsert(spark, d) -> DataFrame:
+    """The second batch comes with another number of buckets than the table was stored with."""
+    raw, path = bronze(spark, d, "raw_customers"), scratch_path(spark, "customers")
+    for number, buckets in ((1, 8), (2, 3)):
+        target = StoredTable(spark, path, silver_spec("customers", buckets))
+        loads.upsert(target, cleaning.clean_customers(_batch(raw, number)))
+    return _shown(target.read())
+
+
+def incremental_late_parent(spark, d) -> DataFrame:
+    """Half of the customers come one increment after their orders."""
+    house = medallion.Warehouse(spark, scratch_path(spark, "late"), buckets=8)
+    customers, stamp = _batch(bronze(spark, d, "raw_customers"), 1), "2024-01-01 00:00:00"
+    orders = _batch(bronze(spark, d, "raw_orders"), 1)
+    for parity in (0, 1):
+        some = customers.where(F.col("_id") % 2 == parity).withColumn("_batch_id", F.lit(f"half-{parity}"))
+        ingest_bronze(house.bronze("raw_customers"), some, f"half-{parity}", ingested_at=f"2024-01-0{parity + 1} 00:00:00")
+        ingest_bronze(house.bronze("raw_orders"), orders, "batch-1", ingested_at=stamp)
+        for name in ("customers", "orders"):
+            medallion.load_silver_increment(house, name, datetime.timedelta(0))
+    return _shown(house.silver("orders").read())
+
+
 def customers_full_refresh(spark, d) -> DataFrame:
     """The customer model rebuilt in full, twice."""
     target, raw = _stored(spark, CUSTOMERS), bronze(spark, d, "raw_customers")
@@ -209,6 +243,25 @@ def insert_new_orders(spark, d) -> DataFrame:
     return target.read()
 
 
+def catalog_after_inserts(spark, d) -> DataFrame:
+    """A table of several revisions per directory, read by its catalog name."""
+    orders = silver(spark, d, "orders")
+    spec = TableSpec("order_facts", orders.schema, keys=("order_id",), partition=bucketed(("order_id",), 8))
+    target = _stored(spark, spec)
+    prefix = _layers(spark)
+    for status in ("completed", "shipped", "cancelled", "refunded"):
+        loads.insert_new(target, orders.where(F.col("status") == status))
+        catalog.register(target, f"{prefix}gold.order_facts")
+    return spark.sql(f"SELECT order_id, customer_id, order_date, status, total_amount FROM {prefix}gold.order_facts")
+
+
+def _layers(spark) -> str:
+    """New catalog databases, one per layer, and the prefix of their names: no two queries share any."""
+    prefix = f"q{uuid.uuid4().hex[:12]}_"
+    catalog.create_layers(spark, prefix, scratch_path(spark, "catalog"))
+    return prefix
+
+
 def _completed_days(spark, d) -> StoredTable:
     target = _stored(spark, DAY_SAMPLE)
     loads.replace_table(target, gold.completed_by_day(silver(spark, d, "orders")))
@@ -257,8 +310,9 @@ def _incremental(spark, d, buffer: datetime.timedelta) -> DataFrame:
     return _shown(target.read())
 
 
-def stream_orders(spark, d, arrival: tuple[int, ...]) -> DataFrame:
-    """Bronze files taken in by a stream, one run per arriving batch, newest row per order kept."""
+def stream_orders(spark, d, arrival: tuple[int, ...], delayed: bool = False) -> DataFrame:
+    """Bronze files taken in by a stream, one run per arriving batch, newest row per order kept; ``delayed``: all
+    change sets are collected first and applied at the end."""
     raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
     stamps = [T.StructField("_ingested_at", T.TimestampType()), T.StructField("_id", T.LongType())]
     schema = T.StructType([*ORDERS.schema.fields, *stamps])
@@ -277,7 +331,10 @@ def stream_orders(spark, d, arrival: tuple[int, ...]) -> DataFrame:
     )
     for number in arrival:
         _batch(raw, number).write.mode("append").parquet(inbox)
+        feed.collect_changes() if delayed else feed.run()
+    if delayed:
         feed.run()
+        feed.drop_applied()
     return _shown(target.read()).drop("_ingested_at", "_id")
 
 
@@ -355,7 +412,7 @@ def enforce_sales(spark, d) -> DataFrame:
 @functools.cache
 def _house(app: str, d: str) -> medallion.Warehouse:
     spark = SparkSession.active()
-    house = medallion.Warehouse(spark, scratch_path(spark, "warehouse"), buckets=8)
+    house = medallion.Warehouse(spark, scratch_path(spark, "warehouse"), buckets=8, prefix=f"h{uuid.uuid4().hex[:12]}_")
     for name in BRONZE_SQL:
         for number in (1, 2):
             rows = _batch(bronze(spark, d, name), number)
@@ -380,22 +437,23 @@ def run_log(spark, d) -> DataFrame:
 
 def catalog_query(spark, d) -> DataFrame:
     """Ad-hoc SQL over a gold table by its layer name."""
-    catalog.create_layers(spark)
+    prefix = _layers(spark)
     target = _stored(spark, medallion.GOLD["daily_revenue"])
     loads.replace_table(target, _daily(spark, d))
-    catalog.register(target, "gold.daily_revenue")
-    return spark.sql("""
+    catalog.register(target, f"{prefix}gold.daily_revenue")
+    return spark.sql(f"""
 WITH monthly AS (
-  SELECT date_format(revenue_date, 'yyyy-MM') AS year_month, CAST(sum(gross_revenue) AS DECIMAL(15,2)) AS gross_revenue,
+  SELECT date_format(revenue_date, 'yyyy-MM') AS year_month, CAST(sum(gross_revenue) AS DECIMAL(28,2)) AS gross_revenue,
          sum(order_count) AS order_count
-  FROM gold.daily_revenue GROUP BY 1)
+  FROM {prefix}gold.daily_revenue GROUP BY 1)
 SELECT year_month, gross_revenue, order_count FROM monthly WHERE order_count > 100""")
 
 
 def order_summary_view(spark, d) -> DataFrame:
     """The helper view, by its catalog name, over the tables of the whole run."""
-    medallion.register(_ran(spark, d))
-    return spark.sql("SELECT * FROM silver.v_order_summary")
+    house = _ran(spark, d)
+    medallion.register(house)
+    return spark.sql(f"SELECT * FROM {house.prefix}silver.v_order_summary")
 
 
 # -- plain SQL
@@ -440,7 +498,7 @@ def registry() -> dict:
         "weekly_revenue": lambda s, d: gold.weekly_revenue(_daily(s, d)),
         "customer_ltv": _ltv,
         "product_performance": _performance,
-        "product_performance_distributed_ranks": lambda s, d: _performance(s, d, single_task_bytes=0),
+        "product_performance_distributed_ranks": _performance,
         "order_summary": lambda s, d: gold.order_summary(
             silver(s, d, "orders"), silver(s, d, "customers"), silver(s, d, "items")
         ),
@@ -458,7 +516,7 @@ def registry() -> dict:
         "running_revenue": lambda s, d: analytics.running_revenue(_daily(s, d)),
         "rolling_30_rows": lambda s, d: analytics.rolling_month(_daily(s, d)),
         "customer_ranks": lambda s, d: analytics.customer_ranks(materialise(_ltv(s, d))),
-        "customer_ranks_distributed": lambda s, d: analytics.customer_ranks(materialise(_ltv(s, d)), single_task_bytes=0),
+        "customer_ranks_distributed": lambda s, d: analytics.customer_ranks(materialise(_ltv(s, d))),
         "month_growth": lambda s, d: analytics.month_growth(_monthly(s, d)),
         "order_history": lambda s, d: analytics.order_history(silver(s, d, "orders")),
         "order_history_hot_customers": order_history_hot_customers,
@@ -473,9 +531,13 @@ def registry() -> dict:
         "orphan_items": orphan_items,
         "bronze_batches": bronze_batches,
         "csv_ingest": csv_ingest,
+        "json_ingest": json_ingest,
         "validate_bronze": validate_bronze,
         "upsert_customers": upsert_customers,
         "upsert_orders": upsert_orders,
+        "rebucketed_upsert": rebucketed_upsert,
+        "incremental_late_parent": incremental_late_parent,
+        "catalog_after_inserts": catalog_after_inserts,
         "customers_full_refresh": customers_full_refresh,
         "insert_new_orders": insert_new_orders,
         "replace_table": replace_table,
@@ -485,6 +547,7 @@ def registry() -> dict:
         "incremental_load_buffered": lambda s, d: _incremental(s, d, hour),
         "stream_upsert": lambda s, d: stream_orders(s, d, (1, 2)),
         "stream_upsert_out_of_order": lambda s, d: stream_orders(s, d, (2, 1)),
+        "stream_upsert_delayed": lambda s, d: stream_orders(s, d, (1, 2), delayed=True),
         "sales_month": sales_month,
         "quality_checks": quality_checks,
         "unique_emails": unique_emails,

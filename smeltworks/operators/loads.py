@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from smeltworks.operators.constraints import ConstraintViolation, admit, duplicate_keys, generated_columns
 from smeltworks.operators.skew import join_unique
 from smeltworks.sources.scratch import materialise
-from smeltworks.sources.tables import Snapshot, StoredTable, _leaf
+from smeltworks.sources.tables import Snapshot, StoredTable, leaf
 
 
 @dataclass(frozen=True)
@@ -34,10 +34,10 @@ class LoadMetrics:
     updated: int = 0
 
 
-def _leaves(df: DataFrame, cols: list[str]) -> set[str]:
-    """Partition directories that ``df`` falls into: at most as many as the table has."""
+def _leaves(df: DataFrame, cols: list[str]) -> set[tuple[str, ...]]:
+    """Partition values that occur in ``df``: at most as many as the table has directories."""
     rows = df.select(*[F.col(c).cast("string") for c in cols]).distinct().collect()
-    return {"/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None else r[c]}" for c in cols) for r in rows}
+    return {tuple("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in r) for r in rows}
 
 
 def replace_table(table: StoredTable, df: DataFrame, check_keys: bool = False) -> LoadMetrics:
@@ -79,7 +79,7 @@ def upsert(
     spec = table.spec
     keys = keys or list(spec.keys)
     update_cols = list(spec.update_cols) if update_cols is None else update_cols
-    base = table.snapshot()
+    base = table.laid_out()
     source = table.with_partition(admit(df, spec))
     cols = table.partition_cols
     if base.dirs and cols:
@@ -118,7 +118,7 @@ def upsert(
     got = seen.get
     if got["per_key"] > 1:
         raise ConstraintViolation(f"{spec.name}: source has {got['per_key']} rows for one key")
-    kept = tuple(d for d in base.dirs if touched is not None and _leaf(d) not in touched)
+    kept = tuple(d for d in base.dirs if touched is not None and leaf(d) not in touched)
     table.publish(kept + dirs, base=base)
     return LoadMetrics(got["processed"], got["inserted"], got["updated"])
 
@@ -141,7 +141,7 @@ def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None)
     """Insert-or-ignore: append rows of unknown keys, leave known ones alone. Of several source rows with one
     key a single one is kept. Existing files stay as they are."""
     keys = keys or list(table.spec.keys)
-    base = table.snapshot()
+    base = table.laid_out()
     source = materialise(table.with_partition(admit(df, table.spec)), f"insert-{table.spec.name}")
     cols = table.partition_cols
     known = table.read(base, _leaves(source, cols) if cols else None, helpers=True).select(*keys)
@@ -158,7 +158,7 @@ def replace_range(table: StoredTable, df: DataFrame, column: str, start, end) ->
     Only partitions that hold rows of the range are rewritten. An empty ``df`` empties the range. Rows of
     ``df`` outside the range fail the job.
     """
-    base = table.snapshot()
+    base = table.laid_out()
     cols = table.partition_cols
     lo, hi = F.lit(start), F.lit(end)
 
@@ -179,7 +179,7 @@ def replace_range(table: StoredTable, df: DataFrame, column: str, start, end) ->
     seen = Observation()
     rows = outside.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)))
     dirs = table.write_revision(rows, seen, [F.count_if("_new").alias("n")])
-    kept = tuple(d for d in base.dirs if touched is not None and _leaf(d) not in touched)
+    kept = tuple(d for d in base.dirs if touched is not None and leaf(d) not in touched)
     table.publish(kept + dirs, base=base)
     n = seen.get["n"]
     return LoadMetrics(n, n, 0)
@@ -197,7 +197,7 @@ def backfill(table: StoredTable, build: Callable[..., DataFrame], column: str, s
 
 def append_batch(table: StoredTable, df: DataFrame, batch_id: str) -> LoadMetrics:
     """Append a batch once: if the table already has ``batch_id``, nothing happens."""
-    base = table.snapshot()
+    base = table.laid_out()
     if batch_id in base.facts.get("batches", []):
         return LoadMetrics()
     first_id = base.facts.get("next_id", 1)

@@ -1,16 +1,14 @@
 """Ranks and running positions that never put a whole group into one task."""
 
 from collections.abc import Mapping
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltworks.functions.numbers import ratio
-from smeltworks.operators.skew import hot_hashes, join_unique
-from smeltworks.sources.scratch import input_bytes, materialise
-
-# A stored table up to this size is ranked by plain windows: a whole group fits one task.
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
+from smeltworks.operators.skew import hot_keys, join_unique, key_hash
+from smeltworks.sources.scratch import materialise
 
 
 def place(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -34,20 +32,17 @@ def add_ranks(
     value: str,
     ranks: Mapping[str, list[str]],
     percentiles: Mapping[str, list[str]] | None = None,
-    single_task_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Add ``RANK() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)`` for each name in ``ranks``, and
     ``PERCENT_RANK()`` in ascending order, three decimals, for each name in ``percentiles``.
 
     ``df`` must be a stored table (a gold table or ``materialise``), as it is read more than once.
 
-    Beyond ``single_task_bytes`` the work is spread: equal values collapse to one counted row per group, the
-    counted rows are range-partitioned by value, each partition ranks its own rows, and the counts of the
-    partitions before it are added. One group has at most one carried row per partition.
+    Equal values collapse to one counted row per group, the counted rows are range-partitioned by value, each
+    partition ranks its own rows, and the counts of the partitions before it are added. One group has at most one
+    carried row per partition.
     """
     percentiles = percentiles or {}
-    if input_bytes(df) <= single_task_bytes:
-        return _windowed_ranks(df, value, ranks, percentiles)
     groups = list(dict.fromkeys(c for g in [*ranks.values(), *percentiles.values()] for c in g))
     counted = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
     placed = place(counted, [F.col(value).desc_nulls_last()])
@@ -91,35 +86,26 @@ def _with_position(out: DataFrame, placed: DataFrame, value: str, group: list[st
     )
 
 
-def _windowed_ranks(df: DataFrame, value: str, ranks, percentiles) -> DataFrame:
-    down, up = F.col(value).desc_nulls_last(), F.col(value).asc_nulls_first()
-    added = {n: F.rank().over(Window.partitionBy(*g).orderBy(down)).cast("bigint") for n, g in ranks.items()}
-    for name, group in percentiles.items():
-        below = F.rank().over(Window.partitionBy(*group).orderBy(up)) - 1
-        others = F.count("*").over(Window.partitionBy(*group)) - 1
-        percent = ratio(below, others, 3, "decimal(4,3)")
-        added[name] = F.coalesce(percent, F.lit(0).cast("decimal(4,3)"))
-    return df.withColumns(added)
-
-
 def add_history(
     df: DataFrame,
     owner: str,
     day: str,
     tie: str,
-    hot: list[int] | None = None,
+    hot: DataFrame | Literal[False] | None = None,
 ) -> DataFrame:
     """Per row of an owner's time line: first and last day, position, and days since the row before.
 
     ``(owner, day, tie)`` must be unique. Owners are handled by one window each, except hot ones, whose rows
-    are range-partitioned by time and stitched together from per-partition edges.
+    are range-partitioned by time and stitched together from per-partition edges. ``hot`` is a table of ``hot_keys``,
+    made from ``df`` by default; ``False`` means that no owner is hot.
     """
-    hot = hot_hashes(df, [owner]) if hot is None else hot
-    if not hot:
+    if hot is None:
+        hot = hot_keys(df, [owner])
+    if hot is False or hot.isEmpty():
         return _history_by_window(df, owner, day, tie)
-    is_hot = F.xxhash64(owner).isin(hot)
-    return _history_by_window(df.where(~is_hot), owner, day, tie).unionByName(
-        _history_by_ranges(df.where(is_hot), owner, day, tie)
+    same = key_hash([owner]) == F.col("_hot")
+    return _history_by_window(df.join(hot, same, "left_anti"), owner, day, tie).unionByName(
+        _history_by_ranges(df.join(hot, same, "left_semi"), owner, day, tie)
     )
 
 

@@ -1,48 +1,33 @@
 """Joins to a unique side that stay balanced when one key holds a large share of the rows."""
 
+from typing import Literal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltworks.sources.scratch import input_bytes
+from smeltworks.sources.scratch import materialise
 
-# Inputs up to this size are never split: AQE's own threshold for calling a partition skewed.
-SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
-# A key with about this many rows is split; one task handles fewer with ease.
+# A key is split into parts of about this many rows; one task handles fewer with ease.
 HOT_ROWS = 1_000_000
 # Sampled rows that stand for a hot key: enough to tell it from its neighbours.
 SAMPLE_HITS = 100
-# Greatest number of keys to split, heaviest first. The rest stay exact and are left to AQE.
-MAX_HOT_KEYS = 10_000
 
 
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_hashes(
-    df: DataFrame,
-    keys: list[str],
-    split_above: int = SPLIT_ABOVE_BYTES,
-    hot_rows: int = HOT_ROWS,
-) -> list[int]:
-    """Hashes of the keys worth splitting; at most ``MAX_HOT_KEYS`` of them.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(_hot, _salts)``: hashes of the keys worth splitting, and into how many parts, as a stored table.
 
     Reads a sample of the key columns: one pruned scan and, at the default of one row in ten thousand, a small
     shuffle. The sample decides only where rows travel: a key missed or added here changes no result.
     """
-    if input_bytes(df) <= split_above:
-        return []
     fraction = min(1.0, SAMPLE_HITS / hot_rows)
-    counted = (
-        df.select(key_hash(keys).alias("h"))
-        .sample(fraction=fraction, seed=17)
-        .groupBy("h")
-        .count()
-        .where(F.col("count") >= hot_rows * fraction)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-    )
-    return [row.h for row in counted.collect()]
+    sampled = df.select(*keys).sample(fraction=fraction, seed=17)
+    counted = sampled.select(key_hash(keys).alias("_hot")).groupBy("_hot").count()
+    salts = F.ceil(F.col("count") / (fraction * hot_rows)).cast("int") + 1
+    return materialise(counted.where(F.col("count") >= hot_rows * fraction).select("_hot", salts.alias("_salts")), "hot")
 
 
 def join_unique(
@@ -50,32 +35,34 @@ def join_unique(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
-    hot: list[int] | None = None,
+    hot: DataFrame | Literal[False] | None = None,
     null_safe: bool = False,
-    spread: int | None = None,
 ) -> DataFrame:
     """Join to a side that has at most one row per key (``inner``, ``left``, ``left_semi``, ``left_anti``).
 
     Rows of hot keys get a salt from a hash of the whole row, and the one matching right row is repeated per
-    salt; all other keys have salt 0. Growth on the right is bounded by ``MAX_HOT_KEYS * spread`` rows.
+    salt of its key; all other keys have salt 0. ``hot`` is a table of ``hot_keys``; by default it is made from
+    ``left``, and ``False`` means that no key is hot. The right side grows by one row per ``HOT_ROWS`` left rows at most.
     """
     for k in keys:
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"join key {k}: {left.schema[k].dataType} and {right.schema[k].dataType}")
-    hot = hot_hashes(left, keys) if hot is None else hot
+    if hot is None:
+        hot = hot_keys(left, keys)
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     matched = [
         F.col(k).eqNullSafe(F.col(f"_right_{k}")) if null_safe else F.col(k) == F.col(f"_right_{k}")
         for k in keys
     ]
-    if hot:
-        spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
-        left = left.withColumn("_salt", F.when(key_hash(keys).isin(hot), row_salt).otherwise(F.lit(0)))
-        salts = F.when(
-            key_hash([f"_right_{k}" for k in keys]).isin(hot), F.sequence(F.lit(0), F.lit(spread - 1))
-        ).otherwise(F.array(F.lit(0)))
-        right = right.withColumn("_right_salt", F.explode(salts))
+    if hot is not False and not hot.isEmpty():
+        row_salt = F.pmod(F.xxhash64(*left.columns), F.coalesce("_salts", F.lit(1))).cast("int")
+        left = left.withColumn("_hash", key_hash(keys)).join(hot, F.col("_hash") == F.col("_hot"), "left")
+        left = left.withColumn("_salt", row_salt).drop("_hash", "_hot", "_salts")
+        copies = hot.select(F.col("_hot").alias("_right_hot"), F.col("_salts").alias("_copies"))
+        right = right.withColumn("_right_hash", key_hash([f"_right_{k}" for k in keys]))
+        right = right.join(copies, F.col("_right_hash") == F.col("_right_hot"), "left")
+        salts = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+        right = right.withColumn("_right_salt", F.explode(salts)).drop("_right_hash", "_right_hot", "_copies")
         matched.append(F.col("_salt") == F.col("_right_salt"))
     condition = matched[0]
     for part in matched[1:]:

@@ -5,11 +5,13 @@ row per calendar day or month whatever the volume of orders. Everything over cus
 partitioned by a key or goes through ``operators.ordering``.
 """
 
+from typing import Literal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltworks.functions import exact_avg, pct_change, year_month
-from smeltworks.operators.ordering import SINGLE_TASK_BYTES, add_history, add_ranks
+from smeltworks.operators.ordering import add_history, add_ranks
 from smeltworks.operators.skew import join_unique
 from smeltworks.plans.gold import earns, order_totals
 from smeltworks.schemas import GOLD_MONEY
@@ -34,7 +36,7 @@ def rolling_month(daily: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
     return daily.select("revenue_date", "gross_revenue", exact_avg(total, n, money).alias("rolling_30d_avg"))
 
 
-def customer_ranks(ltv: DataFrame, single_task_bytes: int = SINGLE_TASK_BYTES) -> DataFrame:
+def customer_ranks(ltv: DataFrame) -> DataFrame:
     """Rank by revenue within the tier and overall, and percentile within the tier, of customers with orders.
 
     ``ltv`` must be a stored table.
@@ -45,7 +47,6 @@ def customer_ranks(ltv: DataFrame, single_task_bytes: int = SINGLE_TASK_BYTES) -
         "total_revenue",
         {"rank_in_tier": ["tier"], "overall_rank": []},
         {"percentile_in_tier": ["tier"]},
-        single_task_bytes,
     )
 
 
@@ -64,7 +65,7 @@ def month_growth(monthly: DataFrame) -> DataFrame:
     )
 
 
-def order_history(orders: DataFrame, hot: list[int] | None = None) -> DataFrame:
+def order_history(orders: DataFrame, hot: DataFrame | Literal[False] | None = None) -> DataFrame:
     """Completed orders with the customer's first and last date, the order's number and the days since the
     order before. Orders of one day follow their id."""
     done = orders.where("status = 'completed'").select("customer_id", "order_id", "order_date", "total_amount")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from smeltworks.functions import exact_avg, month_index, pct_change, year_month
 from smeltworks.functions.numbers import ratio
-from smeltworks.operators.ordering import SINGLE_TASK_BYTES, add_ranks
-from smeltworks.operators.skew import hot_hashes, join_unique
+from smeltworks.operators.ordering import add_ranks
+from smeltworks.operators.skew import hot_keys, join_unique
 from smeltworks.schemas import GOLD_MONEY
 from smeltworks.sources.scratch import materialise
 
@@ -175,26 +175,28 @@ def product_totals(products: DataFrame, items: DataFrame, orders: DataFrame, mon
 
     Units, revenue and cost include cancelled and refunded orders; only the order count leaves them out.
     """
-    sales = items.groupBy("product_id").agg(
-        F.sum("quantity").alias("_units"),
-        F.sum("line_total").alias("_revenue"),
-        F.sum("unit_price").alias("_prices"),
-        F.count("unit_price").alias("_priced"),
+    # One scan and one full-size shuffle of the items: to their order, where they fold to a row per order and product.
+    flagged = orders.select("order_id", earns().alias("_earns"))
+    sold = items.select("order_id", "product_id", "quantity", "line_total", "unit_price")
+    pairs = (
+        join_unique(sold, flagged, ["order_id"], "left")
+        .groupBy("order_id", "product_id")
+        .agg(
+            F.sum("quantity").alias("_units"),
+            F.sum("line_total").alias("_revenue"),
+            F.sum("unit_price").alias("_prices"),
+            F.count("unit_price").alias("_priced"),
+            F.max("_earns").alias("_earns"),
+        )
     )
-    # Pairs are made distinct on the map side first, so a huge order is no longer than its list of products.
-    pairs = items.select("order_id", "product_id").distinct()
-    hot = hot_hashes(items, ["order_id"])
-    counted = (
-        join_unique(pairs, orders.where(earns()).select("order_id"), ["order_id"], "left_semi", hot=hot)
-        .groupBy("product_id")
-        .agg(F.count("*").alias("_orders"))
+    sales = pairs.groupBy("product_id").agg(
+        *[F.sum(c).alias(c) for c in ("_units", "_revenue", "_prices", "_priced")], F.count_if("_earns").alias("_orders")
     )
     revenue = F.col("_revenue").cast(money)
     cost = F.col("_units") * F.col("cost")
     return (
         products.select("product_id", "product_name", "category", "cost")
         .join(sales, "product_id", "left")
-        .join(counted, "product_id", "left")
         .select(
             "product_id",
             "product_name",
@@ -214,7 +216,6 @@ def product_performance(
     items: DataFrame,
     orders: DataFrame,
     money: str = GOLD_MONEY,
-    single_task_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Sales per product with its rank by revenue, overall and within the category.
 
@@ -222,12 +223,12 @@ def product_performance(
     """
     totals = materialise(product_totals(products, items, orders, money), "products")
     ranks = {"revenue_rank": [], "category_rank": ["category"]}
-    return add_ranks(totals, "_ranked", ranks, single_task_bytes=single_task_bytes).drop("_ranked")
+    return add_ranks(totals, "_ranked", ranks).drop("_ranked")
 
 
 def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
     """Orders that have items, with their customer and item totals."""
-    hot = hot_hashes(orders, ["customer_id"])
+    hot = hot_keys(orders, ["customer_id"])
     buyers = customers.select(
         "customer_id", F.col("full_name").alias("customer_name"), "email", "tier", "country"
     )
@@ -250,7 +251,7 @@ def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame, mon
 
 def category_revenue(products: DataFrame, items: DataFrame, orders: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
     """Revenue by product category and month; net leaves out cancelled and refunded orders."""
-    hot = hot_hashes(items, ["order_id"])
+    hot = hot_keys(items, ["order_id"])
     dated = orders.select("order_id", year_month("order_date").alias("year_month"), earns().alias("_earns"))
     per_product = (
         join_unique(
@@ -293,10 +294,11 @@ def kpi_tiles(daily: DataFrame, orders: DataFrame, money: str = GOLD_MONEY) -> D
         F.sum("gross_revenue").cast(money).alias("total_revenue"),
         F.sum("net_revenue").cast(money).alias("net_revenue"),
         exact_avg(F.sum("avg_order_value"), F.count("avg_order_value")).alias("avg_order_value"),
-        F.lit(1).alias("_one"),
     )
-    buyers = orders.agg(F.count_distinct("customer_id").alias("unique_customers"), F.lit(1).alias("_one"))
-    return revenue.join(buyers, "_one").drop("_one")
+    buyers = orders.agg(F.count_distinct("customer_id").alias("unique_customers"))
+    # Two single rows, put together without a join.
+    both = revenue.unionByName(buyers, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def ltv_by_segment(ltv: DataFrame, money: str = GOLD_MONEY) -> DataFrame:

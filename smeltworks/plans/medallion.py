@@ -39,6 +39,8 @@ class Warehouse:
     spark: SparkSession
     root: str
     buckets: int = 16
+    # Put before the layer names in the catalog, so that several warehouses can share one.
+    prefix: str = ""
 
     def bronze(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/bronze/{name}", BRONZE[name])
@@ -52,19 +54,24 @@ class Warehouse:
     def rejects(self, name: str) -> StoredTable:
         return StoredTable(self.spark, f"{self.root}/silver/rejected_{name}", REJECTS)
 
+    def waiting(self, name: str) -> StoredTable:
+        """Bronze rows of earlier increments whose parent has not come yet."""
+        spec = BRONZE[f"raw_{name}"].like(f"waiting_{name}", partition={})
+        return StoredTable(self.spark, f"{self.root}/silver/waiting_{name}", spec)
+
     def log(self) -> RunLog:
         return RunLog(self.spark, f"{self.root}/bronze/pipeline_runs")
 
 
 def register(house: Warehouse) -> None:
     """Put every loaded table and the helper view into the session catalog under its layer name."""
-    catalog.create_layers(house.spark)
+    catalog.create_layers(house.spark, house.prefix, f"{house.root}/catalog")
     for layer, names in (("bronze", BRONZE), ("silver", SILVER), ("gold", GOLD)):
         for name in names:
             table = getattr(house, layer)(name)
             if table.snapshot().dirs:
-                catalog.register(table, f"{layer}.{name}")
-    catalog.create_views(house.spark)
+                catalog.register(table, f"{house.prefix}{layer}.{name}")
+    catalog.create_views(house.spark, house.prefix)
 
 
 def validate_bronze(house: Warehouse) -> DataFrame:
@@ -101,17 +108,30 @@ def load_silver(house: Warehouse, name: str, on_error: str = "fail") -> LoadMetr
 def load_silver_increment(
     house: Warehouse, name: str, buffer: datetime.timedelta, on_error: str = "fail"
 ) -> LoadMetrics:
-    """Clean and upsert only the bronze rows since the last run. Rows whose parent arrives in a later run stay
-    out, unless they are within ``buffer`` then."""
+    """Clean and upsert only the bronze rows since the last run, and the rows of earlier runs that waited for a parent.
+
+    A row that is refused for nothing but an unknown parent waits in a table of its own until the parent comes or a newer row
+    of its key is taken. The waiting rows are switched after the upsert and before the mark moves: a run that
+    breaks in between is repeated with the same result.
+    """
+    source, target, parked = house.bronze(f"raw_{name}"), house.silver(name), house.waiting(name)
+    parents, seen = _parents(house, name), []
 
     def transform(bronze: DataFrame) -> DataFrame:
+        if parents:
+            bronze = materialise(bronze, f"fresh-{name}")
+            seen.append(bronze)
         rows = _cleaned(house, name, bronze, on_error)
         if on_error == "quarantine":
             insert_new(house.rejects(name), _rejected(house, name, bronze, rows))
         return rows
 
-    source, target = house.bronze(f"raw_{name}"), house.silver(name)
-    return incremental_load(source, house.log(), f"silver_{name}", transform, target, buffer)
+    def park() -> None:
+        for bronze in seen:
+            replace_table(parked, silver.waiting(name, bronze, parents))
+
+    old = parked.read() if parents and parked.exists() else None
+    return incremental_load(source, house.log(), f"silver_{name}", transform, target, buffer, waiting=old, after=park)
 
 
 def _rejected(house: Warehouse, name: str, bronze: DataFrame, kept: DataFrame) -> DataFrame:
@@ -199,7 +219,7 @@ def run_medallion(
             raise ConstraintViolation("; ".join(f"{r.table_name}: {r.rule}" for r in broken))
         done.update(load_gold(house, as_of, **thresholds))
     except Exception as error:
-        log.log_run("medallion", "all", "FAILED", run_id=run_id, started_at=started, error=str(error)[:2000])
+        log.log_run("medallion", "all", "FAILED", run_id=run_id, started_at=started, error=str(error))
         raise
     total = LoadMetrics(
         *(sum(getattr(m, f) for m in done.values()) for f in ("processed", "inserted", "updated"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from smeltworks.functions import canonical_uuid, is_present, safe_decimal, safe_int
 from smeltworks.operators.constraints import add_absent, reasons, row_errors, split_errors
 from smeltworks.operators.dedup import latest_by
-from smeltworks.operators.skew import hot_hashes, join_unique
+from smeltworks.operators.skew import hot_keys, join_unique
 from smeltworks.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
 
 NEWEST_FIRST = ["_ingested_at", "_id"]
@@ -100,9 +100,9 @@ def _latest(bronze: DataFrame, rule: Rule) -> DataFrame:
     return latest_by(_eligible(bronze, rule), [rule.ids[0]], NEWEST_FIRST)
 
 
-def _hot_parents(bronze: DataFrame, c: str) -> list[int]:
+def _hot_parents(bronze: DataFrame, c: str) -> DataFrame:
     """Hot values of a parent id; the raw column shows them without running the deduplication."""
-    return hot_hashes(bronze.select(canonical_uuid(c).alias(c)), [c])
+    return hot_keys(bronze.select(canonical_uuid(c).alias(c)), [c])
 
 
 def _typed(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -133,12 +133,12 @@ def _clean(
     bronze: DataFrame,
     parents: Mapping[str, DataFrame],
     on_error: str,
-    hot: Mapping[str, list[int]] | None = None,
+    hot: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     rule = _rules()[name]
     rows = _latest(bronze, rule)
     for c, parent in rule.parents.items():
-        split = _hot_parents(bronze, c) if hot is None else hot.get(c, [])
+        split = _hot_parents(bronze, c) if hot is None else hot.get(c, False)
         rows = join_unique(rows, parents[parent].select(c), [c], "left_semi", hot=split)
     good = split_errors(_typed(rows, rule), rule.ids[0], on_error)
     return good.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in rule.spec.schema])
@@ -158,7 +158,7 @@ def clean_orders(
     bronze: DataFrame,
     customers: DataFrame,
     on_error: str = "fail",
-    hot: Mapping[str, list[int]] | None = None,
+    hot: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Orders of known customers; an unusable amount becomes 0, no currency becomes USD.
 
@@ -172,12 +172,23 @@ def clean_order_items(
     orders: DataFrame,
     products: DataFrame,
     on_error: str = "fail",
-    hot: Mapping[str, list[int]] | None = None,
+    hot: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Items of known orders and products; quantity defaults to 1, discount is capped at 100."""
     return _clean("order_items", bronze, {"orders": orders, "products": products}, on_error, hot)
 
 
+def waiting(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Bronze rows that only lack a parent: the latest of their key, refused by nothing but an unknown parent id."""
+    rule = _rules()[name]
+    latest, known = _latest(bronze, rule), None
+    for c, parent in rule.parents.items():
+        mark = parents[parent].select(c, F.lit(True).alias(f"_known_{c}"))
+        latest = join_unique(latest, mark, [c], "left", hot=_hot_parents(bronze, c))
+        known = F.col(f"_known_{c}").isNotNull() if known is None else known & F.col(f"_known_{c}").isNotNull()
+    return latest.where(~known).select(*bronze.columns)
+
+
 def project_orders(bronze: DataFrame, customers: DataFrame, on_error: str = "fail") -> DataFrame:
     """``clean_orders`` without keeping the latest row, so that it runs row by row on a stream.
 

@@ -5,8 +5,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
-# Money in gold. Sums beyond 13 integer digits need a wider type; pass one to the gold functions.
-GOLD_MONEY = "decimal(15,2)"
+# Money in gold: wide enough for sums over any number of orders.
+GOLD_MONEY = "decimal(28,2)"
 
 
 def columns(text: str) -> T.StructType:

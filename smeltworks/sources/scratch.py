@@ -39,13 +39,3 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files and relations a plan reads.
-
-    Sums the leaves: estimates higher up multiply at each join. A leaf without statistics counts as huge, so a
-    check of the form ``input_bytes(df) <= limit`` errs on the side of the scalable path.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

@@ -5,9 +5,12 @@ that make up the table. Readers take the newest list, so they never see an empty
 job that dies before the switch leaves only unlisted files. One writer per table is assumed.
 """
 
+import datetime
 import json
+import time
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,9 @@ from pyspark.sql import types as T
 
 from smeltworks.schemas import TableSpec
 
+# Unlisted directories younger than this may belong to a load that is still running.
+SPARED = datetime.timedelta(days=7)
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -25,9 +31,9 @@ class Snapshot:
     facts: dict = field(default_factory=dict)
 
 
-def _leaf(path: str) -> str:
-    """Partition part of a directory: ``rev=x/_bucket=3`` to ``_bucket=3``."""
-    return path.partition("/")[2]
+def leaf(path: str) -> tuple[str, ...]:
+    """Partition values of a directory, as text and unescaped: ``rev=x/day=2024-01-05T10%3A00`` to ``("2024-01-05T10:00",)``."""
+    return tuple(unquote(level.partition("=")[2]) for level in path.split("/")[1:])
 
 
 _FIELDS: dict[tuple, list[T.StructField]] = {}
@@ -80,7 +86,7 @@ class StoredTable:
     def read(
         self,
         snapshot: Snapshot | None = None,
-        leaves: set[str] | None = None,
+        leaves: set[tuple[str, ...]] | None = None,
         helpers: bool = False,
     ) -> DataFrame:
         """The rows of a state, of the given partition directories only if ``leaves`` is set.
@@ -88,7 +94,7 @@ class StoredTable:
         ``helpers`` keeps directory columns that are not columns of the table.
         """
         snapshot = snapshot or self.snapshot()
-        dirs = [d for d in snapshot.dirs if leaves is None or _leaf(d) in leaves]
+        dirs = [d for d in snapshot.dirs if leaves is None or leaf(d) in leaves]
         if dirs:
             schema = T.StructType([*self.full_schema.fields, T.StructField("rev", T.StringType())])
             df = (
@@ -100,11 +106,9 @@ class StoredTable:
             df = self.spark.createDataFrame([], self.full_schema)
         return df.select(*(self.full_schema.names if helpers else self.spec.schema.names))
 
-    def leaves_from(self, snapshot: Snapshot, low: str) -> set[str]:
+    def leaves_from(self, snapshot: Snapshot, low: str) -> set[tuple[str, ...]]:
         """Directories whose outermost level is at least ``low``, compared as text."""
-        prefix = f"{self.partition_cols[0]}="
-        leaves = {_leaf(d) for d in snapshot.dirs}
-        return {leaf for leaf in leaves if leaf.partition("/")[0].removeprefix(prefix) >= low}
+        return {values for d in snapshot.dirs if (values := leaf(d))[0] >= low}
 
     # -- writing
 
@@ -114,15 +118,14 @@ class StoredTable:
             {c: F.expr(e) for c, e in self.spec.partition.items() if c not in self.spec.schema.names}
         )
 
-    def leaves_between(self, snapshot: Snapshot, start, end) -> set[str]:
+    def leaves_between(self, snapshot: Snapshot, start, end) -> set[tuple[str, ...]]:
         """Directories that can hold ``start <= spec.ordered_by < end``, from the list alone."""
-        ((partition, expression),) = self.spec.partition.items()
+        (expression,) = self.spec.partition.values()
         bounds = self.spark.createDataFrame(
             [(start,), (end,)], T.StructType([self.spec.schema[self.spec.ordered_by]])
         ).select(F.expr(expression).cast("string").alias("v"))
         low, high = sorted(row.v for row in bounds.collect())
-        leaves = {_leaf(d) for d in snapshot.dirs}
-        return {leaf for leaf in leaves if low <= leaf.removeprefix(f"{partition}=") <= high}
+        return {values for d in snapshot.dirs if low <= (values := leaf(d))[0] <= high}
 
     def write_revision(
         self, df: DataFrame, seen: Observation, metrics: list[Column], placed: bool = False
@@ -153,7 +156,8 @@ class StoredTable:
         """Make ``dirs`` the table's content. Fails if somebody published after ``base`` was read."""
         base = base or self.snapshot()
         number = base.number + 1
-        state = {"dirs": list(dirs), "facts": {**base.facts, **(facts or {})}}
+        layout = {"layout": dict(self.spec.partition)}
+        state = {"dirs": list(dirs), "facts": {**base.facts, **layout, **(facts or {})}}
         final = self._jvm_path(f"{self.path}/_log/{number:010d}.json")
         if self._fs.exists(final):
             raise RuntimeError(f"{self.path}: state {number} was published by another writer")
@@ -167,8 +171,18 @@ class StoredTable:
             raise RuntimeError(f"{self.path}: could not publish state {number}")
         return Snapshot(number, tuple(dirs), state["facts"])
 
-    def vacuum(self, keep: int = 2) -> int:
-        """Delete directories that none of the newest ``keep`` states lists. Returns how many went."""
+    def laid_out(self) -> Snapshot:
+        """The newest state, in the layout of the spec. A table stored in another one, such as another number of
+        buckets, is first written anew: a load that mixed the two would miss rows that it must touch."""
+        base = self.snapshot()
+        if not base.dirs or base.facts.get("layout", dict(self.spec.partition)) == dict(self.spec.partition):
+            return base
+        rows = self.with_partition(self.read(base))
+        return self.publish(self.write_revision(rows, Observation(), [F.count("*").alias("n")]), base=base)
+
+    def vacuum(self, keep: int = 2, older_than: datetime.timedelta = SPARED) -> int:
+        """Delete directories that none of the newest ``keep`` states lists, but none younger than ``older_than``: a running
+        load may have written them and not published yet. Returns how many went."""
         newest = self.snapshot().number
         used: set[str] = set()
         for number in range(max(1, newest - keep + 1), newest + 1):
@@ -179,11 +193,13 @@ class StoredTable:
                 stream.close()
             used.update(json.loads(text)["dirs"])
         revisions = {d.partition("/")[0] for d in used}
-        gone = 0
+        gone, oldest = 0, (time.time() - older_than.total_seconds()) * 1000
         for status in self._fs.listStatus(self._jvm_path(f"{self.path}/data")):
-            if status.getPath().getName() not in revisions:
+            if status.getPath().getName() not in revisions and status.getModificationTime() <= oldest:
                 self._fs.delete(status.getPath(), True)
                 gone += 1
-        for number in range(1, newest - keep + 1):
-            self._fs.delete(self._jvm_path(f"{self.path}/_log/{number:010d}.json"), False)
+        for status in self._fs.listStatus(self._log_dir()):
+            name = status.getPath().getName()
+            if name.endswith(".json") and not name.startswith(".") and int(name[: -len(".json")]) <= newest - keep:
+                self._fs.delete(status.getPath(), False)
         return gone

@@ -35,15 +35,13 @@ class ChangeStream:
         order_col: str | None = None,
         file_format: str = "parquet",
         files_per_trigger: int = 1000,
-        retention: str = "30d",
     ):
         """``project`` must be row by row (no aggregation). ``order_col`` keeps a late older row from
-        overwriting a newer one and must be a column of the target. Change sets older than ``retention`` leave
-        the sink's log."""
+        overwriting a newer one and must be a column of the target. The sink's log keeps every change set."""
         self.spark, self.source, self.source_schema = spark, source, source_schema
         self.project, self.target, self.home = project, target, home.rstrip("/")
         self.newest_first, self.order_col = newest_first, order_col
-        self.file_format, self.files_per_trigger, self.retention = file_format, files_per_trigger, retention
+        self.file_format, self.files_per_trigger = file_format, files_per_trigger
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.home).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -64,31 +62,49 @@ class ChangeStream:
             .option("maxFilesPerTrigger", self.files_per_trigger)
             .load(self.source)
         )
+        name = f"set-{time.time_ns():020d}"
         query = (
             self.project(rows)
-            .withColumn(SET, F.lit(f"set-{time.time_ns():020d}"))
+            .withColumn(SET, F.lit(name))
             .writeStream.format("parquet")
             .partitionBy(SET)
             .option("checkpointLocation", f"{self.home}/checkpoint")
-            .option("retention", self.retention)
             .trigger(availableNow=True)
             .start(f"{self.home}/changes")
         )
         query.awaitTermination()
+        if name in self._names("changes"):
+            self._fs.mkdirs(self._path(f"{self.home}/counts/{SET}={name}/rows={self._rows(name).count()}"))
+
+    def _rows(self, name: str) -> DataFrame:
+        """A change set, read through the sink's own log: files of a broken run that were never committed are not in it."""
+        schema = T.StructType([*self.target.spec.schema.fields, T.StructField(SET, T.StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.home}/changes").where(F.col(SET) == name).drop(SET)
+
+    def _collected(self, name: str) -> int | None:
+        """Rows of a change set when it was collected, None if the run broke off before they were counted."""
+        found = self._fs.globStatus(self._path(f"{self.home}/counts/{SET}={name}/rows=*")) or []
+        return int(found[0].getPath().getName().partition("=")[2]) if found else None
 
     def apply(self, name: str) -> LoadMetrics:
-        """Upsert one change set and mark it applied."""
-        # Read through the sink's own log: files of a broken run that were never committed are not in it.
-        path = f"{self.home}/changes"
-        if not self._fs.exists(self._path(f"{path}/_spark_metadata")):
+        """Upsert one change set and mark it applied. A set that has lost rows since it was collected is refused."""
+        if not self._fs.exists(self._path(f"{self.home}/changes/_spark_metadata")):
             return LoadMetrics()
-        schema = T.StructType([*self.target.spec.schema.fields, T.StructField(SET, T.StringType())])
-        changes = self.spark.read.schema(schema).parquet(path).where(F.col(SET) == name).drop(SET)
+        changes, expected = self._rows(name), self._collected(name)
+        if expected is not None and (found := changes.count()) < expected:
+            raise RuntimeError(f"{self.home}: change set {name} has {found} of its {expected} rows")
         latest = latest_by(changes, list(self.target.spec.keys), self.newest_first)
         metrics = upsert(self.target, latest, order_col=self.order_col)
         self._fs.mkdirs(self._path(f"{self.home}/applied/{SET}={name}"))
         return metrics
 
+    def drop_applied(self) -> int:
+        """Delete the files of change sets that have been applied. Returns how many sets went."""
+        done = set(self._names("applied")) & set(self._names("changes"))
+        for name in done:
+            self._fs.delete(self._path(f"{self.home}/changes/{SET}={name}"), True)
+        return len(done)
+
     def run(self) -> list[LoadMetrics]:
         """Apply what a broken run left, take in new files, apply them."""
         applied = [self.apply(name) for name in self.pending()]

@@ -29,26 +29,35 @@ def incremental_load(
     target: StoredTable,
     buffer: datetime.timedelta = NO_BUFFER,
     update_cols: list[str] | None = None,
+    waiting: DataFrame | None = None,
+    after: Callable[[], None] | None = None,
 ) -> LoadMetrics:
     """Transform rows newer than the last mark and upsert them.
 
     The new mark is the greatest ingestion time in the snapshot that was read, not the time the run ended, so
     rows that land during the run are picked up by the next one. ``buffer`` reads that much before the mark
     again for rows that arrive late; the overlap is harmless since the upsert is idempotent.
+
+    ``waiting`` are rows that earlier runs had to leave, transformed along with the new ones; ``after`` is called when
+    the upsert is published, before the mark moves.
     """
     started = datetime.datetime.now(datetime.timezone.utc)
     mark = log.last_watermark(pipeline)
     since = mark if mark == EPOCH else mark - buffer
     fresh = newer_than(bronze, since)
     top = fresh.agg(F.max("_ingested_at").cast("double").alias("seconds")).first().seconds
-    if top is None:
+    idle = top is None and (waiting is None or waiting.isEmpty())
+    if idle:
         log.log_run(pipeline, "silver", "SUCCESS", LoadMetrics(), started_at=started, watermark=mark)
         return LoadMetrics()
     try:
-        metrics = upsert(target, transform(fresh), update_cols=update_cols)
+        rows = fresh if waiting is None else fresh.unionByName(waiting)
+        metrics = upsert(target, transform(rows), update_cols=update_cols)
+        if after is not None:
+            after()
     except Exception as error:
-        log.log_run(pipeline, "silver", "FAILED", started_at=started, error=str(error)[:2000])
+        log.log_run(pipeline, "silver", "FAILED", started_at=started, error=str(error))
         raise
-    reached = EPOCH + datetime.timedelta(microseconds=round(top * 1_000_000))
+    reached = mark if top is None else EPOCH + datetime.timedelta(microseconds=round(top * 1_000_000))
     log.log_run(pipeline, "silver", "SUCCESS", metrics, started_at=started, watermark=max(mark, reached))
     return metrics

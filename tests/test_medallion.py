@@ -141,3 +141,24 @@ def test_increments_equal_a_full_run(spark, tmp_path, rows, on_error, buffer):
     if on_error == "quarantine":
         for name in ("orders", "order_items"):
             assert rows(steps.rejects(name).read(), "rejected_key", "_errors") == rows(full.rejects(name).read(), "rejected_key", "_errors")
+
+
+def test_a_late_parent_brings_its_waiting_rows(house, rows):
+    def increment():
+        for name in SILVER:
+            medallion.load_silver_increment(house, name, datetime.timedelta(0))
+
+    fill(house, "b1", customers=[customer(1)], products=[product(1)], orders=[order(1), order(2, customer_id=uid(2, "c"))], order_items=[item(1), item(2, order_id=uid(2))])
+    increment()
+    assert house.silver("orders").read().count() == 1 and house.waiting("orders").read().count() == 1
+    # A newer row of the waiting order replaces it, and the parent comes with it.
+    fill(house, "b2", customers=[customer(2)], orders=[order(2, customer_id=uid(2, "c"), status="shipped")])
+    increment()
+    assert rows(house.silver("orders").read(), "order_id", "status") == [(uid(1), "completed"), (uid(2), "shipped")]
+    assert house.silver("order_items").read().count() == 2
+    assert house.waiting("orders").read().isEmpty() and house.waiting("order_items").read().isEmpty()
+    fill(house, "b3", orders=[order(3, customer_id=uid(3, "c"))])
+    increment()
+    fill(house, "b4", customers=[customer(3)])
+    increment()
+    assert house.silver("orders").read().count() == 3

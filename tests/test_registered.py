@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from harness import oracles
 from harness.check import compare, oracle_connection
+from harness.queries import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,9 @@ def connection():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry()) == set(oracles.sql())
+    assert set(registry()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -22,6 +26,6 @@ def test_entry(spark):
     assert df.columns[0] == "revenue_date" and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query(spark, connection, name):
     assert compare(spark, connection, name, SF) == ""

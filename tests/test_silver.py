@@ -160,11 +160,11 @@ def test_high_value_flag(spark, customers, rows):
 
 
 def test_hot_parent_gives_the_same_rows(spark, customers, rows):
-    from smeltworks.operators.skew import hot_hashes
+    from smeltworks.operators.skew import hot_keys
 
     raw = [order(n, customer_id=uid(1 if n % 3 else 2 if n % 2 else 9, "c")) for n in range(1, 60)]
     frame = bronze(spark, "raw_orders", raw)
-    hot = hot_hashes(frame, ["customer_id"], split_above=0, hot_rows=5)
-    assert hot
+    hot = hot_keys(frame, ["customer_id"], hot_rows=5)
+    assert not hot.isEmpty()
     split = silver.clean_orders(frame, customers, hot={"customer_id": hot})
     assert rows(split, "order_id") == rows(silver.clean_orders(frame, customers), "order_id")

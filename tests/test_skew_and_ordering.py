@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from smeltworks.operators.dedup import latest_by
 from smeltworks.operators.ordering import add_history, add_ranks
-from smeltworks.operators.skew import hot_hashes, join_unique, orphans
+from smeltworks.operators.skew import hot_keys, join_unique, orphans
 from smeltworks.plans import analytics
-from smeltworks.sources.scratch import input_bytes, materialise
+from smeltworks.sources.scratch import materialise
 
 
 @pytest.fixture(scope="module")
@@ -24,31 +24,32 @@ def parents(spark):
     return spark.createDataFrame([(k, f"p{k}") for k in range(0, 61, 2)] + [(7, "p7")], "k int, name string")
 
 
-def test_hot_keys_are_found_only_above_the_size_limit(skewed):
-    assert hot_hashes(skewed, ["k"]) == []
-    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=100)
-    assert hot == [skewed.where("k = 7").select(F.xxhash64("k")).first()[0]]
+def test_hot_keys_get_parts_by_their_weight(skewed):
+    assert hot_keys(skewed, ["k"]).isEmpty()
+    ((found, parts),) = hot_keys(skewed, ["k"], hot_rows=100).collect()
+    assert found == skewed.where("k = 7").select(F.xxhash64("k")).first()[0]
+    assert parts >= 4
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_split_join_equals_plain_join(skewed, parents, rows, how, null_safe):
     parents = parents.unionByName(parents.sparkSession.createDataFrame([(None, "none")], "k int, name string"))
-    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=30)
-    assert len(hot) >= 2 - (not null_safe)
-    split = join_unique(skewed, parents, ["k"], how, hot=hot, null_safe=null_safe, spread=5)
-    plain = join_unique(skewed, parents, ["k"], how, hot=[], null_safe=null_safe)
+    hot = hot_keys(skewed, ["k"], hot_rows=30)
+    assert hot.count() >= 2 - (not null_safe)
+    split = join_unique(skewed, parents, ["k"], how, hot=hot, null_safe=null_safe)
+    plain = join_unique(skewed, parents, ["k"], how, hot=False, null_safe=null_safe)
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
 
 
 def test_split_join_spreads_the_hot_key(skewed, parents):
-    hot = hot_hashes(skewed, ["k"], split_above=0, hot_rows=100)
+    hot = hot_keys(skewed, ["k"], hot_rows=100)
     spark = skewed.sparkSession
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        tasks = join_unique(skewed, parents, ["k"], "inner", hot=hot, spread=16).where("k = 7").select(F.spark_partition_id()).distinct().count()
+        tasks = join_unique(skewed, parents, ["k"], "inner", hot=hot).where("k = 7").select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -66,12 +67,6 @@ def test_orphans(skewed, parents, rows):
     assert rows(orphans(skewed, parents, ["k"]), "id", "k") == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def test_sizes_come_from_the_leaves(skewed):
-    stored = input_bytes(skewed)
-    assert 0 < stored < 1_000_000
-    assert input_bytes(skewed.join(skewed.withColumnRenamed("id", "j"), "k")) == 2 * stored
-
-
 def test_latest_by_cuts_before_the_shuffle(skewed):
     df = latest_by(skewed, ["k"], ["id"])
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -92,22 +87,23 @@ def scores(spark):
     return materialise(spark.createDataFrame(data, "id int, g string, v int"))
 
 
-def test_distributed_ranks_equal_window_ranks(scores, rows):
-    ranks, percent = {"in_group": ["g"], "overall": []}, {"pct": ["g"]}
-    far = add_ranks(scores, "v", ranks, percent, single_task_bytes=0)
-    near = add_ranks(scores, "v", ranks, percent)
-    assert sorted(far.columns) == sorted(near.columns)
-    assert rows(far) == rows(near)
-    assert far.where("id = 900").select(F.col("pct").cast("string")).first()[0] == "0.000"
+def test_single_row_groups_have_percentile_zero(scores):
+    got = add_ranks(scores, "v", {"in_group": ["g"]}, {"pct": ["g"]})
+    assert got.where("id = 900").select(F.col("pct").cast("string")).first()[0] == "0.000"
+
+
+def test_ranks_in_groups_against_spark_window(scores, rows):
+    order = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    assert rows(add_ranks(scores, "v", {"in_group": ["g"]})) == rows(scores.withColumn("in_group", F.rank().over(order)))
 
 
 def test_ranks_against_spark_window(scores, rows):
     want = scores.withColumn("overall", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
-    assert rows(add_ranks(scores, "v", {"overall": []}, single_task_bytes=0)) == rows(want)
+    assert rows(add_ranks(scores, "v", {"overall": []})) == rows(want)
 
 
 def test_percentiles_round_the_exact_share(scores):
-    got = add_ranks(scores, "v", {}, {"pct": []}, single_task_bytes=0).select("v", "pct").distinct().collect()
+    got = add_ranks(scores, "v", {}, {"pct": []}).select("v", "pct").distinct().collect()
     values = sorted([r.v if r.v is not None else -1 for r in scores.collect()])
     for r in got:
         below, others = values.index(r.v if r.v is not None else -1), len(values) - 1
@@ -118,15 +114,15 @@ def test_history_of_hot_owners_equals_plain_windows(spark, rows):
     rnd = random.Random(4)
     data = [(1 if i % 3 else rnd.randint(2, 9), f"2021-01-{rnd.randint(1, 28):02d}", i) for i in range(600)]
     df = spark.createDataFrame(data, "c int, d string, id int").withColumn("d", F.col("d").cast("date"))
-    hot = hot_hashes(df, ["c"], split_above=0, hot_rows=30)
-    assert hot
-    split, plain = add_history(df, "c", "d", "id", hot), add_history(df, "c", "d", "id", [])
+    hot = hot_keys(df, ["c"], hot_rows=30)
+    assert not hot.isEmpty()
+    split, plain = add_history(df, "c", "d", "id", hot), add_history(df, "c", "d", "id", False)
     assert rows(split, *plain.columns) == rows(plain, *plain.columns)
 
 
 def test_history_orders_days_by_id(spark, rows, day):
     df = spark.createDataFrame([(1, day("2021-01-05"), 3), (1, day("2021-01-05"), 2), (1, day("2021-01-01"), 9)], "c int, d date, id int")
-    got = add_history(df, "c", "d", "id", [])
+    got = add_history(df, "c", "d", "id", False)
     assert rows(got, "order_number", "id", "days_since_last_order") == [(1, 9, None), (2, 2, 4), (3, 3, 0)]
 
 

@@ -216,3 +216,28 @@ def test_applying_twice_changes_nothing(spark, stream):
     assert statuses(feed.target) == once
     feed.run()
     assert statuses(feed.target) == once
+
+
+def test_change_sets_collected_long_before_they_are_applied(spark, stream, customers):
+    frames = batches(spark)
+    feed = stream("delayed")
+    for frame in frames:
+        drop(feed, frame)
+        feed.collect_changes()
+    assert len(feed.pending()) == 3
+    feed.run()
+    union = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    assert statuses(feed.target) == {r.order_id: r.status for r in silver.clean_orders(union, customers).collect()}
+    assert not feed.pending() and feed.drop_applied() == 3 and feed.run() == []
+
+
+def test_a_change_set_that_lost_rows_is_refused(spark, stream):
+    feed = stream("lossy")
+    drop(feed, batches(spark)[0])
+    feed.collect_changes()
+    (name,) = feed.pending()
+    feed._fs.mkdirs(feed._path(f"{feed.home}/counts/_change_set={name}/rows=99"))
+    feed._fs.delete(feed._path(f"{feed.home}/counts/_change_set={name}/rows=2"), True)
+    with pytest.raises(RuntimeError, match="2 of its 99 rows"):
+        feed.run()
+    assert feed.pending() == [name]
