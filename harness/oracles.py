@@ -412,6 +412,7 @@ SELECT order_id, customer_id, order_date, status,
 {by_day} FROM silver_orders WHERE status = 'completed' AND order_date <> DATE '1998-03-10' GROUP BY 1
 UNION ALL
 {by_day} FROM silver_orders WHERE order_date = DATE '1998-03-10' GROUP BY 1""",
+        "daily_revenue_backfill": _from_daily(f"SELECT {daily_columns} FROM daily"),
         "backfill_range": _silver() + f"""
 {by_day} FROM silver_orders
 WHERE status = 'completed' OR order_date >= DATE '1998-02-10' AND order_date < DATE '1998-05-20' GROUP BY 1""",

@@ -296,6 +296,17 @@ def backfill_range(spark, d) -> DataFrame:
     return target.read()
 
 
+def daily_revenue_backfill(spark, d) -> DataFrame:
+    """The whole daily table, with a range of it first emptied and then rebuilt from its own orders."""
+    orders, items = silver(spark, d, "orders"), silver(spark, d, "items")
+    target = _stored(spark, medallion.GOLD["daily_revenue"])
+    loads.replace_table(target, gold.daily_revenue(orders, items))
+    start, end = datetime.date(1996, 5, 10), datetime.date(1997, 2, 3)
+    loads.replace_range(target, target.read().where("false"), "revenue_date", start, end)
+    loads.backfill(target, lambda lo, hi: gold.daily_revenue(orders, items, start=lo, end=hi), "revenue_date", start, end)
+    return target.read().drop("_computed_at")
+
+
 def _incremental(spark, d, buffer: datetime.timedelta) -> DataFrame:
     raw, customers = bronze(spark, d, "raw_orders"), _kept(spark, d, "customers")
     source, target = _stored(spark, BRONZE["raw_orders"]), _stored(spark, silver_spec("orders", 8))
@@ -543,6 +554,7 @@ def registry() -> dict:
         "replace_table": replace_table,
         "replace_partition": replace_partition,
         "backfill_range": backfill_range,
+        "daily_revenue_backfill": daily_revenue_backfill,
         "incremental_load": lambda s, d: _incremental(s, d, no_buffer),
         "incremental_load_buffered": lambda s, d: _incremental(s, d, hour),
         "stream_upsert": lambda s, d: stream_orders(s, d, (1, 2)),

@@ -95,7 +95,9 @@ def contested(batch: DataFrame, target: DataFrame | None, column: str, key: str)
     """
     claims = batch.select(key, column)
     if target is not None:
-        claims = claims.unionByName(target.select(key, column))
+        # Values the batch does not touch are the target's own business.
+        touched = target.select(key, column).join(batch.select(column).distinct(), column, "left_semi")
+        claims = claims.unionByName(touched.select(key, column))
     return (
         claims.where(F.col(column).isNotNull())
         .groupBy(column)
@@ -112,9 +114,6 @@ def enforce_unique(
     key = spec.keys[0]
     for column in spec.unique:
         clashes = contested(batch, target, column, key)
-        if target is not None:
-            # Values the batch does not touch are the target's own business.
-            clashes = clashes.join(batch.select(column).distinct(), column, "left_semi")
         if on_error == "fail":
             if clashes.limit(1).count():
                 raise ConstraintViolation(f"{spec.name}.{column} is not unique")

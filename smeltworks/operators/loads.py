@@ -6,9 +6,9 @@ Each load is one Spark job that writes a new revision, followed by one switch of
 load            handles updates   handles deletes   cost
 =============== ================= ================= ==========================
 replace_table   yes               yes               all rows
-upsert          yes               no                buckets touched
+upsert          yes               no                directories touched
 replace_range   yes               yes (in range)    partitions touched
-incremental     as its upsert     no                new rows, buckets touched
+incremental     as its upsert     no                new rows, directories touched
 =============== ================= ================= ==========================
 """
 
@@ -73,17 +73,23 @@ def upsert(
     row is overwritten only by a row that is not older.
 
     ``stored`` says that ``df`` reads a table as it is, so that reading it twice is cheap. Directory columns
-    must depend on the keys alone. Source and target rows of the touched buckets are hashed to their bucket
-    once; merge and write need no further shuffle.
+    must depend on the keys or on columns that no upsert changes. In the second case a join of the keys alone (two
+    pruned scans) tells in which directories the known ones are. Source and target rows of the touched directories are
+    hashed to their directory once; merge and write need no further shuffle.
     """
     spec = table.spec
     keys = keys or list(spec.keys)
     update_cols = list(spec.update_cols) if update_cols is None else update_cols
+    moving = spec.laid_out_by() & set(update_cols)
+    if moving:
+        raise ValueError(f"{spec.name}: an upsert of {sorted(moving)} would move rows between directories")
     base = table.laid_out()
     source = table.with_partition(admit(df, spec))
     cols = table.partition_cols
     if base.dirs and cols:
         source = source if stored else materialise(source, f"upsert-{spec.name}")
+        if not spec.laid_out_by() <= set(keys):
+            source = materialise(_where_stored(table, base, source, keys), f"upsert-{spec.name}")
         touched = _leaves(source, cols)
     else:
         touched = None
@@ -123,6 +129,14 @@ def upsert(
     return LoadMetrics(got["processed"], got["inserted"], got["updated"])
 
 
+def _where_stored(table: StoredTable, base: Snapshot, source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` with the directory columns of the stored row of its key, where there is one."""
+    cols = table.partition_cols
+    homes = table.read(base, helpers=True).select(*keys, *[F.col(c).alias(f"_at_{c}") for c in cols])
+    placed = join_unique(source, homes, keys, "left")
+    return placed.withColumns({c: F.coalesce(f"_at_{c}", c) for c in cols}).drop(*[f"_at_{c}" for c in cols])
+
+
 def _not_older(order_col: str | None) -> Column:
     if order_col is None:
         return F.lit(True)
@@ -144,7 +158,9 @@ def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None)
     base = table.laid_out()
     source = materialise(table.with_partition(admit(df, table.spec)), f"insert-{table.spec.name}")
     cols = table.partition_cols
-    known = table.read(base, _leaves(source, cols) if cols else None, helpers=True).select(*keys)
+    # A known key may lie in any directory unless the key alone decides.
+    near = _leaves(source, cols) if cols and table.spec.laid_out_by() <= set(keys) else None
+    known = table.read(base, near, helpers=True).select(*keys)
     fresh = join_unique(source, known, keys, "left_anti").dropDuplicates(keys)
     seen, offered = Observation(), source.count()
     dirs = table.write_revision(fresh, seen, [F.count("*").alias("n")])

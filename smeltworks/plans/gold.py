@@ -30,12 +30,19 @@ def order_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def daily_revenue(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
-    """One row per date with sold items.
+def daily_revenue(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY, start=None, end=None) -> DataFrame:
+    """One row per date with sold items, of ``start <= date < end`` if these are given.
 
     Orders without items count for nothing but the first order date of their customer. The average order value
-    weighs an order by its number of items.
+    weighs an order by its number of items. For a range, only its orders are joined to their items; of all other orders
+    just the customer and the date are read, for the first order dates of the customers in the range.
     """
+    firsts = None
+    if start is not None:
+        inside = (F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end))
+        firsts = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_day"))
+        orders = orders.where(inside)
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
     sold = orders.select("order_id", "customer_id", "order_date", "status", "total_amount").join(
         order_totals(items), "order_id", "left"
     )
@@ -47,10 +54,13 @@ def daily_revenue(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY)
         F.sum(F.col("total_amount") * F.col("n_items")).alias("amount"),
     )
     # At most one row per customer and calendar day, however many orders a customer has.
-    first_day = F.min("order_date").over(Window.partitionBy("customer_id"))
+    if firsts is None:
+        first_day = F.min("order_date").over(Window.partitionBy("customer_id"))
+        dated = per_customer.withColumn("first_day", first_day)
+    else:
+        dated = per_customer.join(firsts, "customer_id")
     return (
-        per_customer.withColumn("first_day", first_day)
-        .where("orders > 0")
+        dated.where("orders > 0")
         .groupBy(F.col("order_date").alias("revenue_date"))
         .agg(
             F.sum("orders").alias("order_count"),

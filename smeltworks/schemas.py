@@ -1,5 +1,6 @@
 """Declared tables of the three layers: columns, keys, checks, defaults, generated columns, layout."""
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
@@ -39,6 +40,11 @@ class TableSpec:
     # Column in which the text of the one directory column never decreases: range loads prune by it.
     ordered_by: str = ""
 
+    def laid_out_by(self) -> set[str]:
+        """Columns that the directory columns are made from."""
+        words = {w for e in self.partition.values() for w in re.findall(r"\w+", e)}
+        return words & set(self.schema.names)
+
     def like(self, name: str, **changes) -> "TableSpec":
         """The same declaration under another name."""
         return replace(self, name=name, **changes)
@@ -49,6 +55,13 @@ def bucketed(keys: tuple[str, ...], buckets: int) -> dict[str, str]:
     return {"_bucket": f"cast(pmod(xxhash64({', '.join(keys)}), {buckets}) as int)"}
 
 
+def monthly(date: str, keys: tuple[str, ...], buckets: int) -> dict[str, str]:
+    """Directory layout for upserts of dated rows whose date no upsert changes: the month, then a hash of the key if a month
+    is to have several directories. A load rewrites only the months, and in them the buckets, that it touches."""
+    month = {"_month": f"coalesce(date_format({date}, 'yyyy-MM'), 'none')"}
+    return month if buckets == 1 else {**month, **bucketed(keys, buckets)}
+
+
 INGEST_COLUMNS = """
 _id bigint
 _ingested_at timestamp
@@ -214,8 +227,11 @@ _errors string
 
 
 def silver_spec(name: str, buckets: int) -> TableSpec:
-    """A silver table laid out for upserts. Choose ``buckets`` so that one bucket is about 256 MB to 1 GB."""
+    """A silver table laid out for upserts. Choose ``buckets`` so that one bucket is about 256 MB to 1 GB; a month of orders
+    has an eighth of them."""
     spec = SILVER[name]
+    if name == "orders":
+        return spec.like(name, partition=monthly("order_date", spec.keys, max(1, buckets // 8)))
     return spec.like(name, partition=bucketed(spec.keys, buckets))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from samples import money
 
 from smeltworks.operators import constraints, loads
-from smeltworks.schemas import SALES, SALES_PARTITIONED, TableSpec, bucketed, columns
+from smeltworks.schemas import SALES, SALES_PARTITIONED, TableSpec, bucketed, columns, monthly
 from smeltworks.sources import catalog
 from smeltworks.sources.tables import StoredTable
 
@@ -378,3 +378,35 @@ def test_catalog_shows_all_revisions_and_switches_at_once(spark, make):
             assert spark.table(name).count() == stored.read().count()
         tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}gold LIKE '{stored.spec.name}*'").collect()]
         assert len(tables) == 2  # the view and the table of its state
+
+
+def test_an_upsert_rewrites_the_months_it_touches(spark, make, rows, day):
+    spec = TableSpec(
+        "dated",
+        columns("""
+id int
+d date
+n int
+"""),
+        keys=("id",),
+        update_cols=("n",),
+        partition=monthly("d", ("id",), 2),
+    )
+    table = make(spec)
+
+    def frame(*records):
+        return spark.createDataFrame([(i, day(d), n) for i, d, n in records], "id int, d date, n int")
+
+    loads.upsert(table, frame(*[(i, f"2021-{i % 12 + 1:02d}-10", 0) for i in range(48)]))
+    before = set(table.snapshot().dirs)
+    # 5 is stored in June; its date in the batch is another one and is not taken. 99 is new in March.
+    metrics = loads.upsert(table, frame((5, "2021-09-01", 7), (99, "2021-03-05", 8)))
+    assert (metrics.inserted, metrics.updated) == (1, 1)
+    after = set(table.snapshot().dirs)
+    assert {d.partition("/")[2].partition("/")[0] for d in before ^ after} == {"_month=2021-06", "_month=2021-03"}
+    got = {r.id: (str(r.d), r.n) for r in table.read().collect()}
+    assert len(got) == 49 and got[5] == ("2021-06-10", 7) and got[99] == ("2021-03-05", 8)
+    loads.insert_new(table, frame((5, "2021-11-01", 1), (100, "2021-11-01", 1)))
+    assert table.read().count() == 50
+    with pytest.raises(ValueError, match="move rows"):
+        loads.upsert(table, frame((1, "2021-01-01", 1)), update_cols=["d"])
