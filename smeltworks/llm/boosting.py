@@ -34,7 +34,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: fl
     score, inner = np.full(len(y), bias), 2**depth - 1
     features, limits, leaves = [], [], []
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-score))
+        p = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
         g, h = y - p, p * (1 - p)
         at = np.zeros(len(y), np.int64)
         feature, limit = np.zeros(inner, np.int64), np.full(inner, np.inf)
@@ -68,7 +68,7 @@ def calibrate(score: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float,
     target, x = np.where(y > 0, up, down), np.stack([score, np.ones(len(score))], axis=1)
     w = np.array([1.0, 0.0])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(x @ w)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         w = w + np.linalg.solve(hessian, x.T @ (target - p) - 1e-3 * (w - np.array([1.0, 0.0])))
     return float(w[0]), float(w[1])

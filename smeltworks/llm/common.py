@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 4 << 20
+# Rows of an Arrow batch between Spark and Python. Spark's own limit lets a batch of long texts reach gigabytes.
+BATCH_ROWS = 1000
+BATCH_LIMIT = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,7 @@ def with_columns(df: DataFrame, text: str, fields: str, compute: Callable[[list]
     list or Arrow array per new column. ``keep`` limits the columns carried along. An input column with the name of
     a new one is replaced.
     """
+    short_batches(df.sparkSession)
     new = T._parse_datatype_string(fields)
     names = [c for c in (df.columns if keep is None else keep) if c not in new.names]
     carried = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("_text"))
@@ -39,10 +43,18 @@ def with_columns(df: DataFrame, text: str, fields: str, compute: Callable[[list]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(names))), *arrays], names=[*names, *new.names]
             )
+        pa.default_memory_pool().release_unused()
 
     return carried.mapInArrow(run, schema)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows per Arrow batch to what whole texts allow; a lower one stays as it is."""
+    limit = int(spark.conf.get(BATCH_LIMIT, "0"))
+    if limit <= 0 or limit > BATCH_ROWS:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_ROWS))
+
+
 def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about ``size`` bytes: what Python holds at once does not grow with the batch."""
     step = max(1, batch.num_rows * size // max(batch.nbytes, 1))

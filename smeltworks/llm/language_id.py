@@ -8,15 +8,17 @@ text's language is the one that codes the whole text in the fewest bits.
 Costs are tabulated once per process: context node x symbol x language. Scoring a byte is then two array look-ups.
 """
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltworks.llm.common import with_columns
+from smeltworks.llm.common import short_batches, with_columns
 
 ORDER = 3
 # Bound of the training sample: labelled documents per language.
@@ -77,6 +79,7 @@ def _codes(b: np.ndarray) -> np.ndarray:
 
 def counted(rows: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Per language the four-byte strings of the bounded sample and their counts."""
+    short_batches(rows.sparkSession)
     sums = rows.mapInArrow(_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     got = sums.toArrow().sort_by([("lang", "ascending"), ("gram", "ascending")])
     lang, gram, n = got["lang"].to_numpy(), got["gram"].to_numpy(), got["n"].to_numpy()
@@ -206,17 +209,25 @@ def identify(docs: DataFrame, counts: list, text: str = "text", keep: list[str]
     Null texts and texts without a letter are ``und`` with score 0, as is everything if no labelled row was there to learn
     from. Equal texts get equal results; ties go to the first language by name. Input columns with the new names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-    held: dict[str, Model] = {}
+    shared, name = docs.sparkSession.sparkContext.broadcast(counts), uuid.uuid4().hex
 
     def compute(texts: list) -> list:
-        if "model" not in held:
-            held["model"] = build(shared.value)
-        return [*predict(held["model"], texts)]
+        return [*predict(_built(name, shared), texts)]
 
     return with_columns(docs, text, f"{names[0]} string, {names[1]} double", compute, keep)
 
 
+_HELD: dict[str, Model] = {}
+
+
+def _built(name: str, counts: Broadcast) -> Model:
+    """The model of the counts; a process keeps the last one it built."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = build(counts.value)
+    return _HELD[name]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from smeltworks.llm.common import slices
+from smeltworks.llm.common import short_batches, slices
 from smeltworks.llm.words import word_encoder
 from smeltworks.sources.scratch import materialise
 
@@ -55,7 +55,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
             for part in slices(batch):
                 ids, ends = encoder.encode(part.column(1))
                 yield _cut(part.column(0).to_pylist(), ids, ends, task, counts, capacity, end_id)
+        encoder.forget()
 
+    short_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return materialise(source.mapInArrow(run, PIECES), "pieces")
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltworks.llm import boosting
-from smeltworks.llm.common import with_columns
+from smeltworks.llm.common import short_batches, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -241,6 +241,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_do
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["h", "i", "y", "x"])
 
+    short_batches(docs.sparkSession)
     rows = drawn.mapInArrow(run, "h bigint, i bigint, y double, x array<double>")
     got = rows.orderBy(F.xxhash64("h", "i"), "y").limit(sample_candidates).toArrow()
     y = got["y"].to_numpy()

@@ -15,7 +15,7 @@ import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 # Entries a process remembers before it starts afresh.
-REMEMBER = 400_000
+REMEMBER = 250_000
 # The pattern of the tokenizer file, here applied to lower-cased Latin-1 units.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -59,6 +59,11 @@ class WordEncoder:
         words = split.flatten().dictionary_encode()
         return spread(self._units(words.dictionary.to_pylist()), words, split.offsets)
 
+    def forget(self) -> None:
+        """Give the memory back between tasks."""
+        self.units.clear()
+        self.pieces.clear()
+
     def _units(self, units: list[str]) -> list[bytes]:
         if len(self.units) > REMEMBER:
             self.units.clear()
