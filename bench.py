@@ -23,6 +23,7 @@ HEADLINE = (
     "running_revenue",
     "month_growth",
     "order_history",
+    "order_history_hot_customers",
     "top_products_per_category",
     "best_month",
     "silver_customers",
@@ -33,8 +34,10 @@ HEADLINE = (
     "replace_table",
     "replace_partition",
     "backfill_range",
+    "daily_revenue_backfill",
     "incremental_load",
     "stream_upsert",
+    "medallion_daily_revenue",
 )
 
 

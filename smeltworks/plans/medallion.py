@@ -19,7 +19,7 @@ from smeltworks.plans import gold, silver
 from smeltworks.schemas import BRONZE, GOLD, REJECTS, SILVER, silver_spec
 from smeltworks.sources import catalog
 from smeltworks.sources.runs import RunLog
-from smeltworks.sources.scratch import materialise
+from smeltworks.sources.scratch import materialise, scratch_scope
 from smeltworks.sources.tables import StoredTable
 from smeltworks.streaming.watermark import incremental_load
 
@@ -194,6 +194,21 @@ def load_gold(house: Warehouse, as_of: datetime.date, **thresholds) -> dict[str,
     return done
 
 
+def _run_layers(house: Warehouse, as_of, on_error: str, since: datetime.timedelta | None, **thresholds) -> dict[str, LoadMetrics]:
+    validate_bronze(house)
+    if since is None:
+        done = {name: load_silver(house, name, on_error) for name in SILVER}
+    else:
+        done = {name: load_silver_increment(house, name, since, on_error) for name in SILVER}
+    broken = quality_report(house).where("failing_rows > 0").select("table_name", "rule").collect()
+    if broken:
+        raise ConstraintViolation("; ".join(f"{r.table_name}: {r.rule}" for r in broken))
+    done.update(load_gold(house, as_of, **thresholds))
+    for table in (*map(house.silver, SILVER), *map(house.gold, GOLD)):
+        table.vacuum()
+    return done
+
+
 def run_medallion(
     house: Warehouse,
     as_of: datetime.date,
@@ -204,20 +219,14 @@ def run_medallion(
     """One run over all of bronze, or with ``since`` (the buffer for late rows) over what is new since the last
     such run. Running it again on the same bronze leaves the same tables.
 
-    A run that fails is logged as FAILED and leaves every table in its last published state.
+    A run that fails is logged as FAILED and leaves every table in its last published state. Intermediate tables are deleted
+    when the run ends, and so are directories that no recent state of a table lists.
     """
     log, started = house.log(), datetime.datetime.now(datetime.timezone.utc)
     run_id = log.log_run("medallion", "all", "RUNNING", started_at=started)
     try:
-        validate_bronze(house)
-        if since is None:
-            done = {name: load_silver(house, name, on_error) for name in SILVER}
-        else:
-            done = {name: load_silver_increment(house, name, since, on_error) for name in SILVER}
-        broken = quality_report(house).where("failing_rows > 0").select("table_name", "rule").collect()
-        if broken:
-            raise ConstraintViolation("; ".join(f"{r.table_name}: {r.rule}" for r in broken))
-        done.update(load_gold(house, as_of, **thresholds))
+        with scratch_scope(house.spark):
+            done = _run_layers(house, as_of, on_error, since, **thresholds)
     except Exception as error:
         log.log_run("medallion", "all", "FAILED", run_id=run_id, started_at=started, error=str(error))
         raise

@@ -1,9 +1,11 @@
 """Cut lineage by writing a table into the cluster's shared checkpoint folder."""
 
+import contextlib
 import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +35,27 @@ def scratch_path(spark: SparkSession, label: str = "step") -> str:
     return f"{checkpoint_dir(spark)}/smeltworks/{app}/{label}-{uuid.uuid4().hex}"
 
 
+# Paths written inside each open ``scratch_scope``, innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was materialised inside: for runs whose results are published tables, not data frames."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` and read it back: computed once, survives lost executors, has true size statistics."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from smeltworks.operators.constraints import ConstraintViolation
 from smeltworks.plans import medallion
 from smeltworks.schemas import GOLD, SILVER
 from smeltworks.sources.raw import ingest_bronze
+from smeltworks.sources.scratch import scratch_path
 
 AS_OF = datetime.date(2021, 6, 1)
 
@@ -162,3 +163,17 @@ def test_a_late_parent_brings_its_waiting_rows(house, rows):
     fill(house, "b4", customers=[customer(3)])
     increment()
     assert house.silver("orders").read().count() == 3
+
+
+def test_a_run_leaves_no_intermediate_tables(house):
+    spark = house.spark
+    fill(house, "b1", **GOOD)
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark)).getParent()
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def left():
+        return {str(s.getPath()) for s in files.listStatus(root)} if files.exists(root) else set()
+
+    before = left()
+    medallion.run_medallion(house, AS_OF, on_error="quarantine")
+    assert left() == before
