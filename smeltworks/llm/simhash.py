@@ -28,19 +28,27 @@ BUDGET = 3
 FRONTIER = 1 << 19
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """64 bits, each set if it is set in more than half of the shingles' hashes; zero without words."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Hashes (uint64) of all runs of ``shingle`` words in a row; a text of no more words is one run."""
     words = (text or "").encode().lower().split()  # bytes: lowers A-Z only, splits at ASCII white space only
-    if not words:
-        return 0
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return digest(joined, seed)
+        return np.array([digest(joined, seed)], "<u8")
     ends = list(itertools.accumulate(map(len, words), lambda at, n: at + 1 + n))
     starts = [0, *(e + 1 for e in ends)]
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :], strict=False)), "<u8", len(words) - shingle + 1
     )
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """64 bits, each set if it is set in more than half of the shingles' hashes; zero without words."""
+    words = (text or "").encode().split()
+    if not words:
+        return 0
+    hashes = shingle_hashes(text, shingle, seed)
+    if len(words) <= shingle:
+        return int(hashes[0])
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
