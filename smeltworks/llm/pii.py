@@ -6,8 +6,9 @@ each by its format and its context, a logistic curve turns their score into a pr
 threshold are added, the most probable first, where they touch no span already chosen.
 
 The trees learn from the corpus itself: base spans and rewritings of them (other separators, spelled-out signs) in
-their real contexts are positive; proposed spans that are no base span, and base spans with broken digits or
-structure, are negative. The sample is bounded.
+their real contexts are positive; base spans with broken digits or structure, harmless numbers in their place, and proposed spans
+that fail a range, a check digit or a form are negative. Other proposed spans may be the very data to be found and get no label.
+The sample is bounded.
 """
 
 import random
@@ -34,6 +35,9 @@ AT = re.compile(r"@|[(\[{]\s?at\s?[)\]}]", re.IGNORECASE)
 BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]+\s?\Z")
 AFTER_AT = re.compile(r"\s?[A-Za-z0-9-]+(?:\s?(?:\.|[(\[{]\s?dot\s?[)\]}])\s?[A-Za-z0-9-]+)+", re.IGNORECASE)
 NUMBER = re.compile(r"[0-9][0-9\x20()./,:-]*[0-9]")
+DOT = re.compile(r"\s?(?:\.|[(\[{]\s?dot\s?[)\]}])\s?", re.IGNORECASE)
+# No phone number is written so: with commas or colons, as a date, or as an amount.
+HARMLESS = re.compile(r"[,:]|\b(?:19|20)[0-9]{2}([-./])[0-9]{1,2}\1[0-9]{1,2}\b|\b[0-9]{1,2}([-./])[0-9]{1,2}\2(?:19|20)[0-9]{2}\b")
 # Longest part before an at sign that is looked at; longer ones are no address.
 LOCAL = 64
 
@@ -191,12 +195,23 @@ def _harmless(rng: random.Random) -> str:
     )
 
 
+def _fails(kind: int, span: str) -> bool:
+    """Whether a proposed span cannot be personal data of its kind: by its range, check digit or form. All others stay unlabelled."""
+    if kind == 0:
+        return any(c.isdigit() for c in DOT.split(span)[-1])
+    if kind == 1:
+        return any(not p.strip().isdigit() or int(p) > 255 for p in re.split(r"[.,:]", span))
+    if kind == 2:
+        return not luhn(digits_of(span))
+    return HARMLESS.search(span) is not None
+
+
 def examples(text: str, seed: int) -> list[tuple[float, list[float]]]:
     """Labelled feature rows of one document."""
     rng, base = random.Random(seed), base_spans(text)
     rows, covered = [], Covered(len(text), base)
     for kind, start, end in candidates(text):
-        if not covered.touches(start, end):
+        if not covered.touches(start, end) and _fails(kind, text[start:end]):
             rows.append((0.0, features(text, kind, start, end)))
     for kind, start, end in base:
         rows.append((1.0, features(text, kind, start, end)))

@@ -77,6 +77,24 @@ def test_trees_find_other_dress_and_leave_plain_numbers(spark):
     assert pii.train(docs.where("doc_id < 0")) is None
 
 
+def test_trees_find_what_the_corpus_itself_holds_in_other_dress(spark):
+    rng = random.Random(4)
+    lines = []
+    for i in range(600):
+        n, phone = rng.randint(1, 999), (rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999))
+        if i % 2:
+            lines.append(f"write to u{n}@m{i}.example.com call +1 ({phone[0]}) {phone[1]}-{phone[2]} on 2024-01-{rng.randint(10, 28)} sold 1,{n:03},567.89")
+        else:
+            lines.append(f"write to u{n} (at) m{i} (dot) example (dot) com call 1 ({phone[0]}) {phone[1]}-{phone[2]} on 2024-01-{rng.randint(10, 28)}")
+    selector = pii.train(spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string"))
+    spans = pii.find_spans(lines, selector)
+    for line, found in zip(lines[::2], spans[::2], strict=True):
+        got = [(pii.KINDS[k], line[s:e]) for k, s, e, _ in found]
+        assert ("email", line.split("write to ")[1].split(" call")[0]) in got and any(k == "phone" for k, _ in got), line
+    dates = [line[s:e] for line, found in zip(lines, spans, strict=True) for _, s, e, _ in found if "2024-01" in line[s:e] or ",567" in line[s:e]]
+    assert not dates
+
+
 def test_redaction_and_digests_of_odd_rows(docs, no_docs):
     rows = {r.doc_id: r for r in pii.redact(docs, None).collect()}
     assert rows[12].text == "write to [EMAIL] or [PHONE] from [IP], card [CARD]" and rows[3].text is None
