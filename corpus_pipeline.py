@@ -1,20 +1,25 @@
 """From raw documents to packed sequences: language, exact copies, near copies, personal data, packing."""
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltworks.llm import language_id, pii
-from smeltworks.llm.exact_dedup import exact_dedup, normalised
-from smeltworks.llm.near_copies import near_copies as similar
+from smeltworks.llm.exact_dedup import exact_dedup
 from smeltworks.llm.packing import packed_digests
+from smeltworks.llm.simhash import simhash_dedup
 from smeltworks.sources.scratch import materialise
 
+ROW = "_corpus_row"
+
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language stay, and ``lang`` becomes the predicted one; those without a letter go.
 
     The model learns from the labelled rows of ``docs`` itself. Without any labelled row nothing can be told, and nothing goes.
+    Ids take no part: rows without one, or with a repeated one, are treated like all others.
     """
     counts = language_id.train(docs)
     if not counts:
@@ -23,29 +28,36 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("lang", F.col("_predicted")).select(*docs.columns)
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, the one with the smallest id.
+def _one_of_each(docs: DataFrame, groups: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` without all but one row of each group: the smallest id stays, of rows that repeat it, or have none, one.
 
-    What goes is named by id and text, so that an id on several texts loses only the copies among them. Documents without an
-    id cannot be named and stay, as do rows that repeat an id and its text.
+    Rows are told apart by a number of their own, written with them. ``groups`` takes the numbered rows and returns
+    ``(ROW, _group)``; only these numbers travel to find what goes.
     """
-    copies = exact_dedup(docs).where(~F.col("kept") & F.col("doc_id").isNotNull())
-    copies = materialise(copies.select("doc_id", F.col("text_sha256").alias("_sha256")).distinct(), "dropped")
-    named = docs.withColumn("_sha256", F.sha2(normalised(F.col("text")), 256))
-    return named.join(copies, ["doc_id", "_sha256"], "left_anti").select(*docs.columns)
+    rows = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    named = groups(rows).join(rows.select(ROW, F.col("doc_id").alias("_id")), ROW)
+    named = materialise(named.select("_group", F.struct(F.col("_id").isNull().alias("nameless"), "_id", ROW).alias("_member")), "named")
+    first = named.groupBy("_group").agg(F.min("_member").alias("_first"))
+    dropped = named.join(first, "_group").where("_member <> _first").select(F.col("_member")[ROW].alias(ROW))
+    return rows.join(materialise(dropped, "dropped"), ROW, "left_anti").select(*docs.columns)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays, the one with the smallest id."""
+
+    def groups(rows: DataFrame) -> DataFrame:
+        return exact_dedup(rows, doc_id=ROW).select(F.col("doc_id").alias(ROW), F.col("keep_id").alias("_group"))
+
+    return _one_of_each(docs, groups)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id: five-word shingles, Jaccard at least 0.8.
+    """One document of each group linked by fingerprints stays, the one with the smallest id."""
 
-    What goes is named by row, so that an id on several texts loses only the copies among them. Documents without an id stay.
-    """
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = materialise(similar(rows.select(F.col("_row").alias("row"), "text")), "found")
-    named = found.join(rows.select(F.col("_row").alias("row"), "doc_id"), "row")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
-    dropped = materialise(named.join(least, "component").where("doc_id > least").select(F.col("row").alias("_row")), "dropped")
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    def groups(rows: DataFrame) -> DataFrame:
+        return simhash_dedup(rows, doc_id=ROW).select(F.col("doc_id").alias(ROW), F.col("component_id").alias("_group"))
+
+    return _one_of_each(docs, groups)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +67,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, placed in sequences."""
+    """Token pieces of all documents, placed in sequences. A row without an id is packed like others, its pieces have a null id."""
     return packed_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
