@@ -1,4 +1,6 @@
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -105,6 +107,48 @@ def test_redaction_and_digests_of_odd_rows(docs, no_docs):
     assert pii.personal_data(no_docs).isEmpty()
 
 
+#: The base patterns as they are given.
+GIVEN = (
+    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def brute_spans(text):
+    def luhn(digits):
+        doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0
+
+    keeps = (
+        lambda m, n: True,
+        lambda m, n: all(int(p) <= 255 for p in m.split(".")),
+        lambda m, n: 16 <= len(n) <= 19 and luhn(n),
+        lambda m, n: 8 <= len(n) <= 15,
+    )
+    spans = [(k, *m.span(), m[0]) for k, p in enumerate(GIVEN) for m in p.finditer(text)]
+    return [(k, s, e) for k, s, e, m in spans if keeps[k](m, "".join(filter(str.isdecimal, m)))]
+
+
+@given(st.lists(st.sampled_from([*"a.@%+- 019²é(", "@b.c", "1.2.3.4", "255.", "+12 ", "4111 1111 1111 1111", "0256", "x@y.z+w@q.r"]), max_size=40))
+@settings(deadline=None, max_examples=500)
+def test_base_spans_equal_the_given_patterns(parts):
+    text = "".join(parts)
+    assert pii.base_spans(text) == brute_spans(text)
+
+
+def test_long_runs_take_little_time():
+    n = 1_000_000
+    start = time.perf_counter()
+    texts = ["1" * n + ".1.1.1", "a" * n + " b@c.de", "1." * (n // 2), "a@" * (n // 2), "+1" * (n // 2), "1" + " " * n + "2", "x" * n + " (at) mail (dot) org"]
+    spans = [pii.base_spans(t) for t in texts]
+    proposed = [pii.candidates(t) for t in texts]
+    assert time.perf_counter() - start < 20
+    assert spans[0] == [] and spans[1] == [(0, n + 1, n + 7)] and len(spans[2]) == n // 8
+    assert proposed[6] == [(0, 0, n + len(" (at) mail (dot) org"))]
+
+
 # -- tokens
 
 
@@ -113,12 +157,20 @@ def test_redaction_and_digests_of_odd_rows(docs, no_docs):
 def test_word_ids_equal_the_library(texts):
     encoder = word_encoder(WORDS_FILE)
     plain = Tokenizer.from_file(WORDS_FILE)
-    plain.encode_special_tokens = True
     ids, ends = encoder.encode(pa.array(texts, pa.string()))
     starts = np.r_[0, ends[:-1]] if len(ends) else []
     assert [ids[a:b].tolist() for a, b in zip(starts, ends, strict=True)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_names_of_special_tokens_are_special():
+    names = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "oftext|>", " ", "foo", "<|endoftext|>bar", "|>", "é"]
+    rng, encoder, plain = random.Random(2), word_encoder(WORDS_FILE), Tokenizer.from_file(WORDS_FILE)
+    texts = ["foo <|endoftext|> bar", None, "", "<|endoftext|>", *("".join(rng.choices(names, k=rng.randint(1, 9))) for _ in range(300)), "plain words"]
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    got = [ids[a:b].tolist() for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts] and got[0] == [23435, 49407, 2411]
+
+
 @given(st.lists(TEXT, max_size=8))
 @settings(deadline=None, max_examples=200)
 def test_pieces_equal_the_library(texts):
