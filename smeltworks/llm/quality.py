@@ -57,9 +57,10 @@ def statistics(text: str | None) -> list[float]:
     data = (text or "").encode()
     words = data.split()
     n, k = max(len(data), 1), len(words)
-    counts = np.zeros(7)
-    for i in range(0, len(data), 1 << 22):
-        counts += np.bincount(KINDS[np.frombuffer(data, np.uint8, min(1 << 22, len(data) - i), i)], minlength=7)
+    signs = np.zeros(256, np.int64)
+    for i in range(0, len(data), 1 << 20):
+        signs += np.bincount(np.frombuffer(data, np.uint8, min(1 << 20, len(data) - i), i), minlength=256)
+    counts = np.bincount(KINDS, signs, minlength=7)
     letters = counts[LOWER] + counts[UPPER] + counts[WIDE]
     seen = Counter(words)
     repeats = sum(a == b for a, b in zip(words, words[1:], strict=False))
