@@ -282,6 +282,12 @@ FROM c_orders l LEFT JOIN first_batch f ON l.order_id = f.order_id"""
 SELECT event_type, count(*) AS events, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total,
        max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_max
 FROM events GROUP BY event_type"""
+    category_revenue = f"""
+SELECT p.category, strftime(o.order_date, '%Y-%m') AS year_month, CAST(sum(i.quantity) AS BIGINT) AS units_sold,
+       CAST(sum(i.line_total) AS DECIMAL(28,2)) AS gross_revenue,
+       CAST(sum(CASE WHEN {OK} THEN i.line_total ELSE 0 END) AS DECIMAL(28,2)) AS net_revenue
+FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id JOIN silver_products p ON i.product_id = p.product_id
+GROUP BY 1, 2"""
     return {
         # gold
         "daily_revenue": _from_daily(f"SELECT {daily_columns} FROM daily"),
@@ -294,19 +300,13 @@ FROM (SELECT *, {_LAG.format(1)} AS before FROM monthly) m"""),
         ),
         "customer_ltv": _from_ltv("SELECT * FROM ltv"),
         "product_performance": performance,
-        "product_performance_distributed_ranks": performance,
         "order_summary": _silver() + """
 SELECT o.order_id, o.order_date, o.status, o.total_amount, c.full_name AS customer_name, c.email, c.tier, c.country,
        count(i.product_id) AS item_count, CAST(sum(i.line_total) AS DECIMAL(28,2)) AS calculated_total
 FROM silver_orders o JOIN silver_customers c ON o.customer_id = c.customer_id
 JOIN silver_items i ON o.order_id = i.order_id
 GROUP BY o.order_id, o.order_date, o.status, o.total_amount, c.full_name, c.email, c.tier, c.country""",
-        "category_revenue": _silver() + f"""
-SELECT p.category, strftime(o.order_date, '%Y-%m') AS year_month, CAST(sum(i.quantity) AS BIGINT) AS units_sold,
-       CAST(sum(i.line_total) AS DECIMAL(28,2)) AS gross_revenue,
-       CAST(sum(CASE WHEN {OK} THEN i.line_total ELSE 0 END) AS DECIMAL(28,2)) AS net_revenue
-FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id JOIN silver_products p ON i.product_id = p.product_id
-GROUP BY 1, 2""",
+        "category_revenue": _silver() + category_revenue,
         "high_value_orders": _silver() + "SELECT *, total_amount > 500 AS is_high_value FROM silver_orders",
         "completed_by_day": _silver() + f"{by_day} FROM silver_orders WHERE status = 'completed' GROUP BY 1",
         "kpi_tiles": _from_daily(f"""
@@ -343,7 +343,6 @@ SELECT revenue_date, gross_revenue,
        {avg2("gross_revenue", f"OVER ({_DAYS.format(29)})", "DECIMAL(28,2)")} AS rolling_30d_avg
 FROM daily"""),
         "customer_ranks": ranks,
-        "customer_ranks_distributed": ranks,
         "month_growth": _from_monthly(f"""
 SELECT year_month, gross_revenue, prev_month, same_month_last_year,
        {growth("gross_revenue", "prev_month", 1, "DECIMAL(12,1)")} AS mom_growth_pct,
@@ -451,6 +450,11 @@ GROUP BY 1""",
         "medallion_daily_revenue": _ctes(*_gold_of_cleaned(), DAILY) + f"SELECT {daily_columns} FROM daily",
         "medallion_customer_ltv": _ctes(*_gold_of_cleaned(), LTV) + "SELECT * FROM ltv",
         "medallion_product_performance": _ctes(*_gold_of_cleaned(), _SALES, PRODUCTS) + "SELECT * FROM performance",
+        "increment_daily_revenue": _ctes(*_gold_of_cleaned(), DAILY) + f"SELECT {daily_columns} FROM daily",
+        "increment_monthly_revenue": _ctes(*_gold_of_cleaned(), DAILY, MONTHLY) + monthly_calendar,
+        "increment_customer_ltv": _ctes(*_gold_of_cleaned(), LTV) + "SELECT * FROM ltv",
+        "increment_product_performance": _ctes(*_gold_of_cleaned(), _SALES, PRODUCTS) + "SELECT * FROM performance",
+        "increment_category_revenue": _ctes(*_gold_of_cleaned()) + category_revenue,
         "run_log": _ctes(*clean_ctes()) + """
 SELECT 'medallion' AS pipeline_name, 'all' AS layer, 'SUCCESS' AS status,
        (SELECT count(*) FROM c_customers) AS customers, (SELECT count(*) FROM c_products) AS products,

@@ -1,28 +1,29 @@
-"""Idempotent loads: full replace, upsert, insert-or-ignore, range reload, append by batch.
-
-Each load is one Spark job that writes a new revision, followed by one switch of the table's directory list.
-
-=============== ================= ================= ==========================
-load            handles updates   handles deletes   cost
-=============== ================= ================= ==========================
-replace_table   yes               yes               all rows
-upsert          yes               no                directories touched
-replace_range   yes               yes (in range)    partitions touched
-incremental     as its upsert     no                new rows, directories touched
-=============== ================= ================= ==========================
+"""Idempotent loads: full replace, upsert, insert-or-ignore, range reload, reload of groups, append by batch.
+
+A load is one writing job over Spark's own append or dynamic partition overwrite; a folder whose new content is empty, which
+such an overwrite leaves alone, is removed after it. What a load costs:
+
+============== ====================================================
+replace_table  all rows
+upsert         new rows, all rows of the folders they fall into
+replace_range  all rows of the folders that the range touches
+replace_groups all rows of the folders that the groups touch
+insert_new     new rows, keys of the folders they can be in
+append_batch   new rows
+============== ====================================================
 """
 
 import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltworks.operators.constraints import ConstraintViolation, admit, duplicate_keys, generated_columns
 from smeltworks.operators.skew import join_unique
 from smeltworks.sources.scratch import materialise
-from smeltworks.sources.tables import Snapshot, StoredTable, leaf
+from smeltworks.sources.tables import StoredTable
 
 
 @dataclass(frozen=True)
@@ -34,28 +35,19 @@ class LoadMetrics:
     updated: int = 0
 
 
-def _leaves(df: DataFrame, cols: list[str]) -> set[tuple[str, ...]]:
-    """Partition values that occur in ``df``: at most as many as the table has directories."""
-    rows = df.select(*[F.col(c).cast("string") for c in cols]).distinct().collect()
-    return {tuple("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in r) for r in rows}
-
-
 def replace_table(table: StoredTable, df: DataFrame, check_keys: bool = False) -> LoadMetrics:
     """Full refresh. Running it again gives the same table, and rows gone from the source are gone here.
 
-    ``check_keys`` looks for double keys in what was written before it is published. Rows grouped by their key
+    ``check_keys`` looks for double keys in what was written before it takes the table's place. Rows grouped by their key
     need no check.
     """
-    seen = Observation()
-    rows = table.with_partition(admit(df, table.spec))
-    base = table.snapshot()
-    dirs = table.write_revision(rows, seen, [F.count("*").alias("n")])
-    if check_keys:
-        written = table.read(Snapshot(base.number, dirs))
+
+    def unique(written: DataFrame) -> None:
         if not duplicate_keys(written, list(table.spec.keys)).isEmpty():
             raise ConstraintViolation(f"{table.spec.name}: a key occurs more than once")
-    table.publish(dirs, base=base)
-    n = seen.get["n"]
+
+    rows = table.with_partition(admit(df, table.spec))
+    n = table.replace(rows, F.count("*").alias("n"), check=unique if check_keys else None)["n"]
     return LoadMetrics(n, n, 0)
 
 
@@ -69,41 +61,38 @@ def upsert(
 ) -> LoadMetrics:
     """Insert new keys; on known keys overwrite ``update_cols`` (NULLs too) and keep the rest.
 
-    ``df`` must have one row per key, else the load fails and nothing is published. With ``order_col`` a known
+    ``df`` must have one row per key, else the job fails and nothing is written. With ``order_col`` a known
     row is overwritten only by a row that is not older.
 
-    ``stored`` says that ``df`` reads a table as it is, so that reading it twice is cheap. Directory columns
+    ``stored`` says that ``df`` reads a table as it is, so that reading it twice is cheap. Folder columns
     must depend on the keys or on columns that no upsert changes. In the second case a join of the keys alone (two
-    pruned scans) tells in which directories the known ones are. Source and target rows of the touched directories are
-    hashed to their directory once; merge and write need no further shuffle.
+    pruned scans) tells in which folders the known ones are. Source and target rows of the touched folders are
+    hashed once, by folder and, where folders are large, a salt made from the key; merge and write need no further shuffle.
     """
     spec = table.spec
     keys = keys or list(spec.keys)
     update_cols = list(spec.update_cols) if update_cols is None else update_cols
     moving = spec.laid_out_by() & set(update_cols)
     if moving:
-        raise ValueError(f"{spec.name}: an upsert of {sorted(moving)} would move rows between directories")
-    base = table.laid_out()
+        raise ValueError(f"{spec.name}: an upsert of {sorted(moving)} would move rows between folders")
     source = table.with_partition(admit(df, spec))
     cols = table.partition_cols
-    if base.dirs and cols:
+    touched = set()
+    if table.exists():
         source = source if stored else materialise(source, f"upsert-{spec.name}")
         if not spec.laid_out_by() <= set(keys):
-            source = materialise(_where_stored(table, base, source, keys), f"upsert-{spec.name}")
-        touched = _leaves(source, cols)
-    else:
-        touched = None
-    target = table.read(base, touched, helpers=True)
+            source = materialise(_where_stored(table, source, keys), f"upsert-{spec.name}")
+        touched = table.folders_of(source)
+    target = table.read(touched, helpers=True)
 
     rest = [c for c in spec.schema.names if c not in keys]
+    salt = F.pmod(F.xxhash64(*keys), F.lit(table.tasks_per_folder())).alias("_salt")
 
     def side(df, new):
-        return df.select(*cols, *keys, F.lit(new).alias("_new"), F.struct(*rest).alias("_row"))
+        return df.select(*cols, salt, *keys, F.lit(new).alias("_new"), F.struct(*rest).alias("_row"))
 
-    both = side(source, True).unionByName(side(target, False))
-    if cols:
-        both = both.repartition(*cols)
-    merged = both.groupBy(*cols, *keys).agg(
+    both = side(source, True).unionByName(side(target, False)).repartition(*cols, "_salt")
+    merged = both.groupBy(*cols, "_salt", *keys).agg(
         F.first(F.when(F.col("_new"), F.col("_row")), ignorenulls=True).alias("s"),
         F.first(F.when(~F.col("_new"), F.col("_row")), ignorenulls=True).alias("t"),
         F.count_if("_new").alias("_sources"),
@@ -112,27 +101,23 @@ def upsert(
     take = has_s & ~has_t | (has_s & _not_older(order_col))
     picked = merged.select(*cols, *keys, *[_pick(n, n in update_cols, take).alias(n) for n in rest], "_sources",
                            (has_s & ~has_t).alias("_inserted"), (take & has_t).alias("_updated"))
-    rows = picked.withColumns(generated_columns(spec))
-    seen = Observation()
-    metrics = [
+    # The check rides on the key: no column of a double key gets past it.
+    twice = F.raise_error(F.lit(f"{spec.name}: source has more than one row for one key"))
+    single = F.when(F.col("_sources") > 1, twice.cast(spec.schema[keys[0]].dataType)).otherwise(F.col(keys[0]))
+    got = table.overwrite(
+        picked.withColumn(keys[0], single).withColumns(generated_columns(spec)),
         F.coalesce(F.sum("_sources"), F.lit(0)).alias("processed"),
         F.count_if("_inserted").alias("inserted"),
         F.count_if("_updated").alias("updated"),
-        F.coalesce(F.max("_sources"), F.lit(0)).alias("per_key"),
-    ]
-    dirs = table.write_revision(rows, seen, metrics, placed=True)
-    got = seen.get
-    if got["per_key"] > 1:
-        raise ConstraintViolation(f"{spec.name}: source has {got['per_key']} rows for one key")
-    kept = tuple(d for d in base.dirs if touched is not None and leaf(d) not in touched)
-    table.publish(kept + dirs, base=base)
+        placed=True,
+    )
     return LoadMetrics(got["processed"], got["inserted"], got["updated"])
 
 
-def _where_stored(table: StoredTable, base: Snapshot, source: DataFrame, keys: list[str]) -> DataFrame:
-    """``source`` with the directory columns of the stored row of its key, where there is one."""
+def _where_stored(table: StoredTable, source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` with the folder columns of the stored row of its key, where there is one."""
     cols = table.partition_cols
-    homes = table.read(base, helpers=True).select(*keys, *[F.col(c).alias(f"_at_{c}") for c in cols])
+    homes = table.read(helpers=True).select(*keys, *[F.col(c).alias(f"_at_{c}") for c in cols])
     placed = join_unique(source, homes, keys, "left")
     return placed.withColumns({c: F.coalesce(f"_at_{c}", c) for c in cols}).drop(*[f"_at_{c}" for c in cols])
 
@@ -155,27 +140,29 @@ def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None)
     """Insert-or-ignore: append rows of unknown keys, leave known ones alone. Of several source rows with one
     key a single one is kept. Existing files stay as they are."""
     keys = keys or list(table.spec.keys)
-    base = table.laid_out()
     source = materialise(table.with_partition(admit(df, table.spec)), f"insert-{table.spec.name}")
-    cols = table.partition_cols
-    # A known key may lie in any directory unless the key alone decides.
-    near = _leaves(source, cols) if cols and table.spec.laid_out_by() <= set(keys) else None
-    known = table.read(base, near, helpers=True).select(*keys)
+    # A known key may lie in any folder unless the key alone decides.
+    near = table.folders_of(source) if table.spec.partition and table.spec.laid_out_by() <= set(keys) else None
+    known = table.read(near, helpers=True).select(*keys)
     fresh = join_unique(source, known, keys, "left_anti").dropDuplicates(keys)
-    seen, offered = Observation(), source.count()
-    dirs = table.write_revision(fresh, seen, [F.count("*").alias("n")])
-    table.publish(base.dirs + dirs, base=base)
-    return LoadMetrics(offered, seen.get["n"], 0)
+    return LoadMetrics(source.count(), table.append(fresh, F.count("*").alias("n"))["n"], 0)
+
+
+def _rewrite(table: StoredTable, touched: set, outside: DataFrame, source: DataFrame) -> LoadMetrics:
+    """The touched folders with the rows ``outside`` of what is replaced, and ``source``; those left without a row go."""
+    both = outside.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)))
+    emptied = (touched & table.folders()) - table.folders_of(source) - table.folders_of(outside)
+    n = table.overwrite(both, F.count_if("_new").alias("n"))["n"]
+    table.drop(emptied)
+    return LoadMetrics(n, n, 0)
 
 
 def replace_range(table: StoredTable, df: DataFrame, column: str, start, end) -> LoadMetrics:
     """Delete rows with ``start <= column < end`` and insert ``df`` in their place.
 
-    Only partitions that hold rows of the range are rewritten. An empty ``df`` empties the range. Rows of
+    Only folders that hold rows of the range are rewritten. An empty ``df`` empties the range. Rows of
     ``df`` outside the range fail the job.
     """
-    base = table.laid_out()
-    cols = table.partition_cols
     lo, hi = F.lit(start), F.lit(end)
 
     def inside(c):
@@ -184,21 +171,31 @@ def replace_range(table: StoredTable, df: DataFrame, column: str, start, end) ->
     stray = F.raise_error(F.concat(F.lit(f"{column} outside the range: "), F.col(column).cast("string")))
     guarded = admit(df, table.spec).where(F.when(inside(column), True).otherwise(stray.cast("boolean")))
     source = materialise(table.with_partition(guarded), f"range-{table.spec.name}")
-    touched = None
-    if cols:
-        if table.spec.ordered_by == column:
-            existing = table.leaves_between(base, start, end)
-        else:
-            existing = _leaves(table.read(base, helpers=True).where(inside(column)), cols)
-        touched = _leaves(source, cols) | existing
-    outside = table.read(base, touched, helpers=True).where(~inside(column) | F.col(column).isNull())
-    seen = Observation()
-    rows = outside.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)))
-    dirs = table.write_revision(rows, seen, [F.count_if("_new").alias("n")])
-    kept = tuple(d for d in base.dirs if touched is not None and leaf(d) not in touched)
-    table.publish(kept + dirs, base=base)
-    n = seen.get["n"]
-    return LoadMetrics(n, n, 0)
+    if table.spec.ordered_by == column:
+        existing = table.folders_between(start, end)
+    else:
+        existing = table.folders_of(table.read(helpers=True).where(inside(column)))
+    touched = table.folders_of(source) | existing
+    outside = table.read(touched, helpers=True).where(~inside(column) | F.col(column).isNull())
+    return _rewrite(table, touched, outside, source)
+
+
+def replace_groups(table: StoredTable, df: DataFrame, groups: DataFrame) -> LoadMetrics:
+    """Delete the rows whose ``groups.columns`` occur in ``groups``, one row per group, and insert ``df``, which has rows of these groups
+    only. A group that ``df`` has no row of vanishes. Nulls are a group like any other.
+
+    Only folders that hold rows of the groups are rewritten; those are known without reading the table where the folder
+    columns are made from columns of ``groups``.
+    """
+    columns = groups.columns
+    source = materialise(table.with_partition(admit(df, table.spec)), f"groups-{table.spec.name}")
+    if table.spec.partition and table.spec.laid_out_by() <= set(columns):
+        touched = table.folders_of(table.with_partition(groups))
+    else:
+        hit = join_unique(table.read(helpers=True).select(*{*columns, *table.partition_cols}), groups, columns, "left_semi", null_safe=True)
+        touched = table.folders_of(hit) | table.folders_of(source)
+    outside = join_unique(table.read(touched, helpers=True), groups, columns, "left_anti", hot=False, null_safe=True)
+    return _rewrite(table, touched, outside, source)
 
 
 def replace_partition(table: StoredTable, df: DataFrame, column: str, value) -> LoadMetrics:
@@ -212,20 +209,13 @@ def backfill(table: StoredTable, build: Callable[..., DataFrame], column: str, s
 
 
 def append_batch(table: StoredTable, df: DataFrame, batch_id: str) -> LoadMetrics:
-    """Append a batch once: if the table already has ``batch_id``, nothing happens."""
-    base = table.laid_out()
-    if batch_id in base.facts.get("batches", []):
+    """Append a batch once: if the table already has a folder of ``batch_id``, nothing happens. The table must be laid out by
+    ``_batch_id``. Rows are numbered on from the greatest number of the batch that was written last."""
+    at = table.partition_cols.index("_batch_id")
+    if any(f[at] == batch_id for f in table.folders()):
         return LoadMetrics()
-    first_id = base.facts.get("next_id", 1)
-    seen = Observation()
-    numbered = df.withColumn("_id", F.monotonically_increasing_id() + F.lit(first_id))
-    metrics = [F.count("*").alias("n"), F.max("_id").alias("last")]
-    # All rows go to one directory: tasks write their rows as they come.
-    dirs = table.write_revision(table.with_partition(numbered), seen, metrics, placed=True)
-    got = seen.get
-    facts = {
-        "batches": [*base.facts.get("batches", []), batch_id],
-        "next_id": first_id if got["last"] is None else got["last"] + 1,
-    }
-    table.publish(base.dirs + dirs, facts, base)
-    return LoadMetrics(got["n"], got["n"], 0)
+    last = table.read(table.newest_folders()).agg(F.max("_id")).first()[0] or 0
+    numbered = df.withColumn("_id", F.monotonically_increasing_id() + F.lit(last + 1))
+    # All rows go to one folder: tasks write their rows as they come.
+    n = table.append(table.with_partition(numbered), F.count("*").alias("n"), placed=True)["n"]
+    return LoadMetrics(n, n, 0)

@@ -1,7 +1,8 @@
 """Silver to gold: business tables.
 
 Items are summed per order before any join, so joins on the order are one to one, no distinct count needs an
-expanded plan, and an order with very many items is folded on the map side.
+expanded plan, and an order with very many items is folded on the map side. Wherever ``items`` are asked for, rows of
+``order_facts``, in which that is already done, may be given instead.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,25 +24,48 @@ def earns() -> Column:
     return ~F.col("status").isin(*DEAD_STATUSES)
 
 
+def order_facts(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
+    """The items of each order by product: how many, their value, units, unit prices and how many of these there are."""
+    pairs = items.groupBy("order_id", "product_id").agg(
+        F.count("*").alias("n_items"),
+        F.sum("line_total").cast(money).alias("items_total"),
+        F.sum("quantity").alias("units"),
+        F.sum("unit_price").cast(money).alias("prices"),
+        F.count("unit_price").alias("priced"),
+    )
+    return pairs.join(orders.select("order_id", "order_date"), "order_id")
+
+
+def _summed(items: DataFrame) -> bool:
+    """Whether ``items`` are facts."""
+    return "n_items" in items.columns
+
+
 def order_totals(items: DataFrame) -> DataFrame:
     """Item count and value per order."""
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("n_items"), F.sum("line_total").alias("items_total")
-    )
+    counted = F.sum("n_items") if _summed(items) else F.count("*")
+    total = F.sum("items_total" if _summed(items) else "line_total")
+    return items.groupBy("order_id").agg(counted.alias("n_items"), total.alias("items_total"))
 
 
-def daily_revenue(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY, start=None, end=None) -> DataFrame:
-    """One row per date with sold items, of ``start <= date < end`` if these are given.
+def daily_revenue(
+    orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY, start=None, end=None, days: DataFrame | None = None
+) -> DataFrame:
+    """One row per date with sold items, of ``start <= date < end`` or of the ``days(order_date)`` if these are given.
 
     Orders without items count for nothing but the first order date of their customer. The average order value
-    weighs an order by its number of items. For a range, only its orders are joined to their items; of all other orders
-    just the customer and the date are read, for the first order dates of the customers in the range.
+    weighs an order by its number of items. For a range or days, only their orders are joined to their items; of all other
+    orders just the customer and the date are read, for the first order dates of the customers concerned.
     """
     firsts = None
-    if start is not None:
-        inside = (F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end))
-        firsts = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_day"))
-        orders = orders.where(inside)
+    if start is not None or days is not None:
+        every = orders
+        if days is None:
+            orders = orders.where((F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end)))
+        else:
+            orders = orders.join(days, "order_date", "left_semi")
+            every = every.join(orders.select("customer_id"), "customer_id", "left_semi")
+        firsts = every.groupBy("customer_id").agg(F.min("order_date").alias("first_day"))
         items = items.join(orders.select("order_id"), "order_id", "left_semi")
     sold = orders.select("order_id", "customer_id", "order_date", "status", "total_amount").join(
         order_totals(items), "order_id", "left"
@@ -154,9 +178,7 @@ def customer_ltv(
         F.sum(F.col("total_amount") * weight).alias("_amount"),
         F.sum(weight).alias("_weight"),
     )
-    last = F.col("last_order_date")
-    idle = F.datediff(F.lit(as_of).cast("date"), last)
-    return (
+    ltv = (
         customers.select("customer_id", "full_name", "email", "tier", "country")
         .join(per_customer, "customer_id", "left")
         .select(
@@ -170,14 +192,21 @@ def customer_ltv(
             F.coalesce("_orders", F.lit(0)).alias("total_orders"),
             F.coalesce("_revenue", F.lit(0)).cast(money).alias("total_revenue"),
             exact_avg(F.col("_amount"), F.col("_weight")).alias("avg_order_value"),
-            idle.alias("days_since_last"),
-            F.when(idle >= churn_days, "CHURNED")
-            .when(F.col("_revenue") >= high, "HIGH")
-            .when(F.col("_revenue") >= medium, "MEDIUM")
-            .otherwise("LOW")
-            .alias("ltv_segment"),
         )
     )
+    return judged(ltv, as_of, high, medium, churn_days)
+
+
+def judged(ltv: DataFrame, as_of, high: int = 1000, medium: int = 200, churn_days: int = 180) -> DataFrame:
+    """Lifetime values with the two columns that depend on the day they are looked at."""
+    idle = F.datediff(F.lit(as_of).cast("date"), F.col("last_order_date"))
+    segment = (
+        F.when(idle >= churn_days, "CHURNED")
+        .when(F.col("total_revenue") >= high, "HIGH")
+        .when(F.col("total_revenue") >= medium, "MEDIUM")
+        .otherwise("LOW")
+    )
+    return ltv.withColumn("days_since_last", idle).withColumn("ltv_segment", segment)
 
 
 def product_totals(products: DataFrame, items: DataFrame, orders: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
@@ -187,18 +216,22 @@ def product_totals(products: DataFrame, items: DataFrame, orders: DataFrame, mon
     """
     # One scan and one full-size shuffle of the items: to their order, where they fold to a row per order and product.
     flagged = orders.select("order_id", earns().alias("_earns"))
-    sold = items.select("order_id", "product_id", "quantity", "line_total", "unit_price")
-    pairs = (
-        join_unique(sold, flagged, ["order_id"], "left")
-        .groupBy("order_id", "product_id")
-        .agg(
-            F.sum("quantity").alias("_units"),
-            F.sum("line_total").alias("_revenue"),
-            F.sum("unit_price").alias("_prices"),
-            F.count("unit_price").alias("_priced"),
-            F.max("_earns").alias("_earns"),
+    if _summed(items):
+        named = {"units": "_units", "items_total": "_revenue", "prices": "_prices", "priced": "_priced"}
+        pairs = items.select("order_id", "product_id", *named).withColumnsRenamed(named).join(flagged, "order_id", "left")
+    else:
+        sold = items.select("order_id", "product_id", "quantity", "line_total", "unit_price")
+        pairs = (
+            join_unique(sold, flagged, ["order_id"], "left")
+            .groupBy("order_id", "product_id")
+            .agg(
+                F.sum("quantity").alias("_units"),
+                F.sum("line_total").alias("_revenue"),
+                F.sum("unit_price").alias("_prices"),
+                F.count("unit_price").alias("_priced"),
+                F.max("_earns").alias("_earns"),
+            )
         )
-    )
     sales = pairs.groupBy("product_id").agg(
         *[F.sum(c).alias(c) for c in ("_units", "_revenue", "_prices", "_priced")], F.count_if("_earns").alias("_orders")
     )
@@ -231,9 +264,13 @@ def product_performance(
 
     Products never sold rank last, after products whose revenue is 0.
     """
-    totals = materialise(product_totals(products, items, orders, money), "products")
+    return ranked_products(product_totals(products, items, orders, money))
+
+
+def ranked_products(totals: DataFrame) -> DataFrame:
+    """Product totals with their ranks."""
     ranks = {"revenue_rank": [], "category_rank": ["category"]}
-    return add_ranks(totals, "_ranked", ranks).drop("_ranked")
+    return add_ranks(materialise(totals, "products"), "_ranked", ranks).drop("_ranked")
 
 
 def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
@@ -261,13 +298,15 @@ def order_summary(orders: DataFrame, customers: DataFrame, items: DataFrame, mon
 
 def category_revenue(products: DataFrame, items: DataFrame, orders: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
     """Revenue by product category and month; net leaves out cancelled and refunded orders."""
-    hot = hot_keys(items, ["order_id"])
     dated = orders.select("order_id", year_month("order_date").alias("year_month"), earns().alias("_earns"))
+    if _summed(items):
+        sold = items.select("order_id", "product_id", F.col("units").alias("quantity"), F.col("items_total").alias("line_total"))
+        sold = sold.join(dated, "order_id")
+    else:
+        hot = hot_keys(items, ["order_id"])
+        sold = join_unique(items.select("order_id", "product_id", "quantity", "line_total"), dated, ["order_id"], hot=hot)
     per_product = (
-        join_unique(
-            items.select("order_id", "product_id", "quantity", "line_total"), dated, ["order_id"], hot=hot
-        )
-        .groupBy("product_id", "year_month")
+        sold.groupBy("product_id", "year_month")
         .agg(
             F.sum("quantity").alias("units"),
             F.sum("line_total").alias("gross"),

@@ -35,13 +35,17 @@ class TableSpec:
     generated: Mapping[str, str] = field(default_factory=dict)
     references: Mapping[str, str] = field(default_factory=dict)
     update_cols: tuple[str, ...] = ()
-    # Directory columns, outermost first, with the expression that fills them.
+    # Folder columns, outermost first, with the expression that fills them.
     partition: Mapping[str, str] = field(default_factory=dict)
-    # Column in which the text of the one directory column never decreases: range loads prune by it.
+    # Column in which the text of the one folder column never decreases: range loads prune by it.
     ordered_by: str = ""
 
+    def layout(self) -> Mapping[str, str]:
+        """The folder columns; a table without any is one folder, so that it too is replaced when a job has succeeded."""
+        return self.partition or {"_all": "0"}
+
     def laid_out_by(self) -> set[str]:
-        """Columns that the directory columns are made from."""
+        """Columns that the folder columns are made from."""
         words = {w for e in self.partition.values() for w in re.findall(r"\w+", e)}
         return words & set(self.schema.names)
 
@@ -51,13 +55,13 @@ class TableSpec:
 
 
 def bucketed(keys: tuple[str, ...], buckets: int) -> dict[str, str]:
-    """Directory layout for upserts: a hash of the key, so that a load rewrites only the buckets it touches."""
+    """Folder layout for upserts: a hash of the key, so that a load rewrites only the buckets it touches."""
     return {"_bucket": f"cast(pmod(xxhash64({', '.join(keys)}), {buckets}) as int)"}
 
 
 def monthly(date: str, keys: tuple[str, ...], buckets: int) -> dict[str, str]:
-    """Directory layout for upserts of dated rows whose date no upsert changes: the month, then a hash of the key if a month
-    is to have several directories. A load rewrites only the months, and in them the buckets, that it touches."""
+    """Folder layout for upserts of dated rows whose date no upsert changes: the month, then a hash of the key if a month
+    is to have several folders. A load rewrites only the months, and in them the buckets, that it touches."""
     month = {"_month": f"coalesce(date_format({date}, 'yyyy-MM'), 'none')"}
     return month if buckets == 1 else {**month, **bucketed(keys, buckets)}
 
@@ -76,7 +80,7 @@ def _bronze(name: str, business: str) -> TableSpec:
         name,
         columns(INGEST_COLUMNS + raw),
         not_null=("_ingested_at",),
-        # By day first, so that an incremental read prunes directories.
+        # By day first, so that an incremental read prunes folders.
         partition={"_ingest_date": "cast(_ingested_at as date)", "_batch_id": "_batch_id"},
     )
 
@@ -232,6 +236,9 @@ def silver_spec(name: str, buckets: int) -> TableSpec:
     spec = SILVER[name]
     if name == "orders":
         return spec.like(name, partition=monthly("order_date", spec.keys, max(1, buckets // 8)))
+    if name == "order_items":
+        # The order of an item never changes; the items of a few orders lie in few folders.
+        return spec.like(name, partition=bucketed(("order_id",), buckets))
     return spec.like(name, partition=bucketed(spec.keys, buckets))
 
 
@@ -337,7 +344,26 @@ _computed_at timestamp
     )
 }
 
-# The sample fact table: constraints on measures, one directory per month of sale.
+# What the items of an order add up to, by product: gold tables are made from these rows, by month of the order.
+ORDER_FACTS = TableSpec(
+    "order_facts",
+    columns(f"""
+order_id string
+product_id string
+order_date date
+n_items bigint
+items_total {GOLD_MONEY}
+units bigint
+prices {GOLD_MONEY}
+priced bigint
+"""),
+    keys=("order_id", "product_id"),
+    not_null=("order_id", "product_id", "order_date", "n_items"),
+    partition={"_month": "date_format(order_date, 'yyyy-MM')"},
+    ordered_by="order_date",
+)
+
+# The sample fact table: constraints on measures, one folder per month of sale.
 SALES = TableSpec(
     "sales",
     columns("""

@@ -1,15 +1,10 @@
-"""Parquet tables whose content is switched in one step.
+"""Parquet tables in partition folders, written by Spark's append and dynamic partition overwrite.
 
-A write goes to a directory of its own, ``data/rev=...``; a small file in ``_log`` then lists the directories
-that make up the table. Readers take the newest list, so they never see an empty or half-written table, and a
-job that dies before the switch leaves only unlisted files. One writer per table is assumed.
+Spark stages what a job writes and moves it into place when the whole job has succeeded: a job that fails leaves the table
+as it was. A table is read afresh after a load; a frame made before it may name files that are gone. One writer per table.
 """
 
-import datetime
-import json
-import time
 import uuid
-from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,30 +13,19 @@ from pyspark.sql import types as T
 
 from smeltworks.schemas import TableSpec
 
-# Unlisted directories younger than this may belong to a load that is still running.
-SPARED = datetime.timedelta(days=7)
-
-
-@dataclass(frozen=True)
-class Snapshot:
-    """A published state: its number, its directories, and small facts kept with it."""
-
-    number: int = 0
-    dirs: tuple[str, ...] = ()
-    facts: dict = field(default_factory=dict)
-
-
-def leaf(path: str) -> tuple[str, ...]:
-    """Partition values of a directory, as text and unescaped: ``rev=x/day=2024-01-05T10%3A00`` to ``("2024-01-05T10:00",)``."""
-    return tuple(unquote(level.partition("=")[2]) for level in path.split("/")[1:])
+# Fixed value: the folder of rows whose partition value is null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+# A task writes about this much of a folder.
+TASK_BYTES = 256 << 20
 
+Folder = tuple[str, ...]
 
 _FIELDS: dict[tuple, list[T.StructField]] = {}
 
 
 def _helper_fields(spark: SparkSession, spec: TableSpec) -> list[T.StructField]:
-    """Directory columns that are not columns of the table, with the types of their expressions."""
-    helper = {c: e for c, e in spec.partition.items() if c not in spec.schema.names}
+    """Folder columns that are not columns of the table, with the types of their expressions."""
+    helper = {c: e for c, e in spec.layout().items() if c not in spec.schema.names}
     known = (spec.schema.simpleString(), *helper.items())
     if known not in _FIELDS:
         columns = [F.expr(e).alias(c) for c, e in helper.items()]
@@ -56,150 +40,114 @@ class StoredTable:
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self._jvm_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._jvm_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self.partition_cols = list(spec.partition)
+        self.partition_cols = list(spec.layout())
         self.full_schema = T.StructType([*spec.schema.fields, *_helper_fields(spark, spec)])
 
     # -- reading
 
-    def _log_dir(self):
-        return self._jvm_path(f"{self.path}/_log")
-
-    def snapshot(self) -> Snapshot:
-        """The newest published state."""
-        if not self._fs.exists(self._log_dir()):
-            return Snapshot()
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._log_dir())]
-        names = sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
-        if not names:
-            return Snapshot()
-        stream = self._fs.open(self._jvm_path(f"{self.path}/_log/{names[-1]}"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        state = json.loads(text)
-        return Snapshot(int(names[-1][: -len(".json")]), tuple(state["dirs"]), state["facts"])
-
     def exists(self) -> bool:
-        return self.snapshot().number > 0
-
-    def read(
-        self,
-        snapshot: Snapshot | None = None,
-        leaves: set[tuple[str, ...]] | None = None,
-        helpers: bool = False,
-    ) -> DataFrame:
-        """The rows of a state, of the given partition directories only if ``leaves`` is set.
-
-        ``helpers`` keeps directory columns that are not columns of the table.
-        """
-        snapshot = snapshot or self.snapshot()
-        dirs = [d for d in snapshot.dirs if leaves is None or leaf(d) in leaves]
-        if dirs:
-            schema = T.StructType([*self.full_schema.fields, T.StructField("rev", T.StringType())])
-            df = (
-                self.spark.read.schema(schema)
-                .option("basePath", f"{self.path}/data")
-                .parquet(*[f"{self.path}/data/{d}" for d in dirs])
-            )
+        """Whether anything was ever written, be it no rows."""
+        return self._fs.exists(self._jvm_path(self.path))
+
+    def _places(self) -> dict[Folder, object]:
+        """Folders by their values, as text and unescaped."""
+        if not self.exists():
+            return {}
+        depth = len(self.partition_cols)
+        found = self._fs.globStatus(self._jvm_path("/".join([self.path, *["*=*"] * depth]))) or []
+        names = {s.getPath(): s.getPath().toUri().getPath().split("/")[-depth:] for s in found}
+        return {tuple(unquote(n.partition("=")[2]) for n in levels): path for path, levels in names.items()}
+
+    def folders(self) -> set[Folder]:
+        return set(self._places())
+
+    def folders_between(self, start, end) -> set[Folder]:
+        """Folders that can hold ``start <= spec.ordered_by < end``, by their names alone."""
+        (expression,) = self.spec.layout().values()
+        kind = T.StructType([self.spec.schema[self.spec.ordered_by]])
+        bounds = self.spark.createDataFrame([(start,), (end,)], kind).select(F.expr(expression).cast("string").alias("v"))
+        low, high = sorted(row.v for row in bounds.collect())
+        return {f for f in self.folders() if low <= f[0] <= high}
+
+    def _named(self) -> Column:
+        """The folder of a row as one text, from folder columns only: a filter on it prunes folders."""
+        return F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER)) for c in self.partition_cols])
+
+    def read(self, folders: set[Folder] | None = None, helpers: bool = False) -> DataFrame:
+        """The rows, of the given folders only if ``folders`` is set. ``helpers`` keeps folder columns that are not columns of the table."""
+        if self.exists() and folders != set():
+            df = self.spark.read.schema(self.full_schema).option("basePath", self.path).parquet(self.path)
+            if folders is not None:
+                df = df.where(self._named().isin(["\1".join(f) for f in sorted(folders)]))
         else:
             df = self.spark.createDataFrame([], self.full_schema)
         return df.select(*(self.full_schema.names if helpers else self.spec.schema.names))
 
-    def leaves_from(self, snapshot: Snapshot, low: str) -> set[tuple[str, ...]]:
-        """Directories whose outermost level is at least ``low``, compared as text."""
-        return {values for d in snapshot.dirs if (values := leaf(d))[0] >= low}
-
     # -- writing
 
     def with_partition(self, df: DataFrame) -> DataFrame:
-        """Add the directory columns."""
-        return df.withColumns(
-            {c: F.expr(e) for c, e in self.spec.partition.items() if c not in self.spec.schema.names}
-        )
-
-    def leaves_between(self, snapshot: Snapshot, start, end) -> set[tuple[str, ...]]:
-        """Directories that can hold ``start <= spec.ordered_by < end``, from the list alone."""
-        (expression,) = self.spec.partition.values()
-        bounds = self.spark.createDataFrame(
-            [(start,), (end,)], T.StructType([self.spec.schema[self.spec.ordered_by]])
-        ).select(F.expr(expression).cast("string").alias("v"))
-        low, high = sorted(row.v for row in bounds.collect())
-        return {values for d in snapshot.dirs if low <= (values := leaf(d))[0] <= high}
+        """Add the folder columns."""
+        return df.withColumns({c: F.expr(e) for c, e in self.spec.layout().items() if c not in self.spec.schema.names})
 
-    def write_revision(
-        self, df: DataFrame, seen: Observation, metrics: list[Column], placed: bool = False
-    ) -> tuple[str, ...]:
-        """Write rows to a new directory and return its partition directories, still unpublished.
+    def folders_of(self, df: DataFrame) -> set[Folder]:
+        """Folders that occur in rows with folder columns: at most as many as the table has."""
+        rows = df.select(*[F.col(c).cast("string") for c in self.partition_cols]).distinct().collect()
+        return {tuple(NULL_FOLDER if v is None else v for v in r) for r in rows}
 
-        Unless already ``placed``, rows are rebalanced by the directory columns: small directories get one
-        file and a directory with a large share of the rows is split over tasks. Metrics are taken in the
-        writing stage itself, where a re-run task is counted once. ``_``-columns that are not stored may be
-        used by them.
+    def tasks_per_folder(self) -> int:
+        """Into how many tasks the rows of a folder of average size are split."""
+        count = len(self._places())
+        return 1 + self._fs.getContentSummary(self._jvm_path(self.path)).getLength() // (count * TASK_BYTES) if count else 1
+
+    def append(self, df: DataFrame, *metrics: Column, placed: bool = False) -> dict:
+        """Add rows with folder columns. Unless ``placed``, they are rebalanced by folder: small folders get one file, and a folder
+        with a large share of the rows is split over tasks.
+
+        Returns the ``metrics``, taken in the writing stage itself, where a task that runs again is counted once. They may
+        use columns of ``df`` that are not stored.
         """
-        rev = f"rev={uuid.uuid4().hex}"
-        target = f"{self.path}/data/{rev}"
-        cols = self.partition_cols
-        if cols and not placed:
-            df = df.hint("rebalance", *cols)
-        df = df.observe(seen, *metrics).select(*self.full_schema.names)
-        writer = df.write.partitionBy(*cols) if cols else df.write
-        writer.parquet(target)
-        if not cols:
-            return (rev,)
-        pattern = self._jvm_path("/".join([target, *["*=*"] * len(cols)]))
-        base = len(self._jvm_path(f"{self.path}/data").toUri().getPath()) + 1
-        found = self._fs.globStatus(pattern) or []
-        return tuple(sorted(s.getPath().toUri().getPath()[base:] for s in found))
-
-    def publish(self, dirs: tuple[str, ...], facts: dict | None = None, base: Snapshot | None = None) -> Snapshot:
-        """Make ``dirs`` the table's content. Fails if somebody published after ``base`` was read."""
-        base = base or self.snapshot()
-        number = base.number + 1
-        layout = {"layout": dict(self.spec.partition)}
-        state = {"dirs": list(dirs), "facts": {**base.facts, **layout, **(facts or {})}}
-        final = self._jvm_path(f"{self.path}/_log/{number:010d}.json")
-        if self._fs.exists(final):
-            raise RuntimeError(f"{self.path}: state {number} was published by another writer")
-        draft = self._jvm_path(f"{self.path}/_log/.{uuid.uuid4().hex}")
-        out = self._fs.create(draft, False)
+        return self._written(df, "append", metrics, placed)
+
+    def overwrite(self, df: DataFrame, *metrics: Column, placed: bool = False) -> dict:
+        """Replace the folders that occur in ``df``, which may read them; all others stay as they are."""
+        return self._written(df, "overwrite", metrics, placed)
+
+    def replace(self, df: DataFrame, *metrics: Column, check=None) -> dict:
+        """Replace all rows, which ``df`` may read. The new rows are written beside the table and take its place when they
+        are complete and ``check``, given a frame of them, has not raised."""
+        beside = StoredTable(self.spark, f"{self.path}.new-{uuid.uuid4().hex}", self.spec)
         try:
-            out.write(bytearray(json.dumps(state).encode()))
-        finally:
-            out.close()
-        if not self._fs.rename(draft, final):
-            raise RuntimeError(f"{self.path}: could not publish state {number}")
-        return Snapshot(number, tuple(dirs), state["facts"])
-
-    def laid_out(self) -> Snapshot:
-        """The newest state, in the layout of the spec. A table stored in another one, such as another number of
-        buckets, is first written anew: a load that mixed the two would miss rows that it must touch."""
-        base = self.snapshot()
-        if not base.dirs or base.facts.get("layout", dict(self.spec.partition)) == dict(self.spec.partition):
-            return base
-        rows = self.with_partition(self.read(base))
-        return self.publish(self.write_revision(rows, Observation(), [F.count("*").alias("n")]), base=base)
-
-    def vacuum(self, keep: int = 2, older_than: datetime.timedelta = SPARED) -> int:
-        """Delete directories that none of the newest ``keep`` states lists, but none younger than ``older_than``: a running
-        load may have written them and not published yet. Returns how many went."""
-        newest = self.snapshot().number
-        used: set[str] = set()
-        for number in range(max(1, newest - keep + 1), newest + 1):
-            stream = self._fs.open(self._jvm_path(f"{self.path}/_log/{number:010d}.json"))
-            try:
-                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            used.update(json.loads(text)["dirs"])
-        revisions = {d.partition("/")[0] for d in used}
-        gone, oldest = 0, (time.time() - older_than.total_seconds()) * 1000
-        for status in self._fs.listStatus(self._jvm_path(f"{self.path}/data")):
-            if status.getPath().getName() not in revisions and status.getModificationTime() <= oldest:
-                self._fs.delete(status.getPath(), True)
-                gone += 1
-        for status in self._fs.listStatus(self._log_dir()):
-            name = status.getPath().getName()
-            if name.endswith(".json") and not name.startswith(".") and int(name[: -len(".json")]) <= newest - keep:
-                self._fs.delete(status.getPath(), False)
-        return gone
+            got = beside.append(df, *metrics)
+            if check is not None:
+                check(beside.read())
+            old, own = self._jvm_path(f"{beside.path}-old"), self._jvm_path(self.path)
+            if self.exists():
+                self._fs.rename(own, old)
+            if not self._fs.rename(self._jvm_path(beside.path), own):
+                raise RuntimeError(f"{self.path}: the new rows in {beside.path} could not take its place; the old ones are in {old}")
+            self._fs.delete(old, True)
+        except Exception:
+            if self.exists():
+                self._fs.delete(self._jvm_path(beside.path), True)
+            raise
+        return got
+
+    def drop(self, folders: set[Folder]) -> None:
+        """Remove folders: what a dynamic overwrite leaves when their new content is empty."""
+        for folder, place in self._places().items():
+            if folder in folders:
+                self._fs.delete(place, True)
+
+    def newest_folders(self) -> set[Folder]:
+        """The folders that were written last."""
+        times = {f: self._fs.getFileStatus(p).getModificationTime() for f, p in self._places().items()}
+        return {f for f, t in times.items() if t == max(times.values())}
+
+    def _written(self, df: DataFrame, mode: str, metrics: tuple[Column, ...], placed: bool) -> dict:
+        seen = Observation()
+        if not placed:
+            df = df.hint("rebalance", *self.partition_cols)
+        df = df.observe(seen, *metrics) if metrics else df
+        writer = df.select(*self.full_schema.names).write.mode(mode).partitionBy(*self.partition_cols)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        return seen.get if metrics else {}

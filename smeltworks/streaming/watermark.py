@@ -14,11 +14,10 @@ NO_BUFFER = datetime.timedelta(0)
 
 
 def newer_than(bronze: StoredTable, mark: datetime.datetime) -> DataFrame:
-    """Rows of one snapshot ingested after ``mark``. Directories of older days are not even listed; a day is
-    allowed for sessions in another time zone."""
-    state = bronze.snapshot()
-    recent = bronze.leaves_from(state, str(mark.date() - datetime.timedelta(days=1)))
-    return bronze.read(state, recent).where(F.col("_ingested_at") > F.lit(mark))
+    """Rows ingested after ``mark``. Folders of older days are pruned; a day is allowed for sessions in another time zone."""
+    recent = F.col("_ingest_date") >= F.lit(mark.date() - datetime.timedelta(days=1))
+    rows = bronze.read(helpers=True).where(recent & (F.col("_ingested_at") > F.lit(mark)))
+    return rows.select(*bronze.spec.schema.names)
 
 
 def incremental_load(
@@ -34,16 +33,17 @@ def incremental_load(
 ) -> LoadMetrics:
     """Transform rows newer than the last mark and upsert them.
 
-    The new mark is the greatest ingestion time in the snapshot that was read, not the time the run ended, so
+    The new mark is the greatest ingestion time among the rows that were read, not the time the run ended, so
     rows that land during the run are picked up by the next one. ``buffer`` reads that much before the mark
     again for rows that arrive late; the overlap is harmless since the upsert is idempotent.
 
     ``waiting`` are rows that earlier runs had to leave, transformed along with the new ones; ``after`` is called when
-    the upsert is published, before the mark moves.
+    the upsert is done, before the mark moves.
     """
     started = datetime.datetime.now(datetime.timezone.utc)
     mark = log.last_watermark(pipeline)
     since = mark if mark == EPOCH else mark - buffer
+    # One listing of the files serves the mark and the load: rows that land later are in neither.
     fresh = newer_than(bronze, since)
     top = fresh.agg(F.max("_ingested_at").cast("double").alias("seconds")).first().seconds
     idle = top is None and (waiting is None or waiting.isEmpty())

@@ -1,13 +1,12 @@
 import datetime
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from samples import money
 
 from smeltworks.operators import constraints, loads
 from smeltworks.schemas import SALES, SALES_PARTITIONED, TableSpec, bucketed, columns, monthly
-from smeltworks.sources import catalog
+from smeltworks.sources import catalog, tables
 from smeltworks.sources.tables import StoredTable
 
 SPEC = TableSpec(
@@ -40,6 +39,15 @@ def things(spark, records):
     return spark.createDataFrame(records, "id int, name string, n int, at int")
 
 
+def files(table):
+    """Names of the data files of every folder."""
+    return {f: {s.getPath().getName() for s in table._fs.listStatus(p) if not s.getPath().getName().startswith(".")} for f, p in table._places().items()}
+
+
+def changed(before, after):
+    return {f for f in before | after if before.get(f) != after.get(f)}
+
+
 def content(table):
     return sorted(tuple(r) for r in table.read().select("id", "name", "n", "double_n").collect())
 
@@ -75,19 +83,19 @@ def test_upsert_of_some_columns_keeps_the_rest(spark, make):
 def test_upsert_touches_only_its_buckets(spark, make):
     table = make()
     loads.upsert(table, things(spark, [(i, "a", i, 1) for i in range(40)]))
-    before = table.snapshot()
+    before = files(table)
     loads.upsert(table, things(spark, [(3, "b", 3, 2)]))
-    after = table.snapshot()
-    assert len(set(before.dirs) - set(after.dirs)) == 1 and len(after.dirs) == len(before.dirs) == 4
+    after = files(table)
+    assert len(changed(before, after)) == 1 and before.keys() == after.keys() and len(after) == 4
 
 
-def test_two_source_rows_per_key_fail_and_publish_nothing(spark, make):
+def test_two_source_rows_per_key_fail_and_change_nothing(spark, make):
     table = make()
     loads.upsert(table, things(spark, [(1, "a", 1, 1)]))
-    before = table.snapshot()
-    with pytest.raises(constraints.ConstraintViolation):
+    before = files(table)
+    with pytest.raises(Exception, match="more than one row for one key"):
         loads.upsert(table, things(spark, [(1, "b", 1, 1), (1, "c", 1, 1)]))
-    assert table.snapshot() == before and content(table) == [(1, "a", 1, 2)]
+    assert files(table) == before and content(table) == [(1, "a", 1, 2)]
 
 
 def test_older_row_does_not_overwrite_when_ordered(spark, make):
@@ -111,9 +119,9 @@ def test_empty_source(spark, make):
 def test_insert_new_ignores_known_keys(spark, make):
     table = make()
     loads.insert_new(table, things(spark, [(1, "a", 1, 1)]))
-    files = table.snapshot().dirs
+    before = files(table)
     got = loads.insert_new(table, things(spark, [(1, "z", 9, 2), (2, "b", 2, 2), (2, "b", 2, 2)]))
-    assert (got.processed, got.inserted) == (3, 1) and set(files) <= set(table.snapshot().dirs)
+    assert (got.processed, got.inserted) == (3, 1) and all(names <= files(table)[f] for f, names in before.items())
     assert content(table) == [(1, "a", 1, 2), (2, "b", 2, 4)]
     assert loads.insert_new(table, things(spark, [(2, "y", 0, 3)])).inserted == 0
 
@@ -147,41 +155,59 @@ def test_every_load_keeps_the_row_rules(spark, make, load):
     assert content(table) == [(1, "a", 1, 2)]
 
 
-def test_readers_keep_their_state_and_never_see_a_half_written_one(spark, make):
-    table = make()
+@pytest.mark.parametrize("spec", [SPEC, SPEC.like("things", partition={})])
+@pytest.mark.parametrize("load", [loads.replace_table, loads.upsert, loads.insert_new])
+def test_a_load_that_fails_leaves_the_table_as_it_was(spark, make, spec, load):
+    table = make(spec)
     loads.replace_table(table, things(spark, [(1, "a", 1, 1)]))
-    old = table.read()
+    before = files(table)
     broken = things(spark, [(2, "b", 1, 1)]).withColumn("n", F.raise_error(F.lit("boom")).cast("int"))
     with pytest.raises(Exception, match="boom"):
-        loads.replace_table(table, broken)
-    assert content(table) == [(1, "a", 1, 2)]
-    loads.replace_table(table, things(spark, [(3, "c", 1, 1)]))
-    assert [r.id for r in old.collect()] == [1]
+        load(table, broken)
+    assert files(table) == before and content(table) == [(1, "a", 1, 2)]
+    load(table, things(spark, [(3, "c", 1, 1)]))
+    assert content(table)[-1] == (3, "c", 1, 2)
 
 
-def test_a_second_writer_is_refused(spark, make):
+def test_a_refresh_may_read_its_own_table(spark, make):
     table = make()
-    base = table.snapshot()
-    loads.replace_table(table, things(spark, [(1, "a", 1, 1)]))
-    with pytest.raises(RuntimeError, match="another writer"):
-        table.publish((), base=base)
-
-
-def test_vacuum_drops_what_no_state_lists(spark, make):
-    table = make()
-    for n in range(4):
-        loads.replace_table(table, things(spark, [(1, "a", n, 1)]))
-    now = datetime.timedelta(0)
-    # Young directories may belong to a running load.
-    assert table.vacuum(keep=4) == 0
-    loose = table.write_revision(table.with_partition(constraints.conform(things(spark, [(9, "z", 9, 9)]), SPEC)), Observation(), [F.count("*").alias("n")])
-    assert table.vacuum(keep=2) == 0
-    assert table.vacuum(keep=2, older_than=now) == 3 and table.vacuum(keep=2, older_than=now) == 0
-    assert not any(d in table.snapshot().dirs for d in loose)
-    assert content(table) == [(1, "a", 3, 6)]
-    assert table.vacuum(keep=1, older_than=now) == 1 and content(table) == [(1, "a", 3, 6)]
-    loads.upsert(table, things(spark, [(5, "e", 1, 1)]))
-    assert len(content(table)) == 2
+    loads.replace_table(table, things(spark, [(i, "a", i, 1) for i in range(9)]))
+    for left in (8, 7):
+        loads.replace_table(table, table.read().where(F.col("id") < left))
+        assert len(content(table)) == left
+    leftover = [s.getPath().getName() for s in table._fs.listStatus(table._jvm_path(table.path).getParent())]
+    assert leftover == [table.spec.name]
+
+
+def test_a_large_folder_is_written_by_several_tasks(spark, make, monkeypatch):
+    table = make(SPEC.like("things", partition={}))
+    loads.upsert(table, things(spark, [(i, "a", i, 1) for i in range(1000)]))
+    assert [len(names) for names in files(table).values()] == [1]
+    monkeypatch.setattr(tables, "TASK_BYTES", 2000)
+    # Else these few rows would be read as one partition again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = loads.upsert(table, things(spark, [(i, "b", i, 2) for i in range(500, 1500)]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (got.inserted, got.updated) == (500, 500) and len(content(table)) == 1500
+    assert [len(names) > 1 for names in files(table).values()] == [True]
+
+
+def test_groups_are_replaced_whole(spark, make):
+    table = make(DAYS)
+    start = [("2021-01-30", 1), ("2021-01-31", 2), ("2021-02-01", 3), ("2021-03-01", 4), (None, 5)]
+    loads.replace_table(table, days(spark, start))
+    before = files(table)
+    groups = days(spark, [("2021-01-31", 0), ("2021-02-01", 0), (None, 0), ("2021-05-05", 0)]).select("d")
+    for _ in range(2):
+        loads.replace_groups(table, days(spark, [("2021-01-31", 9), ("2021-05-05", 6)]), groups)
+        assert day_content(table) == [("2021-01-30", 1), ("2021-01-31", 9), ("2021-03-01", 4), ("2021-05-05", 6)]
+    assert files(table)[("2021-03",)] == before[("2021-03",)] and ("2021-02",) not in files(table)
+    other = make(DAYS.like("other", partition=bucketed(("n",), 3)))
+    loads.replace_table(other, days(spark, start))
+    loads.replace_groups(other, days(spark, [("2021-01-31", 9), ("2021-05-05", 6)]), groups)
+    assert day_content(other) == day_content(table)
 
 
 DAYS = TableSpec(
@@ -222,9 +248,9 @@ def test_reload_of_a_day(spark, make, day, spec):
 def test_reload_rewrites_only_the_months_it_touches(spark, make, day):
     table = make(DAYS)
     loads.replace_table(table, days(spark, [("2021-01-30", 1), ("2021-02-01", 3), ("2021-03-01", 3)]))
-    before = set(table.snapshot().dirs)
+    before = files(table)
     loads.replace_partition(table, days(spark, [("2021-02-02", 9)]), "d", day("2021-02-02"))
-    assert len(before & set(table.snapshot().dirs)) == 2
+    assert changed(before, files(table)) == {("2021-02",)}
 
 
 def test_rows_outside_the_range_fail(spark, make, day):
@@ -281,8 +307,9 @@ def test_sales_checks(spark, rows):
 def test_sales_month_is_pruned(spark, make, day):
     table = make(SALES_PARTITIONED)
     loads.replace_table(table, sales(spark, {}, {"sale_date": "2024-02-01"}, {"sale_date": "2024-03-31"}))
-    state = table.snapshot()
-    assert table.leaves_between(state, day("2024-02-01"), day("2024-02-29")) == {("2024-02",)}
+    assert table.folders_between(day("2024-02-01"), day("2024-02-29")) == {("2024-02",)}
+    plan = table.read({("2024-02",)})._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(concat_ws" in plan
     plan = table.read(helpers=True).where("_sale_month = '2024-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_sale_month" in plan
     assert SALES_PARTITIONED.schema == SALES.schema
@@ -356,18 +383,8 @@ n int
     assert rows(spark.sql(f"SELECT n FROM {prefix}gold.odd WHERE _part = 'a/b'")) == [(12,)]
 
 
-def test_another_number_of_buckets_lays_the_table_out_anew(spark, make):
-    loads.upsert(make(), things(spark, [(i, "a", i, 1) for i in range(100)]))
-    other = make(SPEC.like("things", partition=bucketed(("id",), 7)))
-    metrics = loads.upsert(other, things(spark, [(i, "b", i, 2) for i in range(90, 110)]))
-    assert (metrics.inserted, metrics.updated) == (10, 10)
-    assert [r[0] for r in content(other)] == list(range(110))
-    loads.insert_new(make(), things(spark, [(i, "c", i, 3) for i in range(200)]))
-    assert [r[0] for r in content(make())] == list(range(200))
-
-
-def test_catalog_shows_all_revisions_and_switches_at_once(spark, make):
-    prefix, table = "revisions_", make()
+def test_catalog_follows_the_folders(spark, make):
+    prefix, table = "grown_", make()
     flat = make(SPEC.like("flat", partition={}))
     catalog.create_layers(spark, prefix, f"{table.path}_catalog")
     for stored in (table, flat):
@@ -376,8 +393,13 @@ def test_catalog_shows_all_revisions_and_switches_at_once(spark, make):
             loads.insert_new(stored, things(spark, [(i, "a", i, 1) for i in range(start, start + 6)]))
             catalog.register(stored, name)
             assert spark.table(name).count() == stored.read().count()
-        tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}gold LIKE '{stored.spec.name}*'").collect()]
-        assert len(tables) == 2  # the view and the table of its state
+        loads.replace_table(stored, things(spark, [(1, "z", 1, 1)]))
+        catalog.register(stored, name)
+        assert [r.name for r in spark.table(name).collect()] == ["z"]
+    elsewhere = make(SPEC.like("elsewhere"))
+    loads.insert_new(elsewhere, things(spark, [(7, "e", 1, 1)]))
+    catalog.register(elsewhere, f"{prefix}gold.things")
+    assert [r.id for r in spark.table(f"{prefix}gold.things").collect()] == [7] and len(content(table)) == 1
 
 
 def test_an_upsert_rewrites_the_months_it_touches(spark, make, rows, day):
@@ -398,12 +420,11 @@ n int
         return spark.createDataFrame([(i, day(d), n) for i, d, n in records], "id int, d date, n int")
 
     loads.upsert(table, frame(*[(i, f"2021-{i % 12 + 1:02d}-10", 0) for i in range(48)]))
-    before = set(table.snapshot().dirs)
+    before = files(table)
     # 5 is stored in June; its date in the batch is another one and is not taken. 99 is new in March.
     metrics = loads.upsert(table, frame((5, "2021-09-01", 7), (99, "2021-03-05", 8)))
     assert (metrics.inserted, metrics.updated) == (1, 1)
-    after = set(table.snapshot().dirs)
-    assert {d.partition("/")[2].partition("/")[0] for d in before ^ after} == {"_month=2021-06", "_month=2021-03"}
+    assert {f[0] for f in changed(before, files(table))} == {"2021-06", "2021-03"}
     got = {r.id: (str(r.d), r.n) for r in table.read().collect()}
     assert len(got) == 49 and got[5] == ("2021-06-10", 7) and got[99] == ("2021-03-05", 8)
     loads.insert_new(table, frame((5, "2021-11-01", 1), (100, "2021-11-01", 1)))
