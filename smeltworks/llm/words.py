@@ -44,7 +44,7 @@ class WordEncoder:
         self.pieces_only.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        # The names of special tokens are found in the text as it stands, across white space or not: such texts go whole.
+        # The names of special tokens are found in the text as it stands, before it is cut into words: such texts go whole.
         self.special = "|".join(regex.escape(t.content) for t in self.whole.get_added_tokens_decoder().values() if t.special)
         # A word's last token, and no other, carries the model's end mark.
         suffix = self.whole.model.end_of_word_suffix
@@ -56,20 +56,19 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32) and where each text ends. Null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        named = pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False) if self.special else np.zeros(len(texts), bool)
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids, ends = spread(self._units(words.dictionary.to_pylist()), words, split.offsets)
+        # The names hold no white space, so a text that has one has a unit that has it.
+        named = pc.match_substring_regex(words.dictionary, self.special).to_numpy(zero_copy_only=False) if self.special else np.zeros(0, bool)
         if not named.any():
-            return self._by_unit(texts)
-        ids, ends = self._by_unit(pc.if_else(pa.array(named), "", texts))
-        parts = np.split(ids, ends[:-1])
-        for i in np.flatnonzero(named).tolist():
+            return ids, ends
+        parts, cut = np.split(ids, ends[:-1]), split.offsets.to_numpy()
+        hits = np.flatnonzero(named[words.indices.to_numpy()]) + cut[0]
+        for i in np.unique(np.searchsorted(cut, hits, side="right") - 1).tolist():
             parts[i] = np.array(self.whole.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
         return np.concatenate(parts), np.cumsum([len(p) for p in parts])
 
-    def _by_unit(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        split = pc.ascii_split_whitespace(texts)
-        words = split.flatten().dictionary_encode()
-        return spread(self._units(words.dictionary.to_pylist()), words, split.offsets)
-
     def forget(self) -> None:
         """Give the memory back between tasks."""
         self.units.clear()
