@@ -254,6 +254,25 @@ _CUSTOMER_COLUMNS = (
     "customer_id, first_name, last_name, email, country, signup_date, tier, full_name, source_batch"
 )
 
+_CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+_DELIVERY = """
+SELECT CASE c_mktsegment WHEN 'FURNITURE' THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name, c_nationkey,
+       CASE c_mktsegment WHEN 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer WHERE c_mktsegment <> 'MACHINERY'"""
+
+
+def _inside(day: str) -> str:
+    return f"{day} >= DATE '1995-05-01' AND {day} < DATE '1997-09-01'"
+
+
+def _closed_days(lateness: str) -> str:
+    return f"""
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS events,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total
+FROM events GROUP BY 1, 2 HAVING date_trunc('day', max(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - {lateness} FROM events)"""
+
+
 def sql() -> dict[str, str]:
     """DuckDB text per registered query."""
     daily_columns = (
@@ -423,6 +442,33 @@ WHERE status = 'completed' OR order_date >= DATE '1998-02-10' AND order_date < D
 SELECT strftime(o.order_date, '%Y-%m') AS sale_month, count(*) AS sales, CAST(sum(i.line_total) AS DECIMAL(18,2)) AS revenue
 FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id
 WHERE o.order_date >= DATE '1998-03-01' AND o.order_date < DATE '1998-05-01' GROUP BY 1""",
+        # change capture
+        "snapshot_changes": f"""
+WITH old AS ({_CUSTOMERS}), new AS ({_DELIVERY})
+SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, n.c_name, n.c_nationkey, n.c_acctbal, n.c_mktsegment,
+       CASE WHEN o.c_custkey IS NULL THEN 'insert' WHEN n.c_custkey IS NULL THEN 'delete' ELSE 'update' END AS _op
+FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey
+WHERE (o.c_custkey, o.c_name, o.c_nationkey, o.c_acctbal, o.c_mktsegment)
+      IS DISTINCT FROM (n.c_custkey, n.c_name, n.c_nationkey, n.c_acctbal, n.c_mktsegment)""",
+        "deliveries_with_deletes": _DELIVERY,
+        "change_log_with_deletes": """
+SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'O' THEN 'placed' ELSE o_orderstatus END AS status, o_totalprice
+FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderstatus <> 'O'""",
+        # intervals
+        "interval_daily_revenue": _from_daily(f"SELECT {daily_columns} FROM daily WHERE {_inside('revenue_date')}"),
+        "interval_weekly_revenue": _from_daily(f"""
+SELECT CAST(date_trunc('week', revenue_date) AS DATE) AS week_start, {_ROLLUP} FROM daily
+WHERE revenue_date >= DATE '1995-05-01' AND revenue_date < DATE '1997-09-01' GROUP BY 1"""),
+        "interval_monthly_revenue": _from_monthly(
+            monthly_calendar.replace("LEFT JOIN monthly p", "LEFT JOIN (SELECT * FROM monthly WHERE year_month >= '1995-05') p")
+            + " WHERE m.year_month >= '1995-05' AND m.year_month < '1997-09'"
+        ),
+        "interval_category_revenue": _silver()
+        + f"SELECT * FROM ({category_revenue}) WHERE year_month >= '1995-05' AND year_month < '1997-09'",
+        "interval_ledger": """
+SELECT model, DATE '1995-05-01' AS "start", upto AS "end", 'loaded' AS state, date_diff('day', DATE '1995-05-01', upto) + again AS days_loaded
+FROM (VALUES ('daily_revenue', DATE '1997-09-01', 31), ('weekly_revenue', DATE '1997-09-01', 42),
+             ('monthly_revenue', DATE '1997-09-01', 31), ('category_revenue', DATE '1997-09-01', 31)) v(model, upto, again)""",
         # quality
         "quality_checks": _ctes(*clean_ctes()) + """
 SELECT 'orders' AS table_name, 'amount is positive' AS rule,
@@ -474,4 +520,12 @@ sold AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, co
 SELECT m.month_start, coalesce(s.refunded_orders, 0) AS refunded_orders
 FROM months m LEFT JOIN sold s ON m.month_start = s.month_start""",
         "events_json": events_json,
+        "events_stream": _closed_days("INTERVAL 1 HOUR"),
+        "events_stream_out_of_order": _closed_days("INTERVAL 3 DAYS"),
+        "events_stream_late": """
+WITH days AS (SELECT *, date_trunc('day', ts) + INTERVAL 1 DAY AS day_end FROM events),
+mark AS (SELECT max(ts) FILTER (WHERE day(ts) > 10) - INTERVAL 1 HOUR AS first_mark, max(ts) - INTERVAL 1 HOUR AS last_mark FROM events),
+fate AS (SELECT day(ts) <= 10 AND day_end <= first_mark AS late, day_end <= last_mark AS closed FROM days, mark)
+SELECT count(*) AS read, count(*) FILTER (WHERE closed AND NOT late) AS counted,
+       count(*) FILTER (WHERE NOT closed AND NOT late) AS waiting, count(*) FILTER (WHERE late) AS late FROM fate""",
     }

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from harness.mapping import BRONZE_SQL, bronze, silver, table
 from harness.oracles import AS_OF, CHURN_DAYS, HIGH, MEDIUM
-from smeltworks.operators import constraints, loads
+from smeltworks.operators import capture, constraints, loads
 from smeltworks.operators.skew import hot_keys, orphans
 from smeltworks.plans import analytics, gold, medallion
 from smeltworks.plans import silver as cleaning
@@ -22,20 +22,25 @@ from smeltworks.schemas import (
     ORDERS,
     SALES,
     SALES_PARTITIONED,
+    WEEKLY_REVENUE,
     TableSpec,
     bucketed,
     columns,
     silver_spec,
 )
 from smeltworks.sources import catalog
+from smeltworks.sources.intervals import DIRTY, IntervalLedger, TimeModel, refresh
 from smeltworks.sources.raw import ingest_bronze, read_raw
 from smeltworks.sources.runs import RunLog
 from smeltworks.sources.scratch import materialise, scratch_path
 from smeltworks.sources.tables import StoredTable
 from smeltworks.streaming.changes import ChangeStream
+from smeltworks.streaming.events import EventWindows
 from smeltworks.streaming.watermark import incremental_load
 
 AS_OF_DATE = datetime.date.fromisoformat(AS_OF)
+# The range of the interval loads: whole months and whole weeks.
+INTERVAL = (datetime.date(1995, 5, 1), datetime.date(1997, 9, 1))
 THRESHOLDS = {"high": HIGH, "medium": MEDIUM, "churn_days": CHURN_DAYS}
 
 # The two-column revenue sample of the refresh and reload patterns, one folder per month.
@@ -379,6 +384,145 @@ def sales_month(spark, d) -> DataFrame:
     )
 
 
+# -- change capture
+
+
+def _customer_rows(spark, d) -> DataFrame:
+    return table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def _next_delivery(rows: DataFrame) -> DataFrame:
+    """The customers as delivered a day later: one segment has left, another is billed anew, a third has moved to new numbers."""
+    segment = F.col("c_mktsegment")
+    billed = rows.where(segment != "MACHINERY").withColumn(
+        "c_acctbal", F.when(segment == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    )
+    return billed.withColumn("c_custkey", F.when(segment == "FURNITURE", -F.col("c_custkey")).otherwise(F.col("c_custkey")))
+
+
+def snapshot_changes(spark, d) -> DataFrame:
+    """What differs between two full deliveries of the customers."""
+    rows = _customer_rows(spark, d)
+    return capture.snapshot_changes(rows, _next_delivery(rows), ["c_custkey"])
+
+
+def _tracked(spark, d, name: str, key: str, rows: DataFrame) -> StoredTable:
+    spec = TableSpec(name, rows.schema, keys=(key,), partition=bucketed((key,), 8))
+    return _stored(spark, capture.tracked(spec))
+
+
+def deliveries_with_deletes(spark, d) -> DataFrame:
+    """Live rows after two full deliveries, the second one twice, and the first one once more, too late."""
+    rows = _customer_rows(spark, d)
+    target, log = _tracked(spark, d, "customers", "c_custkey", rows), RunLog(spark, scratch_path(spark, "runs"))
+    first, second = (datetime.datetime(2024, 1, n, tzinfo=datetime.timezone.utc) for n in (1, 2))
+    for delivery, at in ((rows, first), (_next_delivery(rows), second), (_next_delivery(rows), second), (rows, first)):
+        capture.load_delivery(target, delivery, at, log)
+    return capture.live(target)
+
+
+def change_log_with_deletes(spark, d) -> DataFrame:
+    """Orders after a change log that arrives newest part first: placed, changed by status, deleted if refused; then old tombstones go."""
+    orders = table(spark, d, "orders")
+    rows = orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    target = _tracked(spark, d, "orders", "o_orderkey", rows)
+    placed = F.col("o_orderdate").cast("timestamp")
+
+    def entry(op: str, hours: int, status) -> DataFrame:
+        return orders.select("o_orderkey", "o_custkey", status.alias("status"), "o_totalprice", F.lit(op).alias("_op"),
+                             (placed + F.make_dt_interval(hours=F.lit(hours))).alias("_changed_at"), "o_orderstatus", "o_orderpriority")
+
+    first = entry("insert", 0, F.lit("placed")).drop("o_orderstatus", "o_orderpriority")
+    moved = entry("update", 5, F.col("o_orderstatus")).where("o_orderstatus <> 'O'").drop("o_orderstatus", "o_orderpriority")
+    refused = entry("delete", 3, F.lit(None)).where("o_orderpriority = '5-LOW'").drop("o_orderstatus", "o_orderpriority")
+    for part in (moved.unionByName(refused), first, refused):
+        capture.apply_changes(target, part)
+    capture.purge(target, datetime.datetime(2030, 1, 1, tzinfo=datetime.timezone.utc))
+    return capture.live(target)
+
+
+# -- intervals
+
+
+@functools.cache
+def _time_tables(app: str, d: str) -> tuple[dict[str, StoredTable], IntervalLedger]:
+    """Revenue tables filled in three steps: one year, of which July's orders have not been paid yet; then a longer range, of which
+    only what is missing is loaded; then July, dirty."""
+    spark = SparkSession.active()
+    specs = {n: GOLD[n] for n in ("daily_revenue", "monthly_revenue", "category_revenue")} | {"weekly_revenue": WEEKLY_REVENUE}
+    tables = {n: _stored(spark, spec) for n, spec in specs.items()}
+    ledger = IntervalLedger(spark, scratch_path(spark, "ledger"))
+    orders, items, products = silver(spark, d, "orders"), silver(spark, d, "items"), silver(spark, d, "products")
+    july = (datetime.date(1996, 7, 1), datetime.date(1996, 8, 1))
+    unpaid = F.col("order_date").between(F.lit(july[0]), F.lit(july[1] - datetime.timedelta(days=1)))
+    early = orders.withColumn("status", F.when(unpaid, "cancelled").otherwise(F.col("status")))
+
+    def models(known: DataFrame) -> list[TimeModel]:
+        ordered = (tables[n] for n in ("daily_revenue", "weekly_revenue", "monthly_revenue", "category_revenue"))
+        return gold.time_models(*ordered, known, items, products)
+
+    refresh(ledger, models(early), datetime.date(1996, 1, 1), datetime.date(1997, 1, 1))
+    refresh(ledger, models(early), *INTERVAL)
+    ledger.record("daily_revenue", july, DIRTY)
+    refresh(ledger, models(orders), *INTERVAL)
+    return tables, ledger
+
+
+def interval_table(spark, d, name: str) -> DataFrame:
+    """A revenue table that was loaded interval by interval."""
+    return _time_tables(spark.sparkContext.applicationId, d)[0][name].read().drop("_computed_at")
+
+
+def interval_ledger(spark, d) -> DataFrame:
+    """The intervals of each model after all loads, and how many days of loading they took."""
+    ledger = _time_tables(spark.sparkContext.applicationId, d)[1]
+    days = ledger.events().where("state = 'loaded'").groupBy("model").agg(F.sum(F.date_diff("end", "start")).cast("bigint").alias("days_loaded"))
+    out = None
+    for model in ("daily_revenue", "weekly_revenue", "monthly_revenue", "category_revenue"):
+        one = ledger.intervals(model).select(F.lit(model).alias("model"), "start", "end", "state")
+        out = one if out is None else out.unionByName(one)
+    return out.join(days, "model")
+
+
+# -- events
+
+
+def _event_windows(spark, d, arrival: list, lateness: str) -> EventWindows:
+    """Daily counts per type from events that arrive in files, one for each condition of ``arrival``, a run after each."""
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    inbox = scratch_path(spark, "inbox")
+    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)")
+    windows = EventWindows(spark, inbox, events.schema, scratch_path(spark, "windows"), "1 day", lateness, ["event_type"], total=total)
+    for condition in arrival:
+        events.where(condition).write.mode("append").parquet(inbox)
+        windows.run()
+    return windows
+
+
+def events_stream(spark, d) -> DataFrame:
+    """Closed daily windows of a stream whose events come in order, a third of the month at a time."""
+    thirds = ["day(ts) <= 10", "day(ts) BETWEEN 11 AND 20", "day(ts) > 20"]
+    return _by_day(_event_windows(spark, d, thirds, "1 hour").closed())
+
+
+def _by_day(windows: DataFrame) -> DataFrame:
+    return windows.select(F.to_date("window_start").alias("day"), "event_type", "events", "total")
+
+
+def events_stream_out_of_order(spark, d) -> DataFrame:
+    """The same from events that come out of order, errors two days after the rest, which the stream waits for."""
+    arrives = "ts + make_dt_interval(CASE WHEN event_type = 'error' THEN 2 ELSE 0 END)"
+    first, second = "TIMESTAMP '2024-01-11 00:00:00'", "TIMESTAMP '2024-01-21 00:00:00'"
+    parts = [f"{arrives} < {first}", f"{arrives} >= {first} AND {arrives} < {second}", f"{arrives} >= {second}"]
+    return _by_day(_event_windows(spark, d, parts, "3 days").closed())
+
+
+def events_stream_late(spark, d) -> DataFrame:
+    """What becomes of events if the first ten days come after all others: those of closed days are late."""
+    got = _event_windows(spark, d, ["day(ts) > 10", "day(ts) <= 10"], "1 hour").arrivals()
+    return spark.createDataFrame([(got.read, got.counted, got.open, got.late)], "read bigint, counted bigint, waiting bigint, late bigint")
+
+
 # -- quality
 
 
@@ -577,6 +721,14 @@ def registry() -> dict:
         "stream_upsert_out_of_order": lambda s, d: stream_orders(s, d, (2, 1)),
         "stream_upsert_delayed": lambda s, d: stream_orders(s, d, (1, 2), delayed=True),
         "sales_month": sales_month,
+        "snapshot_changes": snapshot_changes,
+        "deliveries_with_deletes": deliveries_with_deletes,
+        "change_log_with_deletes": change_log_with_deletes,
+        **{
+            f"interval_{name}": functools.partial(interval_table, name=name)
+            for name in ("daily_revenue", "weekly_revenue", "monthly_revenue", "category_revenue")
+        },
+        "interval_ledger": interval_ledger,
         "quality_checks": quality_checks,
         "unique_emails": unique_emails,
         "enforce_sales": enforce_sales,
@@ -589,4 +741,7 @@ def registry() -> dict:
         "order_summary_view": order_summary_view,
         "month_gaps": month_gaps,
         "events_json": events_json,
+        "events_stream": events_stream,
+        "events_stream_out_of_order": events_stream_out_of_order,
+        "events_stream_late": events_stream_late,
     }

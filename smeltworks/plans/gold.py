@@ -13,7 +13,9 @@ from smeltworks.functions.numbers import ratio
 from smeltworks.operators.ordering import add_ranks
 from smeltworks.operators.skew import hot_keys, join_unique
 from smeltworks.schemas import GOLD_MONEY
+from smeltworks.sources.intervals import TimeModel, later
 from smeltworks.sources.scratch import materialise
+from smeltworks.sources.tables import StoredTable
 
 # Orders in these states earn nothing.
 DEAD_STATUSES = ("cancelled", "refunded")
@@ -389,3 +391,40 @@ def top_products(performance: DataFrame, k: int = 10) -> DataFrame:
         .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last())
         .limit(k)
     )
+
+
+def time_models(
+    daily: StoredTable, weekly: StoredTable, monthly: StoredTable, category: StoredTable, orders: DataFrame, items: DataFrame, products: DataFrame
+) -> list[TimeModel]:
+    """The revenue tables as models of the interval ledger. Weeks and months are made from the stored days, growth of a month from the
+    month before it, so a changed month changes the next one."""
+
+    def days(start, end) -> DataFrame:
+        return daily_revenue(orders, items, start=start, end=end)
+
+    def of_days(start, end) -> DataFrame:
+        rows = daily.read(daily.folders_between(start, end) if daily.spec.ordered_by else None)
+        return rows.where((F.col("revenue_date") >= F.lit(start)) & (F.col("revenue_date") < F.lit(end)))
+
+    def weeks(start, end) -> DataFrame:
+        return weekly_revenue(of_days(start, end))
+
+    def months(start, end) -> DataFrame:
+        known = monthly_revenue(of_days(later(start, "month", -1), end))
+        return known.where(F.col("year_month") >= _month(start))
+
+    def categories(start, end) -> DataFrame:
+        inside = orders.where((F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end)))
+        sold = items.join(inside.select("order_id"), "order_id", "left_semi")
+        return category_revenue(products, sold, inside)
+
+    return [
+        TimeModel("daily_revenue", daily, "revenue_date", days),
+        TimeModel("weekly_revenue", weekly, "week_start", weeks, "week", after=("daily_revenue",)),
+        TimeModel("monthly_revenue", monthly, "year_month", months, "month", _month, 1, ("daily_revenue",)),
+        TimeModel("category_revenue", category, "year_month", categories, "month", _month, after=("daily_revenue",)),
+    ]
+
+
+def _month(day) -> str:
+    return f"{day:%Y-%m}"

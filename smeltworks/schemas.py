@@ -344,6 +344,21 @@ _computed_at timestamp
     )
 }
 
+WEEKLY_REVENUE = TableSpec(
+    "weekly_revenue",
+    columns(f"""
+week_start date
+order_count bigint
+gross_revenue {GOLD_MONEY}
+net_revenue {GOLD_MONEY}
+avg_order_value decimal(10,2)
+unique_customers bigint
+"""),
+    keys=("week_start",),
+    partition={"_year": "date_format(week_start, 'yyyy')"},
+    ordered_by="week_start",
+)
+
 # What the items of an order add up to, by product: gold tables are made from these rows, by month of the order.
 ORDER_FACTS = TableSpec(
     "order_facts",
