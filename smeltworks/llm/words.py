@@ -37,6 +37,11 @@ def spread(made: list[bytes], units: pa.DictionaryArray, offsets: pa.Array) -> t
     return flat[at], np.r_[0, ends][cut[1:] - cut[0]]
 
 
+def _is_latin(unit: str) -> bool:
+    """Whether all characters are of Latin-1."""
+    return max(unit) <= "\xff"
+
+
 class WordEncoder:
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -79,25 +84,26 @@ class WordEncoder:
             self.units.clear()
         known = self.units
         missing = [u for u in units if u not in known]
-        plain, other = {}, []
+        # Most units are plain words, with or without a sign behind them: those need no pattern and no list of parts.
+        single, ended, mixed, other = {}, {}, {}, []
         for u in missing:
-            try:
-                u.encode("latin-1")
-            except UnicodeEncodeError:
-                other.append(u)
-            else:
-                if "<|" in u:  # may name a special token
-                    other.append(u)
-                elif u.isalpha():
-                    plain[u] = (u.lower(),)
+            if u.isascii() or _is_latin(u):
+                if u.isalpha():
+                    single[u] = u.lower()
                 elif u[-1:] in (".", ",") and u[:-1].isalpha():
-                    plain[u] = (u[:-1].lower(), u[-1])
+                    ended[u] = u[:-1].lower()
+                elif "<|" in u:  # may name a special token
+                    other.append(u)
                 else:
-                    plain[u] = PIECES.findall(u.lower())
-        if plain:
-            pieces = self._pieces({p for parts in plain.values() for p in parts})
-            for u, parts in plain.items():
-                known[u] = b"".join([pieces[p] for p in parts])
+                    mixed[u] = PIECES.findall(u.lower())
+            else:
+                other.append(u)
+        if single or ended or mixed:
+            pieces = self._pieces({".", ",", *single.values(), *ended.values(), *(p for parts in mixed.values() for p in parts)})
+            signs = {s: pieces[s] for s in ".,"}
+            known.update((u, pieces[w]) for u, w in single.items())
+            known.update((u, pieces[w] + signs[u[-1]]) for u, w in ended.items())
+            known.update((u, b"".join([pieces[p] for p in parts])) for u, parts in mixed.items())
         for i in range(0, len(other), 1000):
             part = other[i : i + 1000]
             for u, e in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False), strict=True):
