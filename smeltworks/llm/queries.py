@@ -105,13 +105,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_host_line_frequency": r"""
-WITH lines AS (
-    SELECT DISTINCT doc_id, source, line
-    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE source IS NOT NULL)
+WITH pages AS (
+    SELECT DISTINCT source, text FROM documents WHERE source IS NOT NULL AND text IS NOT NULL
+), lines AS (
+    SELECT DISTINCT source, text, line FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), often AS (
-    SELECT source, line FROM lines JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY source) USING (source)
-    GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) * 100 > pages * 3
+    SELECT source, line FROM lines JOIN (SELECT source, count(*) AS n FROM pages GROUP BY source) USING (source)
+    GROUP BY source, line, n HAVING count(*) >= 3 AND count(*) * 100 > n * 10
 ), lists AS (
     SELECT source, list(line) AS bad FROM often GROUP BY source
 ), cut AS (

@@ -83,6 +83,17 @@ def test_lines_above_the_share_go(spark, no_docs):
     assert line_dedup.drop_boilerplate(no_docs).isEmpty()
 
 
+def test_copies_of_an_article_are_one_page_and_small_hosts_lose_their_menu(spark):
+    long_line = "word " * 100_000
+    rows = [(i, f"own {i}\nline {i}", "big") for i in range(94)] + [(100 + i, "an article\nof two lines", "big") for i in range(6)]
+    rows += [(200 + i, f"Site menu\npage {i}", "small") for i in range(4)] + [(300 + i, "shared\nboth", "two") for i in range(2)] + [(400, long_line, "big"), (401, "", "big")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_boilerplate(df).collect()}
+    assert all(got[100 + i] == ("an article\nof two lines", 0) for i in range(6)) and got[5] == ("own 5\nline 5", 0)
+    assert all(got[200 + i] == (f"page {i}", 1) for i in range(4)) and got[300] == ("shared\nboth", 0)
+    assert got[400] == (long_line, 0) and got[401] == ("", 0)
+
+
 # -- near copies
 
 
