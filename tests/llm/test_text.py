@@ -277,6 +277,35 @@ def test_any_markup_is_read(html):
     assert html_wrappers.extract(html, wrapper) == " ".join(html_wrappers.extract(html, wrapper).split())
 
 
+@pytest.mark.parametrize(
+    "outer",
+    [
+        "<html><body class='single no-sidebar'><article class='post comments-open'>{}</article>{}</body></html>",
+        "<html class='cookies'><body><div class='wrap sidebar-right'><main>{}</main></div>{}</body></html>",
+        "<html><body class='login'><div class='content has-sidebar'>{}</div>{}</body></html>",
+        "<html><body><div class='post search-enabled'>{}</div>{}</body></html>",
+        "<html><body><div id=page class='menu-left header-fixed'><div class='content sidebar-left'>{}</div></div>{}</body></html>",
+        "<html><body><div class='sponsored'>{}</div>{}</body></html>",
+    ],
+)
+def test_class_names_around_the_main_part_do_not_empty_it(spark, outer):
+    beside = (
+        "<nav>Home</nav><aside>More</aside><div class='sidebar-widget'><p>Recent posts</div><ol class='comment-list'><li class='comment even'>"
+        "<article class='comment-body'><p>A long and loud comment of some reader, number {}, about nothing at all</p></article></li></ol>"
+    )
+    bodies = [f"<h1>Title {n}</h1><p>Text number {n} of an article with some words.</p><p>More words {n * n}.</p>" for n in range(12)]
+    rows = [(n, f"http://blog.example/{n}", outer.format(body, beside.format(n))) for n, body in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_wrappers.main_text(df).collect()}
+    assert got == {n: f"Title {n} Text number {n} of an article with some words. More words {n * n}." for n in range(12)}
+
+
+def test_a_page_without_main_text_is_empty():
+    for beside in ("<div class='cookie-notice'><p>We use cookies</div>", "<ol class=comment-list><li class=comment><h1>No</h1><p>first!</ol>"):
+        assert html_wrappers.extract(f"<html><body>{beside}<article></article></body></html>", None) == ""
+        assert html_wrappers.extract(f"<html><body>{beside}</body></html>", None) == ""
+
+
 def test_pages_of_odd_rows(spark):
     deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
     rows = [(1, "http://h.example/x", page("<p>one two</p>", 1)), (1, "http://h.example/x", page("<p>one two</p>", 1)), (2, None, "<p>no host</p>"),
