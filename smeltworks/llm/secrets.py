@@ -1,8 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest. DataFrame operations only.
 
 A text is cut at its candidates once, so that each comes with its position and with the text before and after it. The forest
-sees the candidate's length and make-up, its transitions between kinds of characters, how much of it dictionary words cover,
-the path it was found under and the neighbouring words. It is trained from labelled findings; where none are given, findings
+sees the candidate's length and make-up, its transitions between kinds of characters, how much of it words cover that many
+documents of the corpus use, the path it was found under and the neighbouring words. It is trained from labelled findings; where none are given, findings
 of well-known key formats, or assigned to a telling name, are the positive ones, and plain numbers, identifiers and
 words the negative ones. The rest are left to the forest.
 """
@@ -16,24 +16,32 @@ from pyspark.sql import functions as F
 
 from smeltworks.sources.scratch import materialise
 
-# A run of key characters that holds a digit, or is all capitals.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9]|[A-Z]{16})[A-Za-z0-9+/_-]{12,}={0,2}"
+# Names that secrets are assigned to.
+SECRET_NAMES = r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[a-z]{0,12}|credential|private[_-]?key)"
+
+# Blocks of a private key, signed tokens, passwords in URLs, any value assigned to a telling name, and runs of key characters that hold
+# a digit or are all capitals.
+PEM = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]++-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
+SIGNED = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*"
+IN_URL = r"(?<=:)(?<=://[^\s:/@]{1,40}:)[^\s:/@]+(?=@)"
+ASSIGNED = (
+    r"(?<=[=:\s\"'])(?<=" + SECRET_NAMES + r"[A-Za-z_-]{0,12}[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
+    r"[^\s\"'<>,;(){}\[\]]{3,}[^\s\"'<>,;(){}\[\].]"
+)
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9]|[A-Z]{16})[A-Za-z0-9+/_-]{12,}={0,2}"
+CANDIDATE = "|".join((PEM, SIGNED, IN_URL, ASSIGNED, RUN))
 CONTEXT = 60
 
-# Public formats of keys, names that secrets are assigned to, names of harmless numbers.
-KEY_FORMATS = r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^[sr]k_live_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$"
-SECRET_NAMES = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[a-z]*|credential|private[_-]?key)"
+# Public formats of keys, names of harmless numbers.
+KEY_FORMATS = (
+    r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^[sr]k_live_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$"
+    r"|^-----BEGIN|^eyJ[A-Za-z0-9_-]+\.eyJ"
+)
 HARMLESS_NAMES = r"(?i)\b(?:commit|sha\d*|md5|uuid|guid|hash|order|isbn|version|build|invoice|phone|tel|fax|id|ref)\b"
 SAMPLE_PATHS = r"(?i)test|example|sample|mock|fixture|doc"
-DICTIONARY = (
-    "about access account address after again array before block build cache change check class client cluster code column "
-    "commit config connect content count create data database date default delete demo document dummy email error event "
-    "example false field file filter first format from function group hash header hello host image import index input item "
-    "language last level line list local login machine main member message method model name network number object option "
-    "order output page parent path place point policy product public query random read record region release report request "
-    "response result return sample schema script search server service session source start state status storage string "
-    "system table target task test text time title true type update user value version view window with word world write"
-).split()
+# The dictionary: words that most documents use, so many at most, each in so many documents at least.
+DICTIONARY_WORDS = 3000
+DICTIONARY_DOCUMENTS = 3
 
 # Bound of the training sample, rows needed of either class, and the share of votes that makes a secret.
 SAMPLE = 20_000
@@ -70,18 +78,31 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     )
 
 
+def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS, least: int = DICTIONARY_DOCUMENTS) -> list[str]:
+    """The ``words`` words of four and more letters that most documents use, whatever their case; ties go by the alphabet.
+
+    Counted over whole texts of all documents, each word once per document; words of candidates count like others.
+    """
+    used = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z]{4,}"), F.lit(0)))).alias("word"))
+    often = used.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return [r["word"] for r in often.orderBy(F.desc("n"), "word").limit(words).collect()]
+
+
 def _share(pattern: str) -> Column:
     c = F.col("candidate")
     return (F.length(c) - F.length(F.regexp_replace(c, pattern, ""))) / F.length(c)
 
 
-def features() -> dict[str, Column]:
+def features(words: list[str]) -> dict[str, Column]:
+    """What the forest sees of a candidate, with ``words`` as dictionary."""
     c, n = F.col("candidate"), F.length("candidate")
     near = F.regexp_extract(F.col("before"), r"((?:\S+\s+)?\S*\s*)$", 1)
-    words = F.concat_ws(" ", near, F.regexp_extract(F.col("after"), r"^\S*\s+(\S+)", 1))
+    around = F.concat_ws(" ", near, F.regexp_extract(F.col("after"), r"^\S*\s+(\S+)", 1))
     symbols = F.array_distinct(F.split(c, ""))
     share = F.transform(symbols, lambda s: (n - F.length(F.replace(c, s, F.lit("")))) / n)
     lower = F.lower(c)
+    parts = F.regexp_extract_all(c, F.lit("[A-Z]?[a-z]{3,}|[A-Z]{4,}"), F.lit(0))
+    known = F.filter(parts, lambda w: F.lower(w).isin(words)) if words else F.array().cast("array<string>")
     return {
         "length": n,
         "digits": _share("[0-9]"),
@@ -96,39 +117,45 @@ def features() -> dict[str, Column]:
         "to_mark": F.regexp_count(c, F.lit("(?<=[A-Za-z0-9])(?=[^A-Za-z0-9])")) / n,
         "repeats": F.regexp_count(c, F.lit(r"(.)\1")) / n,
         "vowels": F.regexp_count(lower, F.lit("[aeiou]")) / n,
-        "dictionary": (n - F.length(F.regexp_replace(lower, "|".join(DICTIONARY), ""))) / n,
+        "dictionary": F.length(F.array_join(known, "")) / n,
         "key_format": c.rlike(KEY_FORMATS),
         "uuid": lower.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"),
         "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$"),
+        "in_url": F.col("before").rlike("://[^\\s:/@]+:$") & F.col("after").startswith("@"),
         "quoted": F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"),
-        "secret_name": words.rlike(SECRET_NAMES),
-        "harmless_name": words.rlike(HARMLESS_NAMES),
+        "secret_name": around.rlike(SECRET_NAMES),
+        "harmless_name": around.rlike(HARMLESS_NAMES),
         "plain_before": F.col("before").rlike(r"(?:^|\s)[A-Za-z]+\s$"),
         "sample_path": F.col("path").rlike(SAMPLE_PATHS),
         "path_depth": F.regexp_count(F.col("path"), F.lit("/")),
     }
 
 
-def described(found: DataFrame) -> DataFrame:
-    return found.select("*", F.struct(*[v.cast("double").alias(k) for k, v in features().items()]).alias("f"))
+def described(found: DataFrame, words: list[str]) -> DataFrame:
+    return found.select("*", F.struct(*[v.cast("double").alias(k) for k, v in features(words).items()]).alias("f"))
 
 
 def weak_label() -> Column:
-    """1 for findings that are secrets by their format or name, 0 for harmless ones, null where neither is plain."""
+    """1 for findings that are secrets by their format, place or name, 0 for harmless ones, null where neither is plain.
+
+    A dictionary word after a telling name ("token: value") is harmless.
+    """
     f = F.col("f")
-    named = F.col("before").rlike(SECRET_NAMES + r"[\"']?\s*[=:]\s*[\"']?$")
-    harmless = (f["digits"] == 1) | (f["uuid"] == 1) | (f["dictionary"] >= 0.6) | ((f["harmless_name"] == 1) & ~named)
-    return F.when((f["key_format"] == 1) | named, 1.0).when(harmless, 0.0)
+    named = F.col("before").rlike(SECRET_NAMES + r"[A-Za-z_-]{0,12}[\"']?\s*[=:]\s*[\"']?$") | (f["in_url"] == 1)
+    worded = f["dictionary"] >= 0.6
+    harmless = (f["digits"] == 1) | (f["uuid"] == 1) | worded | ((f["harmless_name"] == 1) & ~named)
+    return F.when((f["key_format"] == 1) | (named & ~worded), 1.0).when(harmless, 0.0)
 
 
 def train(findings: DataFrame, label: Column, sample: int = SAMPLE) -> PipelineModel | None:
     """A forest from ``described`` findings with labels, on a bounded sample; None if a class is too small to learn from."""
-    labelled = findings.withColumn("label", label).where("label IS NOT NULL").select("label", *[F.col(f"f.{k}").alias(k) for k in features()])
+    names = findings.schema["f"].dataType.names
+    labelled = findings.withColumn("label", label).where("label IS NOT NULL").select("label", *[F.col(f"f.{k}").alias(k) for k in names])
     drawn = materialise(labelled.orderBy(F.xxhash64(*labelled.columns), *labelled.columns).limit(sample).coalesce(1), "labelled")
     counts = {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST_EXAMPLES:
         return None
-    vector = VectorAssembler(inputCols=list(features()), outputCol="v", handleInvalid="keep")
+    vector = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep")
     forest = RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=40, maxDepth=8, seed=SEED, featureSubsetStrategy="sqrt")
     return Pipeline(stages=[vector, forest]).fit(drawn)
 
@@ -141,14 +168,15 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     label score 1 and all others 0. Null and empty texts have no candidates; a null path counts as an empty one; repeated rows
     give repeated findings. Other columns are not read.
     """
-    found = materialise(described(candidates(docs, doc_id, text, path)), "candidates")
+    words = dictionary(docs, text)
+    found = materialise(described(candidates(docs, doc_id, text, path), words), "candidates")
     if findings is None:
         model, label = train(found, weak_label()), weak_label()
     else:
-        model, label = train(described(findings), F.col("label")), weak_label()
+        model, label = train(described(findings, words), F.col("label")), weak_label()
     if model is None:
         scored = found.withColumn("score", F.coalesce(label, F.lit(0.0)))
     else:
-        flat = found.select("*", *[F.col(f"f.{k}").alias(k) for k in features()])
+        flat = found.select("*", *[F.col(f"f.{k}").alias(k) for k in found.schema["f"].dataType.names])
         scored = model.transform(flat).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     return scored.select("doc_id", "start", "end", "candidate", "score", (F.col("score") >= VOTES).alias("is_secret"))

@@ -354,6 +354,32 @@ def test_secret_scan_from_labelled_findings(spark):
     assert [r.is_secret for r in secrets.scan(docs, findings=findings).orderBy("start").collect()] == [True, False]
 
 
+def test_short_quoted_and_structured_candidates(spark):
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIB0123abc+/\nQUJD==\n-----END RSA PRIVATE KEY-----"
+    signed = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    wanted = {
+        "password=hunter2 and more": "hunter2",
+        "pwd: 'S3cr3t!pass' x": "S3cr3t!pass",
+        'secret="correcthorsebattery"': "correcthorsebattery",
+        "see postgres://user:p4ss@host/db": "p4ss",
+        f"key\n{pem}\nend": pem,
+        f"bearer {signed} .": signed,
+        "-----BEGIN PRIVATE KEY----- cut off, then": "-----BEGIN PRIVATE KEY-----",
+        "DB_PASSWORD_PROD = x9!k.": "x9!k",
+    }
+    texts = [*wanted, "the password is long", "at 10:30 a token of thanks", "p" * 200_000 + "1"]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id bigint, text string")
+    got = secrets.candidates(docs, path=None).collect()
+    assert sorted((r.doc_id, r.candidate) for r in got) == sorted([*enumerate(wanted.values()), (0, "hunter2"), (10, texts[10])])
+    assert all(texts[r.doc_id][r.start : r.end] == r.candidate for r in got)
+
+
+def test_dictionary_is_of_the_corpus(spark, no_docs):
+    docs = spark.createDataFrame([(i, f"Value river river w{i} {'rare' * (i < 2)} token: value") for i in range(5)], "doc_id bigint, text string")
+    assert secrets.dictionary(docs) == ["river", "token", "value"] and secrets.dictionary(docs, words=1) == ["river"]
+    assert not any(r.is_secret for r in secrets.scan(docs, path=None).collect()) and secrets.dictionary(no_docs) == []
+
+
 def test_candidates_at_both_ends(spark):
     docs = spark.createDataFrame([(1, "abcdefgh1234567 abcdefgh7654321")], "doc_id bigint, text string")
     got = secrets.candidates(docs, path=None).orderBy("start").collect()
