@@ -273,6 +273,14 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS event
 FROM events GROUP BY 1, 2 HAVING date_trunc('day', max(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - {lateness} FROM events)"""
 
 
+def _distinct_customers(**groups: str) -> str:
+    columns, names = ", ".join(f"{e} AS {n}" for n, e in groups.items()), ", ".join(groups)
+    return _silver() + f"""
+, bought AS (
+SELECT DISTINCT {columns}, o.order_date, o.customer_id FROM silver_orders o JOIN silver_customers c ON o.customer_id = c.customer_id)
+SELECT {names}, count(DISTINCT customer_id) AS customers, count(*) AS summed_customers FROM bought GROUP BY {names}"""
+
+
 def sql() -> dict[str, str]:
     """DuckDB text per registered query."""
     daily_columns = (
@@ -442,6 +450,20 @@ WHERE status = 'completed' OR order_date >= DATE '1998-02-10' AND order_date < D
 SELECT strftime(o.order_date, '%Y-%m') AS sale_month, count(*) AS sales, CAST(sum(i.line_total) AS DECIMAL(18,2)) AS revenue
 FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id
 WHERE o.order_date >= DATE '1998-03-01' AND o.order_date < DATE '1998-05-01' GROUP BY 1""",
+        "sales_busy_months": _silver() + f"""
+, by_month AS (
+SELECT strftime(order_date, '%Y-%m') AS month, sum(total_amount) AS amount FROM silver_orders GROUP BY 1)
+SELECT strftime(o.order_date, '%Y-%m') AS sale_month, count(*) AS sales, CAST(sum(i.line_total) AS DECIMAL(18,2)) AS revenue
+FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id
+WHERE strftime(o.order_date, '%Y-%m') IN (SELECT month FROM by_month WHERE amount > (SELECT {avg2("amount")} FROM by_month))
+GROUP BY 1""",
+        "bucketed_order_totals": _silver() + """
+SELECT o.order_id, o.order_date, count(*) AS n_items, CAST(sum(i.line_total) AS DECIMAL(28,2)) AS items_total
+FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id GROUP BY o.order_id, o.order_date""",
+        "sorted_orders": _silver() + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS inversions, CAST(0 AS BIGINT) AS overlaps FROM silver_orders",
+        "distinct_customers_by_month": _distinct_customers(year_month="strftime(o.order_date, '%Y-%m')"),
+        "distinct_customers_by_week": _distinct_customers(week_start="CAST(date_trunc('week', o.order_date) AS DATE)"),
+        "distinct_customers_by_tier": _distinct_customers(tier="c.tier", year="CAST(year(o.order_date) AS INT)"),
         # change capture
         "snapshot_changes": f"""
 WITH old AS ({_CUSTOMERS}), new AS ({_DELIVERY})
@@ -520,6 +542,11 @@ sold AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, co
 SELECT m.month_start, coalesce(s.refunded_orders, 0) AS refunded_orders
 FROM months m LEFT JOIN sold s ON m.month_start = s.month_start""",
         "events_json": events_json,
+        "events_json_paths": """
+SELECT regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS path,
+       CASE t.type WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'string'
+            ELSE lower(t.type) END AS kind, count(*) AS n
+FROM events, json_tree(events.props) t GROUP BY 1, 2""",
         "events_stream": _closed_days("INTERVAL 1 HOUR"),
         "events_stream_out_of_order": _closed_days("INTERVAL 3 DAYS"),
         "events_stream_late": """

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from harness.mapping import BRONZE_SQL, bronze, silver, table
 from harness.oracles import AS_OF, CHURN_DAYS, HIGH, MEDIUM
-from smeltworks.operators import capture, constraints, loads
+from smeltworks.operators import capture, constraints, distinct, loads, sorting
+from smeltworks.operators.json_profile import json_paths
 from smeltworks.operators.skew import hot_keys, orphans
 from smeltworks.plans import analytics, gold, medallion
 from smeltworks.plans import silver as cleaning
@@ -29,6 +30,7 @@ from smeltworks.schemas import (
     silver_spec,
 )
 from smeltworks.sources import catalog
+from smeltworks.sources.buckets import save_bucketed
 from smeltworks.sources.intervals import DIRTY, IntervalLedger, TimeModel, refresh
 from smeltworks.sources.raw import ingest_bronze, read_raw
 from smeltworks.sources.runs import RunLog
@@ -356,8 +358,8 @@ def stream_orders(spark, d, arrival: tuple[int, ...], delayed: bool = False) ->
     return _shown(target.read()).drop("_ingested_at", "_id")
 
 
-def sales_month(spark, d) -> DataFrame:
-    """A fact table with one folder per month, read for two months."""
+def _sales(spark, d) -> StoredTable:
+    """A fact table with one folder per month."""
     orders, items = silver(spark, d, "orders"), silver(spark, d, "items")
     sales = items.join(orders, "order_id").select(
         F.monotonically_increasing_id().alias("sale_id"),
@@ -376,6 +378,12 @@ def sales_month(spark, d) -> DataFrame:
     spec = SALES_PARTITIONED.like("sales_partitioned", generated={})
     target = _stored(spark, spec)
     loads.replace_table(target, sales)
+    return target
+
+
+def sales_month(spark, d) -> DataFrame:
+    """The fact table, read for two months."""
+    target = _sales(spark, d)
     start, end = datetime.date(1998, 3, 1), datetime.date(1998, 5, 1)
     two = target.read(target.folders_between(start, end))
     two = two.where((F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end)))
@@ -384,6 +392,48 @@ def sales_month(spark, d) -> DataFrame:
     )
 
 
+def sales_busy_months(spark, d) -> DataFrame:
+    """The fact table, read for months above the average, which only the orders tell."""
+    months = materialise(analytics.busy_months(silver(spark, d, "orders")), "months").where("amount > average")
+    rows = analytics.sales_in(_sales(spark, d).read(helpers=True), months)
+    return rows.groupBy(F.col("_sale_month").alias("sale_month")).agg(
+        F.count("*").alias("sales"), F.sum("line_total").cast("decimal(18,2)").alias("revenue")
+    )
+
+
+# -- layouts
+
+
+def bucketed_order_totals(spark, d) -> DataFrame:
+    """Items summed per order and joined to the orders, both laid out by order."""
+    stored = {
+        name: save_bucketed(silver(spark, d, name), f"bucketed_{name}", "order_id", 8, scratch_path(spark, f"bucketed_{name}"))
+        for name in ("orders", "items")
+    }
+    totals = gold.order_totals(stored["items"]).withColumn("items_total", F.col("items_total").cast(GOLD_MONEY))
+    return stored["orders"].select("order_id", "order_date").join(totals, "order_id")
+
+
+def sorted_orders(spark, d) -> DataFrame:
+    """Orders written in the order of date and id: what the files prove."""
+    path, keys = scratch_path(spark, "sorted_orders"), (F.col("order_date"), F.col("order_id"))
+    sorting.write_sorted(silver(spark, d, "orders"), path, *keys)
+    return sorting.order_proof(spark, path, *keys)
+
+
+# -- distinct counts
+
+
+def distinct_customers(spark, d, **groups) -> DataFrame:
+    """Customers with orders per group of days and tiers, from one bitmap per day and tier."""
+    customers = silver(spark, d, "customers").select("customer_id", "tier")
+    numbers = distinct.number_keys(customers, "customer_id").join(customers, "customer_id")
+    orders = silver(spark, d, "orders").select("customer_id", "order_date").join(numbers, "customer_id")
+    daily = materialise(distinct.member_bitmaps(orders, "number", "order_date", "tier"), "bitmaps")
+    found = distinct.distinct_by_period(daily, **groups)
+    return found.withColumnsRenamed({"members": "customers", "summed": "summed_customers"})
+
+
 # -- change capture
 
 
@@ -721,6 +771,12 @@ def registry() -> dict:
         "stream_upsert_out_of_order": lambda s, d: stream_orders(s, d, (2, 1)),
         "stream_upsert_delayed": lambda s, d: stream_orders(s, d, (1, 2), delayed=True),
         "sales_month": sales_month,
+        "sales_busy_months": sales_busy_months,
+        "bucketed_order_totals": bucketed_order_totals,
+        "sorted_orders": sorted_orders,
+        "distinct_customers_by_month": lambda s, d: distinct_customers(s, d, year_month=F.date_format("order_date", "yyyy-MM")),
+        "distinct_customers_by_week": lambda s, d: distinct_customers(s, d, week_start=F.date_trunc("week", "order_date").cast("date")),
+        "distinct_customers_by_tier": lambda s, d: distinct_customers(s, d, tier=F.col("tier"), year=F.year("order_date")),
         "snapshot_changes": snapshot_changes,
         "deliveries_with_deletes": deliveries_with_deletes,
         "change_log_with_deletes": change_log_with_deletes,
@@ -741,6 +797,7 @@ def registry() -> dict:
         "order_summary_view": order_summary_view,
         "month_gaps": month_gaps,
         "events_json": events_json,
+        "events_json_paths": lambda s, d: json_paths(table(s, d, "events"), "props"),
         "events_stream": events_stream,
         "events_stream_out_of_order": events_stream_out_of_order,
         "events_stream_late": events_stream_late,

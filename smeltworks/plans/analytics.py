@@ -113,3 +113,17 @@ def best_month(orders: DataFrame, items: DataFrame, money: str = GOLD_MONEY) ->
         .where("_place = 1")
         .select("customer_id", "best_month", "month_revenue", "total_ltv")
     )
+
+
+def busy_months(orders: DataFrame, money: str = GOLD_MONEY) -> DataFrame:
+    """``(month, amount, average)`` per month of orders: what it sold and what an average month did."""
+    by_month = orders.groupBy(year_month("order_date").alias("month")).agg(F.sum("total_amount").cast(money).alias("amount"))
+    return by_month.withColumn("average", exact_avg(F.sum("amount").over(Window.partitionBy()), F.count("amount").over(Window.partitionBy()), money))
+
+
+def sales_in(sales: DataFrame, months: DataFrame, folder: str = "_sale_month") -> DataFrame:
+    """Rows of a table with one folder per month whose month is in ``months(month)``, known only when it runs.
+
+    With stored, filtered ``months`` Spark reads these first and lists no other folder (dynamic partition pruning).
+    """
+    return sales.join(months.select(F.col("month").alias(folder)), folder)
