@@ -25,7 +25,7 @@ PEM = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]++-----END [A-
 SIGNED = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*"
 IN_URL = r"(?<=:)(?<=://[^\s:/@]{1,40}:)[^\s:/@]+(?=@)"
 ASSIGNED = (
-    r"(?<=[=:\s\"'])(?<=" + SECRET_NAMES + r"[A-Za-z_-]{0,12}[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
+    r"(?<=[=:\s\"'])(?<=[:=]\s{0,2}[\"']?)(?<=" + SECRET_NAMES + r"[A-Za-z_-]{0,12}[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
     r"[^\s\"'<>,;(){}\[\]]{3,}[^\s\"'<>,;(){}\[\].]"
 )
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9]|[A-Z]{16})[A-Za-z0-9+/_-]{12,}={0,2}"
