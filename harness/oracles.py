@@ -433,6 +433,9 @@ SELECT _batch_id AS batch_id, count(*) AS row_count, count(order_id) AS order_id
         "insert_new_orders": _silver() + """
 SELECT order_id, customer_id, order_date, status,
        CASE WHEN status = 'completed' THEN total_amount ELSE 0 END AS total_amount FROM silver_orders""",
+        "orders_by_key": _silver() + """
+SELECT order_id, customer_id, order_date, status, total_amount FROM silver_orders
+QUALIFY row_number() OVER (PARTITION BY status ORDER BY total_amount DESC, order_id DESC) = 1""",
         "replace_table": _silver() + f"{by_day} FROM silver_orders WHERE status = 'completed' GROUP BY 1",
         "replace_partition": _silver() + f"""
 {by_day} FROM silver_orders WHERE status = 'completed' AND order_date <> DATE '1998-03-10' GROUP BY 1

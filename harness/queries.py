@@ -252,6 +252,16 @@ def insert_new_orders(spark, d) -> DataFrame:
     return target.read()
 
 
+def orders_by_key(spark, d) -> DataFrame:
+    """The largest order of each status, looked up in the stored orders by its key alone."""
+    orders = silver(spark, d, "orders")
+    spec = TableSpec("order_facts", orders.schema, keys=("order_id",), partition=bucketed(("order_id",), 8))
+    target = _stored(spark, spec)
+    loads.replace_table(target, orders)
+    largest = orders.groupBy("status").agg(F.max_by("order_id", F.struct("total_amount", "order_id")).alias("order_id"))
+    return loads.stored_rows(target, largest)
+
+
 def catalog_after_inserts(spark, d) -> DataFrame:
     """A table grown by several loads, read by its catalog name."""
     orders = silver(spark, d, "orders")
@@ -761,6 +771,7 @@ def registry() -> dict:
         "catalog_after_inserts": catalog_after_inserts,
         "customers_full_refresh": customers_full_refresh,
         "insert_new_orders": insert_new_orders,
+        "orders_by_key": orders_by_key,
         "replace_table": replace_table,
         "replace_partition": replace_partition,
         "backfill_range": backfill_range,

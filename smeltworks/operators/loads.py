@@ -8,7 +8,7 @@ replace_table  all rows
 upsert         new rows, all rows of the folders they fall into
 replace_range  all rows of the folders that the range touches
 replace_groups all rows of the folders that the groups touch
-insert_new     new rows, keys of the folders they can be in
+insert_new     new rows, keys of the folders they can be in; for a small batch only of the row groups that can hold them
 append_batch   new rows
 ============== ====================================================
 """
@@ -66,7 +66,7 @@ def upsert(
 
     ``stored`` says that ``df`` reads a table as it is, so that reading it twice is cheap. Folder columns
     must depend on the keys or on columns that no upsert changes. In the second case a join of the keys alone (two
-    pruned scans) tells in which folders the known ones are. Source and target rows of the touched folders are
+    pruned scans; the stored one skips row groups for a small batch) tells in which folders the known ones are. Source and target rows of the touched folders are
     hashed once, by folder and, where folders are large, a salt made from the key; merge and write need no further shuffle.
     """
     spec = table.spec
@@ -117,7 +117,7 @@ def upsert(
 def _where_stored(table: StoredTable, source: DataFrame, keys: list[str]) -> DataFrame:
     """``source`` with the folder columns of the stored row of its key, where there is one."""
     cols = table.partition_cols
-    homes = table.read(helpers=True).select(*keys, *[F.col(c).alias(f"_at_{c}") for c in cols])
+    homes = table.lookup(source, keys).select(*keys, *[F.col(c).alias(f"_at_{c}") for c in cols])
     placed = join_unique(source, homes, keys, "left")
     return placed.withColumns({c: F.coalesce(f"_at_{c}", c) for c in cols}).drop(*[f"_at_{c}" for c in cols])
 
@@ -136,6 +136,15 @@ def _pick(name: str, overwrite: bool, take: Column) -> Column:
     return F.when(F.col("t").isNotNull(), t).otherwise(s)
 
 
+def stored_rows(table: StoredTable, wanted: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The stored rows of the keys in ``wanted``, which is read twice. Keys that repeat count once, null and unknown ones find nothing.
+
+    Few keys are looked up through the Bloom filters of the files, many by a join with the whole table.
+    """
+    keys = keys or list(table.spec.keys)
+    return join_unique(table.lookup(wanted, keys), wanted.select(*keys).distinct(), keys, "left_semi", hot=False).select(*table.spec.schema.names)
+
+
 def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None) -> LoadMetrics:
     """Insert-or-ignore: append rows of unknown keys, leave known ones alone. Of several source rows with one
     key a single one is kept. Existing files stay as they are."""
@@ -143,7 +152,7 @@ def insert_new(table: StoredTable, df: DataFrame, keys: list[str] | None = None)
     source = materialise(table.with_partition(admit(df, table.spec)), f"insert-{table.spec.name}")
     # A known key may lie in any folder unless the key alone decides.
     near = table.folders_of(source) if table.spec.partition and table.spec.laid_out_by() <= set(keys) else None
-    known = table.read(near, helpers=True).select(*keys)
+    known = table.lookup(source, keys, near).select(*keys)
     fresh = join_unique(source, known, keys, "left_anti").dropDuplicates(keys)
     return LoadMetrics(source.count(), table.append(fresh, F.count("*").alias("n"))["n"], 0)
 

@@ -4,6 +4,8 @@ Spark stages what a job writes and moves it into place when the whole job has su
 as it was. A table is read afresh after a load; a frame made before it may name files that are gone. One writer per table.
 """
 
+import functools
+import operator
 import uuid
 from urllib.parse import unquote
 
@@ -17,6 +19,12 @@ from smeltworks.schemas import TableSpec
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 # A task writes about this much of a folder.
 TASK_BYTES = 256 << 20
+# Up to so many keys are looked up by their values, so that files and row groups without them are skipped; more are joined.
+LOOKUP_KEYS = 500
+# How often a row group that lacks a key is read for it. So low that a lookup of LOOKUP_KEYS keys still skips most.
+BLOOM_MISSES = 1e-5
+# Spark hands a list of this length to the reader value by value, and a longer one as a range only.
+_IN_LIST = 10
 
 Folder = tuple[str, ...]
 
@@ -83,6 +91,23 @@ class StoredTable:
             df = self.spark.createDataFrame([], self.full_schema)
         return df.select(*(self.full_schema.names if helpers else self.spec.schema.names))
 
+    def lookup(self, source: DataFrame, keys: list[str], folders: set[Folder] | None = None) -> DataFrame:
+        """``read(folders, helpers=True)`` for finding the keys of ``source``: rows of other keys may be among the result.
+
+        A single key with at most ``LOOKUP_KEYS`` values in ``source`` becomes a filter on these values, which the Bloom filters
+        of the files answer. Otherwise all rows of the folders come back. Null keys find nothing.
+        """
+        rows = self.read(folders, helpers=True)
+        if len(keys) > 1:
+            return rows
+        (key,) = keys
+        values = source.select(key).where(F.col(key).isNotNull()).distinct().limit(LOOKUP_KEYS + 1).collect()
+        if len(values) > LOOKUP_KEYS:
+            return rows
+        values = sorted(r[0] for r in values)
+        parts = [F.col(key).isin(values[i : i + _IN_LIST]) for i in range(0, len(values), _IN_LIST)]
+        return rows.where(functools.reduce(operator.or_, parts, F.lit(False)))
+
     # -- writing
 
     def with_partition(self, df: DataFrame) -> DataFrame:
@@ -149,5 +174,17 @@ class StoredTable:
             df = df.hint("rebalance", *self.partition_cols)
         df = df.observe(seen, *metrics) if metrics else df
         writer = df.select(*self.full_schema.names).write.mode(mode).partitionBy(*self.partition_cols)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        writer.options(**self._blooms()).option("partitionOverwriteMode", "dynamic").parquet(self.path)
         return seen.get if metrics else {}
+
+    def _blooms(self) -> dict[str, str]:
+        """Writer options: a Bloom filter per row group on a table's single key, as large as the keys of the row group need."""
+        if len(self.spec.keys) != 1:
+            return {}
+        (key,) = self.spec.keys
+        return {
+            f"parquet.bloom.filter.enabled#{key}": "true",
+            f"parquet.bloom.filter.fpp#{key}": str(BLOOM_MISSES),
+            "parquet.bloom.filter.adaptive.enabled": "true",
+            "parquet.bloom.filter.max.bytes": str(8 << 20),
+        }

@@ -431,3 +431,42 @@ n int
     assert table.read().count() == 50
     with pytest.raises(ValueError, match="move rows"):
         loads.upsert(table, frame((1, "2021-01-01", 1)), update_cols=["d"])
+
+
+# -- key lookups
+
+
+def rows_scanned(df):
+    """Rows that the file scans of an executed plan put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = (plan.executedPlan() if "Adaptive" in plan.getClass().getName() else plan).collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookup_reads_only_files_that_can_hold_the_keys(spark, make):
+    table = make()
+    for batch in range(5):  # every file spans all ids, so only Bloom filters can tell files apart
+        rows = spark.range(batch, 20_000, 5).selectExpr("cast(id AS int) AS id", "'x' AS name", "1 AS n", "1 AS at")
+        assert loads.insert_new(table, rows).inserted == 4000
+    assert sum(map(len, files(table).values())) == 20
+
+    def wanted(ids):
+        return spark.createDataFrame([(i,) for i in ids], "id int")
+
+    assert rows_scanned(table.lookup(wanted([7]), ["id"])) < 2000
+    assert rows_scanned(table.lookup(wanted(range(30_000, 30_400)), ["id"])) < 2000
+    assert rows_scanned(table.lookup(wanted(range(tables.LOOKUP_KEYS + 1)), ["id"])) == 20_000
+    assert rows_scanned(table.lookup(wanted([None]), ["id"])) == 0
+
+
+def test_stored_rows_of_few_many_unknown_and_null_keys(spark, make, monkeypatch):
+    table = make()
+    loads.replace_table(table, things(spark, [(i, f"n{i}", i, 1) for i in range(30)]))
+    wanted = spark.createDataFrame([(3,), (3,), (None,), (29,), (77,)], "id int")
+    for limit in (tables.LOOKUP_KEYS, 1):
+        monkeypatch.setattr(tables, "LOOKUP_KEYS", limit)
+        assert sorted(r.id for r in loads.stored_rows(table, wanted).collect()) == [3, 29]
+        assert loads.insert_new(table, things(spark, [(29, "z", 0, 1), (100 + limit, "z", 0, 1)])).inserted == 1
+    assert loads.stored_rows(table, wanted.where("false")).isEmpty()
+    assert loads.stored_rows(make(SPEC.like("nothing")), wanted).isEmpty()
