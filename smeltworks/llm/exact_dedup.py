@@ -13,10 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smeltworks.operators.skew import join_unique
 from smeltworks.sources.scratch import materialise
 
 SLOTS = 4
 MAX_KICKS = 200
+# Digests in one index of a task, about 100 MB of Python objects.
+INDEX_ENTRIES = 200_000
 
 
 class CuckooFilter:
@@ -137,45 +140,68 @@ INDEX_SCHEMA = "digest binary, keep_id bigint, copies bigint"
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(digest, keep_id, copies)``, negative copies for removals, through one index; its live entries come out."""
-    index, gone = DigestIndex(), []
+    """Rows ``(digest, keep_id, copies)``, negative copies for removals, through one index; its live entries come out.
+
+    A full index is put out and begun anew where the digest changes: what a task holds does not grow with its rows. Rows sorted
+    by digest, insertions first, therefore come out exact; others may give a digest several rows to be merged later.
+    """
+    index, size, last = DigestIndex(), 0, None
     for batch in batches:
         for digest, keep_id, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if size >= INDEX_ENTRIES and digest != last:
+                yield _live(index)
+                index, size = DigestIndex(), 0
+            last = digest
             if copies > 0:
-                index.add(digest, keep_id, copies)
+                size += index.add(digest, keep_id, copies)
             else:
-                gone.append((digest, -copies))
-    for digest, copies in gone:
-        index.remove(digest, copies)
+                size -= index.remove(digest, -copies)
+    yield _live(index)
+
+
+def _live(index: DigestIndex) -> pa.RecordBatch:
     rows = list(index.live())
-    for i in range(0, len(rows), 50_000):
-        part = rows[i : i + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in part], pa.binary()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64())],
-            names=["digest", "keep_id", "copies"],
-        )
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
+        names=["digest", "keep_id", "copies"],
+    )
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    """One row per live digest of ``parts``, dealt by digest."""
+    ordered = parts.repartition("digest").sortWithinPartitions("digest", F.desc("copies"))
+    return ordered.mapInArrow(_indexed, INDEX_SCHEMA)
 
 
 def build_index(hashed: DataFrame) -> DataFrame:
     """``(doc_id, digest)`` -> one row ``(digest, keep_id, copies)`` per live digest."""
     single = hashed.select("digest", F.col("doc_id").cast("bigint").alias("keep_id"), F.lit(1).cast("bigint").alias("copies"))
-    local = single.mapInArrow(_indexed, INDEX_SCHEMA)
-    return local.repartition("digest").mapInArrow(_indexed, INDEX_SCHEMA)
+    return _merged(single.mapInArrow(_indexed, INDEX_SCHEMA))
 
 
-def update_index(index: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
-    """The index after inserting and then deleting documents ``(doc_id, digest)``.
+def update_index(index: DataFrame, stored: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
+    """The index of ``stored`` after inserting ``added`` and then deleting ``removed``, all of ``(doc_id, digest)``.
 
-    A digest leaves the index with its last copy. ``keep_id`` stays the smallest id ever inserted while the
-    digest is live.
+    A digest leaves the index with its last copy. ``keep_id`` is the smallest live id: where a copy is deleted, it is found again among
+    the documents of that digest, and no others are read beyond their digests. A removed row takes one equal row out, null ids
+    included; one that is not there takes nothing.
     """
-    parts = index
+    parts = index.select("digest", "keep_id", "copies")
     if added is not None:
-        parts = parts.union(build_index(added))
-    if removed is not None:
-        out = removed.groupBy("digest").agg((-F.count("*")).alias("copies"))
-        parts = parts.union(out.select("digest", F.lit(None).cast("bigint").alias("keep_id"), "copies"))
-    return parts.repartition("digest").mapInArrow(_indexed, INDEX_SCHEMA)
+        parts = parts.unionByName(build_index(added))
+        stored = stored.select("doc_id", "digest").unionByName(added.select("doc_id", "digest"))
+    if removed is None:
+        return _merged(parts)
+    taken = materialise(removed.groupBy("digest", "doc_id").agg(F.count("*").alias("taken")), "removed")
+    touched = join_unique(stored.select("digest", "doc_id"), taken.select("digest").distinct(), ["digest"], "left_semi")
+    held = touched.groupBy("digest", "doc_id").agg(F.count("*").alias("held"))
+    held = join_unique(held, taken, ["digest", "doc_id"], "left", null_safe=True)
+    taken = F.least("held", F.coalesce("taken", F.lit(0)))
+    first = F.min(F.when(F.col("held") > taken, F.col("doc_id").cast("bigint")))
+    change = materialise(held.groupBy("digest").agg(F.sum(taken).alias("gone"), first.alias("first_id")), "change")
+    out = change.where("gone > 0").select("digest", F.lit(None).cast("bigint").alias("keep_id"), (-F.col("gone")).alias("copies"))
+    kept = _merged(parts.unionByName(out)).join(change.select("digest", "first_id", F.lit(True).alias("changed")), "digest", "left")
+    return kept.select("digest", F.when(F.col("changed"), F.col("first_id")).otherwise(F.col("keep_id")).alias("keep_id"), "copies")
 
 
 def seen(index: DataFrame, hashed: DataFrame) -> DataFrame:

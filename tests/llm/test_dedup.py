@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -57,14 +58,47 @@ def test_index_takes_and_gives_up_documents(docs):
     hashed = exact_dedup.digests(docs)
     index = exact_dedup.build_index(hashed)
     one = hashed.where("doc_id = 8").limit(1)
-    after = exact_dedup.update_index(index, removed=one)
+    after = exact_dedup.update_index(index, hashed, removed=one)
     assert exact_dedup.seen(after, one).first().is_live
-    gone = exact_dedup.update_index(index, removed=hashed.where("doc_id = 8"))
+    gone = exact_dedup.update_index(index, hashed, removed=hashed.where("doc_id = 8"))
     assert not exact_dedup.seen(gone, one).first().is_live
-    back = exact_dedup.update_index(gone, added=one)
+    back = exact_dedup.update_index(gone, hashed.where("doc_id <> 8 OR doc_id IS NULL"), added=one)
     assert exact_dedup.seen(back, one).first().is_live
 
 
+def test_updates_equal_an_index_built_anew(spark):
+    def frame(rows):
+        return spark.createDataFrame([(i, t.encode()) for i, t in rows], "doc_id bigint, digest binary")
+
+    def told(index):
+        return sorted((bytes(r.digest), r.keep_id, r.copies) for r in index.collect())
+
+    stored = [(1, "a"), (2, "a"), (2, "a"), (None, "a"), (3, "b"), (4, "b"), (None, "c"), (5, "d"), *((i, f"t{i % 9}") for i in range(10, 60))]
+    added = [(0, "b"), (6, "e"), (None, "d")]
+    removed = [(1, "a"), (2, "a"), (3, "b"), (5, "d"), (77, "b"), (6, "e"), (6, "e"), (None, "c"), (10, "t1"), (9, "none")]
+    left = [*stored, *added]
+    for row in removed:
+        if row in left:
+            left.remove(row)
+    before = exact_dedup.build_index(frame(stored))
+    want = told(exact_dedup.build_index(frame(left)))
+    assert told(exact_dedup.update_index(before, frame(stored), frame(added), frame(removed))) == want
+    assert want[:2] == [(b"a", 2, 2), (b"b", 0, 2)]
+    assert told(exact_dedup.update_index(before, frame(stored))) == told(before)
+
+
+def test_full_index_is_put_out_where_the_digest_changes(monkeypatch):
+    monkeypatch.setattr(exact_dedup, "INDEX_ENTRIES", 3)
+    rows = [(bytes([d]) * 32, i, n) for d in range(20) for i, n in ((d + 100, 2), (d, 1), (None, -1 if d % 5 else -3))]
+    names = ["digest", "keep_id", "copies"]
+    types = [pa.binary(), pa.int64(), pa.int64()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 7], strict=True), types, strict=True)], names=names) for i in range(0, len(rows), 7)]
+    parts = list(exact_dedup._indexed(iter(batches)))
+    assert len(parts) > 4 and max(p.num_rows for p in parts) <= 4
+    assert [r for p in parts for r in p.to_pylist()] == [dict(zip(names, (bytes([d]) * 32, d, 2), strict=True)) for d in range(20) if d % 5]
+    assert [p.num_rows for p in exact_dedup._indexed(iter([]))] == [0]
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, sf, name):
     df, result = queries.queries()[name](spark, sf), oracle_connection(sf).sql(queries.oracle_sql()[name])
