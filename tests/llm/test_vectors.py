@@ -49,15 +49,39 @@ def test_odd_tables(spark):
     assert dedup.embedding_dedup(df.where("vec_id < 0")).isEmpty()
 
 
+def test_one_id_on_different_vectors(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [0.01, 1.0]), (8, [0.02, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in dedup.embedding_dedup(df).collect())
+    assert got == [(5, 1, 5), (5, 2, 5), (6, 1, 5), (7, 2, 5), (8, 2, 5)]
+
+
 def test_estimate_is_unbiased_within_its_bound():
     rng = np.random.default_rng(0)
     a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.standard_normal((2, 400, 64)))
     b[:200] = 0.8 * a[:200] + 0.6 * b[:200]
     b /= np.linalg.norm(b, axis=1, keepdims=True)
-    _, code, factor = dedup.codes(a)
-    cosines, bound = dedup.estimate(code, factor, dedup.codes(b)[0])
+    (code, _, factor), (levels, step, _) = dedup.codes(a), dedup.codes(b)
+    cosines, bound = dedup.estimate(code, factor, levels, step)
     error = cosines - a @ b.T
-    assert abs(error.mean()) < 0.01 and (np.abs(error) <= bound[:, None]).mean() > 0.98
+    assert abs(error.mean()) < 0.01 and (np.abs(error) <= bound).mean() > 0.98
+    assert ((code >= 0) == (a @ dedup.rotation(64) >= 0)).all()
+
+
+def test_keys_do_not_depend_on_the_batch():
+    levels = dedup.codes(dedup.units(np.random.default_rng(1).standard_normal(300 * 64), 64))[0]
+    whole = dedup.cell_keys(levels, 20, 30)
+    assert all((dedup.cell_keys(levels[i : i + 1], 20, 30) == whole[i]).all() for i in range(300))
+
+
+def test_double_components_are_not_folded_to_float(spark):
+    rows = [(1, [1.0, 0.3286841051788632]), (2, [1.0, 0.0]), (3, [1.0, 1e-12])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    threshold = 1.0
+    got = {r.vec_id: r.n_links for r in dedup.embedding_dedup(df, threshold=threshold - 1e-9).collect()}
+    assert got == {1: 0, 2: 1, 3: 1}
+    huge = spark.createDataFrame([(1, [1e300, 0.0]), (2, [2e300, 0.0])], "vec_id bigint, embedding array<double>")
+    assert sorted(r.n_links for r in dedup.embedding_dedup(huge).collect()) == [1, 1]
 
 
 def test_recall_on_whole_table(spark):
