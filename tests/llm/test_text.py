@@ -47,6 +47,40 @@ def test_code_lengths_are_exact():
     assert (whole > parts).all() and language_id.predict(model, ["abracadabra", "hocus pocus"])[0] == ["x", "y"]
 
 
+def test_code_lengths_equal_a_recursive_model():
+    texts = {"x": b"abracadabra abra " * 9 + b"cab", "y": b"hocus pocus fidibus a" * 8}
+    counts, seen = [], {}
+    for name, text in sorted(texts.items()):
+        led = bytes(3) + text
+        counts.append((name, *np.unique(language_id._codes(np.frombuffer(led, np.uint8)), return_counts=True)))
+        for i in range(3, len(led)):
+            for order in range(4):
+                followers = seen.setdefault(led[i - order : i], {}).setdefault(name, {})
+                followers[led[i]] = followers.get(led[i], 0) + 1
+    least = 4
+
+    def exists(context):
+        often = sum(sum(f.values()) for f in seen.get(context, {}).values()) >= least
+        return not context or (often and exists(context[1:]))
+
+    def odds(name, context, byte):
+        lower = odds(name, context[1:], byte) if context else 1 / 256
+        if not context or exists(context):
+            followers = seen[context].get(name, {})
+            kinds, whole = len(followers), sum(followers.values())
+            if byte in followers:
+                return followers[byte] / (whole + kinds)
+            if whole:
+                return kinds / (whole + kinds) * lower
+        return lower
+
+    model = language_id.build(counts, min_context=least)
+    for text in (b"abracadabra", b"pocus cab", "z\u00e9 abra! hocus".encode(), b"x", texts["x"] + texts["y"]):
+        led = bytes(3) + text
+        want = [-sum(np.log2(odds(name, led[i - 3 : i], led[i])) for i in range(3, len(led))) for name in ("x", "y")]
+        assert np.allclose(language_id.code_lengths(model, [text])[0], want, rtol=1e-5), text
+
+
 def test_language_of_odd_rows(docs, no_docs):
     counts = language_id.train(docs)
     got = [(r.doc_id, r.lang_pred, r.score) for r in language_id.identify(docs, counts).collect()]
