@@ -8,13 +8,14 @@ from smeltworks.functions.numbers import (
     safe_decimal,
     safe_int,
 )
-from smeltworks.functions.text import canonical_uuid, is_present
+from smeltworks.functions.text import canonical_uuid, is_present, is_uuid
 
 __all__ = [
     "canonical_uuid",
     "div_round",
     "exact_avg",
     "is_present",
+    "is_uuid",
     "month_index",
     "pct_change",
     "safe_decimal",

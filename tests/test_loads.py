@@ -470,3 +470,14 @@ def test_stored_rows_of_few_many_unknown_and_null_keys(spark, make, monkeypatch)
         assert loads.insert_new(table, things(spark, [(29, "z", 0, 1), (100 + limit, "z", 0, 1)])).inserted == 1
     assert loads.stored_rows(table, wanted.where("false")).isEmpty()
     assert loads.stored_rows(make(SPEC.like("nothing")), wanted).isEmpty()
+
+
+def test_a_first_load_is_split_by_its_rows(spark, make, monkeypatch):
+    table = make(SPEC.like("things", partition={}))
+    monkeypatch.setattr(loads, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        loads.upsert(table, things(spark, [(i, "a", i, 1) for i in range(1000)]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [len(names) > 1 for names in files(table).values()] == [True] and len(content(table)) == 1000

@@ -239,3 +239,15 @@ def test_a_run_leaves_no_intermediate_tables(house):
     before = left()
     medallion.run_medallion(house, AS_OF, on_error="quarantine")
     assert left() == before
+
+
+def test_rows_with_parents_are_sorted_and_joined_once_per_load(house, monkeypatch):
+    fill(house, "b1", **GOOD)
+    medallion.load_silver(house, "customers")
+    calls, latest_by = [], medallion.silver.latest_by
+    monkeypatch.setattr(medallion.silver, "latest_by", lambda *args: calls.append(args) or latest_by(*args))
+    medallion.load_silver(house, "orders")
+    assert len(calls) == 1 and house.silver("orders").read().count() == 2 and house.waiting("orders").read().count() == 1
+    fill(house, "b2", orders=[order(4), order(5, customer_id=uid(9, "c"))])
+    medallion.load_silver_increment(house, "orders", datetime.timedelta(0))
+    assert len(calls) == 2 and house.silver("orders").read().count() == 3 and house.waiting("orders").read().count() == 2

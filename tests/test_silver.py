@@ -168,3 +168,17 @@ def test_hot_parent_gives_the_same_rows(spark, customers, rows):
     assert not hot.isEmpty()
     split = silver.clean_orders(frame, customers, hot={"customer_id": hot})
     assert rows(split, "order_id") == rows(silver.clean_orders(frame, customers), "order_id")
+
+
+def test_the_pattern_of_an_id_is_matched_once(spark, capsys):
+    silver._latest(bronze(spark, "raw_orders", [order(1)]), silver._rules()["orders"]).explain()
+    assert capsys.readouterr().out.count("RLIKE") == 2
+
+
+def test_stored_latest_rows_give_clean_and_waiting_ones(spark, customers, rows):
+    records = [order(1), order(1, status="shipped", at=2), order(2, customer_id=uid(9, "c")), order(3, order_id="bad")]
+    raw = bronze(spark, "raw_orders", records)
+    latest = silver.latest_known("orders", raw, {"customers": customers})
+    shown = ["order_id", "customer_id", "status", "total_amount", "order_date"]
+    assert rows(silver.clean_latest("orders", latest), *shown) == rows(silver.clean_orders(raw, customers), *shown)
+    assert rows(silver.waiting(latest), "order_id", "_id") == [(uid(2), 3)]
