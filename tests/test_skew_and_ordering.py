@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from smeltworks.operators import skew
 from smeltworks.operators.dedup import latest_by
 from smeltworks.operators.ordering import add_history, add_ranks
 from smeltworks.operators.skew import hot_keys, join_unique, orphans
@@ -133,3 +134,12 @@ def test_top_k_keeps_ties(spark, rows):
     )
     got = analytics.top_products_per_category(materialise(df))
     assert rows(got, "product_id", "rank_in_category") == [(1, 1), (2, 1), (3, 3), (5, 1), (6, 3), (7, 1)]
+
+
+def test_orphans_with_known_hot_keys_take_no_sample_of_the_child(spark, rows, monkeypatch):
+    child = spark.createDataFrame([(i % 5, i) for i in range(40)], "k int, v int")
+    parent = spark.createDataFrame([(0,), (1,), (2,)], "k int")
+    hot, expected = skew.hot_keys(child, ["k"], hot_rows=2), rows(skew.orphans(child, parent, ["k"]))
+    monkeypatch.setattr(skew, "hot_keys", lambda *args, **kwargs: pytest.fail("the child is computed for a sample"))
+    assert rows(skew.orphans(child, parent, ["k"], hot)) == rows(skew.orphans(child, parent, ["k"], False)) == expected
+    assert len(expected) == 16
