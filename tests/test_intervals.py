@@ -2,10 +2,13 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from samples import silver_items, silver_orders
 
-from smeltworks.schemas import TableSpec, columns
+from smeltworks.plans import gold
+from smeltworks.schemas import GOLD, WEEKLY_REVENUE, TableSpec, columns
 from smeltworks.sources import intervals
 from smeltworks.sources.intervals import DIRTY, IntervalLedger, TimeModel, floor, later, load_missing, merged, refresh, whole
+from smeltworks.sources.scratch import materialise
 from smeltworks.sources.tables import StoredTable
 
 
@@ -113,3 +116,21 @@ def test_a_load_that_breaks_goes_on_where_it_was(spark, tmp_path, ledger, day, m
     monkeypatch.setattr(intervals, "replace_range", replace_range)
     done, metrics = load_missing(ledger, daily, day("2024-01-01"), day("2024-01-08"))
     assert done == [(day("2024-01-05"), day("2024-01-08"))] and metrics.processed == 1 and daily.table.read().count() == 2
+
+
+def test_models_read_dated_facts_like_items(spark, tmp_path, day, rows, monkeypatch):
+    # Order 1 comes twice with two dates, order 2 twice with one; the last range holds both dates of order 1.
+    records = [(1, 1, "2024-01-30", "completed", "5"), (1, 1, "2024-02-02", "completed", "5"), (2, 1, "2024-02-03", "shipped", "7"),
+               (2, 1, "2024-02-03", "shipped", "7"), (3, 2, "2024-02-20", "cancelled", "9"), (4, 2, None, "completed", "1")]
+    orders = silver_orders(spark, records)
+    items = silver_items(spark, [(1, 1, 2, "1", "2"), (1, 1, 1, "1", "1"), (1, 2, 1, "4", "4"), (2, 2, 1, "4", "4"), (3, 1, 5, "1", "5"), (4, 1, 1, "1", "1")])
+    products = spark.createDataFrame([(1, "pen"), (2, "ink")], "product_id int, category string")
+    facts = materialise(gold.dated_facts(orders, items), "facts")
+    tables = [StoredTable(spark, f"file://{tmp_path}/{spec.name}", spec) for spec in (GOLD["daily_revenue"], WEEKLY_REVENUE, GOLD["monthly_revenue"], GOLD["category_revenue"])]
+    monkeypatch.setattr(gold, "join_unique", lambda *args, **kwargs: pytest.fail("all items are joined"))
+    by_fact = gold.time_models(*tables, orders, facts, products)
+    ranges = [(day(low), day(high)) for low, high in (("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-03-01"), ("2024-01-01", "2024-03-01"))]
+    built = [rows(m.build(*r)) for m in (by_fact[0], by_fact[3]) for r in ranges]
+    monkeypatch.undo()
+    by_item = gold.time_models(*tables, orders, items, products)
+    assert built[0] and built[3] and built == [rows(m.build(*r)) for m in (by_item[0], by_item[3]) for r in ranges]
