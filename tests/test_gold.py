@@ -203,3 +203,14 @@ def test_product_totals_read_the_items_once(spark, orders, items, products, tmp_
     stored = spark.read.parquet(f"{tmp_path}/items")
     totals = gold.product_totals(products, stored, orders)
     assert totals._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_items_are_dealt_before_they_are_summed_per_product(spark, capsys):
+    orders = silver_orders(spark, [(1, 1, "2024-01-01", "completed", "5")])
+    items = silver_items(spark, [(1, 1, 2, "1", "2"), (1, 1, 1, "1", "1")])
+    products = spark.createDataFrame([(1, "pen", "office")], "product_id int, product_name string, category string").selectExpr("*", "cast(1 AS decimal(10,2)) AS cost")
+    got = gold.product_totals(products, items, orders)
+    assert (got.first().total_units_sold, got.first().order_count) == (3, 1)
+    capsys.readouterr()
+    got.explain()
+    assert "REPARTITION_BY_COL" in capsys.readouterr().out
