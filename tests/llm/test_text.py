@@ -196,6 +196,20 @@ def test_word_ids_equal_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(starts, ends, strict=True)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_plain_words_are_cut_without_python():
+    encoder, plain = word_encoder(WORDS_FILE), Tokenizer.from_file(WORDS_FILE)
+    encoder.forget()
+    signs, stems = ["", ".", ",", "('", "''", "<|", "|>", "***", '"', "'(", "-"], ["The", "s", "été", "ÀÉÿ", "ªµº", "Unverzüglichkeiten"]
+    texts = [f"{a}{stem}{b}" for a in signs for stem in stems for b in [*signs, "'"]]
+    for part in ([" ".join(texts)], texts):
+        ids, ends = encoder.encode(pa.array(part, pa.string()))
+        assert ids.tolist() == [i for t in part for i in plain.encode(t, add_special_tokens=False).ids]
+    assert all("'" in u for u in encoder.units)
+    odd = ["'s", "('s", "x'll", "'x", "İ", "K.", "e\u0301.", "×y", "1a", "a1", "<|endoftext|>", "a\xa0b", "\xad", "²", "'", "a<|endoftext|>b", None, ""]
+    ids, ends = encoder.encode(pa.array(odd, pa.string()))
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == [plain.encode(t or "", add_special_tokens=False).ids for t in odd]
+
+
 def test_names_of_special_tokens_are_special():
     names = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "oftext|>", " ", "foo", "<|endoftext|>bar", "|>", "é"]
     rng, encoder, plain = random.Random(2), word_encoder(WORDS_FILE), Tokenizer.from_file(WORDS_FILE)
