@@ -1,13 +1,15 @@
 """Main text of web pages by union-free wrappers.
 
-Per host, a few pages are read into trees and aligned one after the other. Where two token streams disagree, the mismatch
-becomes an optional part (only one of them has it), a repeated group (one has it more often) or a text slot (the same place with
-another text). What remains literal is the host's template. The wrapper also remembers where the main part of the page sits.
+Per host, all distinct pages are read into trees and aligned, equal ones once, in groups whose wrappers are aligned in turn. Where
+two token streams disagree, the mismatch becomes an optional part (only one of them has it), a repeated group (one has it more
+often) or a text slot (the same place with another text). Parts and texts are counted by page: a text that most pages have at its
+place is the host's template, even if some have another or none. The wrapper also remembers where the main part of the page sits.
 
 Every page is then read along its host's wrapper: the text of the main part is kept, without the parts that are navigation, notices
 or the like by their element or class, and without the template's own words. A page that does not fit keeps what does not fit as text.
 """
 
+import hashlib
 import html as entities
 import json
 import re
@@ -19,12 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltworks.llm.common import short_batches
+from smeltworks.llm.common import short_batches, slices
 from smeltworks.sources.scratch import materialise
 
-# Pages of a host that a wrapper is made from, and distinct ones from which on a literal text counts as template.
-SAMPLE_PAGES = 8
+# Distinct pages of a host from which on an element or a text may be template, and their share, one in so many, of the distinct
+# pages that have what is around it. This bounds a wrapper, however many pages it is made from.
 LEAST_PAGES = 3
+SHARE = 100
+# Wrappers that are aligned one after the other, and parts in a row from which on their order is given up.
+GROUP = 64
+LONG = 64
 # Elements nested more deeply than this are read as part of the one above.
 DEPTH = 150
 
@@ -200,65 +206,106 @@ def plain(text: str) -> str:
 # -- wrappers
 #
 # A wrapper is a list of items. An item is a dict: "k" its key (an element's, "#text", or for a group "(key key)"), "o" optional,
-# "r" repeated, "c" the items inside, and for texts "t", the literal text or None for a slot.
+# or "(*)" for a group in any order), "r" repeated, "n" the pages that have it, "c" the items inside, and for texts "ts", their pages by ``mark``. In a finished
+# wrapper, texts have "t" instead, the mark of the template text or None for a slot.
+
+
+def mark(text: str) -> str:
+    """A text that is not short is known by a digest; as no plain text does, this begins with a space."""
+    return text if len(text) <= 32 else " " + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def items_of(node: Node) -> list[dict]:
     items = []
     for child in node.children:
         if isinstance(child, Node):
-            items.append({"k": child.key, "o": False, "r": False, "c": items_of(child)})
+            items.append({"k": child.key, "o": False, "r": False, "n": 1, "c": items_of(child)})
         elif text := plain(child):
-            items.append({"k": "#text", "o": False, "r": False, "t": text, "c": []})
+            items.append({"k": "#text", "o": False, "r": False, "n": 1, "ts": {mark(text): 1}, "c": []})
     return fold(items)
 
 
 def fold(items: list[dict]) -> list[dict]:
-    """Tandem repeats of one to three items become one repeated item or group."""
+    """Tandem repeats of one to three items become one repeated item or group; the order of very many items is given up."""
     for period in (1, 2, 3):
         out: list[dict] = []
         for item in items:
             out.append(item)
-            while len(out) >= 2 * period and _keys(out[-period:]) == _keys(out[-2 * period : -period]):
+            while len(out) >= 2 * period and _same(out, -2 * period, -period, period):
                 first, second = out[-2 * period : -period], out[-period:]
                 del out[-2 * period :]
-                merged = [merge_item(a, b) for a, b in zip(first, second, strict=True)]
+                merged = [merge_item(a, b, False) for a, b in zip(first, second, strict=True)]
                 if period == 1:
                     out.append({**merged[0], "r": True})
                 else:
-                    out.append({"k": f"({' '.join(_keys(merged))})", "o": False, "r": True, "c": merged})
+                    out.append(_group(merged, True))
             # A group swallows a further round that follows it.
-            if period > 1 and len(out) > period and (g := out[-period - 1])["r"] and g["k"] == f"({' '.join(_keys(out[-period:]))})":
-                g["c"] = [merge_item(a, b) for a, b in zip(g["c"], out[-period:], strict=True)]
-                del out[-period:]
+            if period > 1 and len(out) > period and (g := out[-period - 1])["r"] and g["k"][0] == "(" and g["k"] == f"({' '.join(_keys(out[-period:]))})":
+                out[-period - 1 :] = [merge_item(g, _group(out[-period:], True), False)]
         items = out
-    return items
+    return items if len(items) <= LONG else _loose(items)
+
+
+def _same(items: list[dict], i: int, j: int, size: int) -> bool:
+    return all(items[i + d]["k"] == items[j + d]["k"] for d in range(size))
+
+
+def _group(items: list[dict], repeated: bool, key: str | None = None) -> dict:
+    return {"k": key or f"({' '.join(_keys(items))})", "o": False, "r": repeated, "n": max(i["n"] for i in items), "c": items}
+
+
+def _loose(items: list[dict]) -> list[dict]:
+    """A repeated group in which each key occurs once and is optional: it fits all that ``items`` fit, in any order."""
+    found: dict[str, dict] = {}
+    todo = items[::-1]
+    while todo:
+        item = todo.pop()
+        if item["k"][0] == "(":
+            todo += item["c"][::-1]
+        else:
+            found[item["k"]] = merge_item(found[item["k"]], item, False) if item["k"] in found else item
+    return [_group([{**i, "o": True} for _, i in sorted(found.items())], True, "(*)")] if found else []
 
 
 def _keys(items: list[dict]) -> list[str]:
     return [i["k"] for i in items]
 
 
-def merge_item(a: dict, b: dict) -> dict:
-    item = {"k": a["k"], "o": a["o"] or b["o"], "r": a["r"] or b["r"]}
+def merge_item(a: dict, b: dict, apart: bool) -> dict:
+    """``apart``: the items are of different pages, else of the same ones, or of some that cannot be told apart."""
+    item = {"k": a["k"], "o": a["o"] or b["o"], "r": a["r"] or b["r"], "n": a["n"] + b["n"] if apart else max(a["n"], b["n"])}
     if a["k"] == "#text":
-        item["t"] = a["t"] if a["t"] == b["t"] else None
+        if apart:
+            item["ts"] = {t: a["ts"].get(t, 0) + b["ts"].get(t, 0) for t in {**a["ts"], **b["ts"]}}
+        else:
+            item["ts"] = {t: min(n, b["ts"][t]) for t, n in a["ts"].items() if t in b["ts"]}
         item["c"] = []
-    elif a["k"].startswith("("):
-        item["c"] = [merge_item(x, y) for x, y in zip(a["c"], b["c"], strict=True)]
+    elif a["k"] == "(*)":
+        ours, theirs = {i["k"]: i for i in a["c"]}, {i["k"]: i for i in b["c"]}
+        item["c"] = [merge_item(ours[k], theirs[k], apart) if k in ours and k in theirs else ours.get(k) or theirs[k] for k in sorted({**ours, **theirs})]
+    elif a["k"][0] == "(":
+        item["c"] = [merge_item(x, y, apart) for x, y in zip(a["c"], b["c"], strict=True)]
     else:
-        item["c"] = merge(a["c"], b["c"])
+        item["c"] = merge(a["c"], b["c"], apart)
     return item
 
 
-def merge(a: list[dict], b: list[dict]) -> list[dict]:
+def merge(a: list[dict], b: list[dict], apart: bool = True) -> list[dict]:
     """Align two item lists: common items are merged, the others become optional, and repeats that arise are folded."""
-    groups = {i["k"]: len(i["c"]) for i in (*a, *b) if i["k"].startswith("(")}
-    a, b = _regrouped(a, groups), _regrouped(b, groups)
+    keys, others = _keys(a), _keys(b)
+    if ("(*)" in keys or "(*)" in others) and a and b:
+        a, b = _loose(a), _loose(b)
+        return [merge_item(a[0], b[0], apart)]
+    if keys == others:
+        return fold([merge_item(p, q, apart) for p, q in zip(a, b, strict=True)])
+    groups = {i["k"]: len(i["c"]) for i in (*a, *b) if i["k"][0] == "("}
+    if groups:
+        a, b = _regrouped(a, groups), _regrouped(b, groups)
+        keys, others = _keys(a), _keys(b)
     out, i, j = [], 0, 0
-    for x, y, n in SequenceMatcher(None, _keys(a), _keys(b), autojunk=False).get_matching_blocks():
+    for x, y, n in SequenceMatcher(None, keys, others, autojunk=False).get_matching_blocks():
         out += [{**item, "o": True} for item in (*a[i:x], *b[j:y])]
-        out += [merge_item(p, q) for p, q in zip(a[x : x + n], b[y : y + n], strict=True)]
+        out += [merge_item(p, q, apart) for p, q in zip(a[x : x + n], b[y : y + n], strict=True)]
         i, j = x + n, y + n
     return fold(out)
 
@@ -270,7 +317,7 @@ def _regrouped(items: list[dict], groups: dict[str, int]) -> list[dict]:
         for item in items:
             out.append(item)
             if len(out) >= size and key == f"({' '.join(_keys(out[-size:]))})":
-                out[-size:] = [{"k": key, "o": False, "r": False, "c": out[-size:]}]
+                out[-size:] = [_group(out[-size:], False)]
         items = out
     return items
 
@@ -314,14 +361,82 @@ def main_paths(root: Node) -> list[str]:
     return [min(named, key=len)] if named else [best_path]
 
 
+def finished(items: list[dict], pages: int) -> list[dict]:
+    """Items with the template texts: those of more than half of the ``pages`` that have the element around them, and of enough."""
+    done = []
+    for i in items:
+        item = {"k": i["k"], "o": i["o"], "r": i["r"], "c": finished(i["c"], pages if i["k"][0] == "(" else i["n"])}
+        if i["k"] == "#text":
+            best = max(i["ts"].items(), key=lambda t: (t[1], t[0]), default=(None, 0))
+            item["t"] = best[0] if best[1] >= LEAST_PAGES and 2 * best[1] > pages else None
+        done.append(item)
+    return done
+
+
 def induce(pages: list[str]) -> dict:
-    """The wrapper of some pages of one host."""
+    """The wrapper of the pages of one host, copies taken once."""
     trees = [parse(p) for p in sorted(set(pages))]
     items, votes = [], Counter()
     for n, tree in enumerate(trees):
         items = items_of(tree) if not n else merge(items, items_of(tree))
         votes.update(main_paths(tree))
-    return {"items": items, "main": sorted(p for p, n in votes.items() if 2 * n >= len(trees)), "pages": len(trees)}
+    return {"items": finished(items, len(trees)), "main": sorted(p for p, n in votes.items() if 2 * n >= len(trees))}
+
+
+def lean(items: list[dict]) -> list[dict]:
+    """What reading needs: where no template text is below, no items are."""
+    kept = [{**i, "c": lean(i["c"])} for i in items]
+    return kept if any(i["c"] or i.get("t") is not None for i in kept) else []
+
+
+def place_of(path: str, text: str = "") -> int:
+    return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def places(items: list[dict], path: str = "") -> dict[int, int]:
+    """Numbers of elements and texts at their paths, each with the number of what it is in."""
+    around = place_of(path)
+    found: dict[int, int] = {} if path else {around: around}
+    for item in items:
+        if item["k"][0] == "(":
+            found.update(places(item["c"], path))
+            continue
+        below = f"{path}>{item['k']}"
+        place = place_of(below)
+        found[place] = around
+        if item["k"] == "#text":
+            found.update((place_of(below, t), place) for t in item["ts"])
+        else:
+            found.update(places(item["c"], below))
+    return found
+
+
+def only_known(items: list[dict], known: set[int], path: str = "") -> list[dict]:
+    """Items without the elements and texts that are not ``known`` at their paths. Where a page has one, reading goes on behind it."""
+    done = []
+    for item in items:
+        below = f"{path}>{item['k']}"
+        if item["k"][0] == "(":
+            inner = only_known(item["c"], known, path)
+            if item["k"] == "(*)" and inner:
+                done.append({**item, "c": inner})
+            elif len(inner) > 1:
+                done.append({**_group(inner, item["r"]), "n": item["n"]})
+            else:
+                done += [{**i, "r": True} for i in inner]
+        elif place_of(below) in known:
+            if item["k"] == "#text":
+                done.append({**item, "ts": {t: n for t, n in item["ts"].items() if place_of(below, t) in known}})
+            else:
+                done.append({**item, "c": only_known(item["c"], known, below)})
+    return fold(done)
+
+
+def times(items: list[dict], n: int) -> list[dict]:
+    """The items of ``n`` times the pages."""
+    if n == 1:
+        return items
+    return [{**i, "n": n * i["n"], "c": times(i["c"], n), **({"ts": {t: n * m for t, m in i["ts"].items()}} if "ts" in i else {})} for i in items]
 
 
 # -- extraction
@@ -339,11 +454,10 @@ def extract(html: str | None, wrapper: dict | None) -> str:
 
 
 def _main_part(root: Node, wrapper: dict | None) -> str:
-    literal = bool(wrapper) and wrapper["pages"] >= LEAST_PAGES
     for paths in ([set(wrapper["main"])] if wrapper and wrapper["main"] else []) + [None]:
         paths = set(main_paths(root)) if paths is None else paths
         kept: list[tuple[str, bool]] = []
-        _read(root, root.key, wrapper["items"] if wrapper else [], paths, root.key in paths, literal, kept)
+        _read(root, root.key, wrapper["items"] if wrapper else [], paths, root.key in paths, kept)
         # Pages that are copies of each other are no template: words are left out only where they are the smaller part.
         own, fixed = (sum(len(t) for t, is_fixed in kept if is_fixed is f) for f in (False, True))
         text = "".join(t for t, is_fixed in kept if not (is_fixed and fixed < own))
@@ -352,7 +466,7 @@ def _main_part(root: Node, wrapper: dict | None) -> str:
     return ""
 
 
-def _read(node: Node, path: str, items: list[dict], paths: set[str], inside: bool, literal: bool, kept: list) -> None:
+def _read(node: Node, path: str, items: list[dict], paths: set[str], inside: bool, kept: list) -> None:
     at = 0
     for child in node.children:
         is_text = isinstance(child, str)
@@ -360,7 +474,7 @@ def _read(node: Node, path: str, items: list[dict], paths: set[str], inside: boo
         if is_text:
             if inside:
                 decoded = entities.unescape(child)
-                fixed = literal and item is not None and not item["o"] and item["t"] is not None and " ".join(decoded.split()) == item["t"]
+                fixed = item is not None and item["t"] is not None and mark(" ".join(decoded.split())) == item["t"]
                 kept.append((decoded, fixed))
             continue
         if child.out:
@@ -370,7 +484,7 @@ def _read(node: Node, path: str, items: list[dict], paths: set[str], inside: boo
         block = child.name not in INLINE
         if block:
             kept.append((" ", False))
-        _read(child, below, item["c"] if item else [], paths, inside or below in paths, literal, kept)
+        _read(child, below, item["c"] if item else [], paths, inside or below in paths, kept)
         if block:
             kept.append((" ", False))
 
@@ -394,32 +508,106 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def wrappers(pages: DataFrame, url: str = "url", html: str = "html", sample: int = SAMPLE_PAGES) -> DataFrame:
-    """``(host, wrapper)``: a wrapper as JSON per host, from up to ``sample`` of its pages, drawn by a hash of the page.
+def page_items(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(host, h, items, main, places)``: each distinct page of a host, by a hash of it, as items in JSON."""
+    page = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host IS NOT NULL AND html IS NOT NULL")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("around", pa.int64()), ("place", pa.int64())]))
+        for batch in (part for whole in batches for part in slices(whole)):
+            items, main, at = [], [], []
+            for text in batch.column(2).to_pylist():
+                tree = parse(text)
+                found = items_of(tree)
+                items.append(_dumps(found))
+                main.append(main_paths(tree))
+                at.append([{"around": around, "place": place} for place, around in places(found).items()])
+            columns = [batch.column(0), batch.column(1), pa.array(items, pa.string()), pa.array(main, pa.list_(pa.string())), pa.array(at, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "h", "items", "main", "places"])
+
+    read = page.select("host", F.xxhash64("html").alias("h"), "html").mapInArrow(
+        run, "host string, h bigint, items string, main array<string>, places array<struct<around: bigint, place: bigint>>"
+    )
+    return read.dropDuplicates(["host", "h"])
+
+
+def _dumps(items: list[dict]) -> str:
+    return json.dumps(items, ensure_ascii=True, separators=(",", ":"))
+
+
+def _recurring(read: DataFrame) -> DataFrame:
+    """``(host, known)``: numbers of the elements and texts that are on enough of the host's pages that have what is around them."""
+    seen = read.select("host", F.explode("places").alias("at")).groupBy("host", "at.around", "at.place").agg(F.count("*").alias("n"))
+    seen = materialise(seen.where(f"n >= {LEAST_PAGES}"), "places")
+    having = seen.select("host", F.col("place").alias("around"), F.col("n").alias("pages"))
+    return seen.join(having, ["host", "around"]).where(f"{SHARE} * n >= pages").groupBy("host").agg(F.collect_set("place").alias("known"))
+
+
+def _shapes(read: DataFrame) -> DataFrame:
+    """``(host, items, n)``: pages without the elements and texts that are no template, equal ones once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole)):
+            items = [_dumps(only_known(json.loads(i), set(k or ()))) for i, k in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.string())], names=["host", "items"])
+
+    known = materialise(_recurring(read), "known")
+    cut = read.select("host", "items").join(known, "host", "left").select("host", "items", "known").mapInArrow(run, "host string, items string")
+    return cut.groupBy("host", "items").agg(F.count("*").alias("n"))
 
-    Map-side, a task keeps at most ``sample`` pages per host, so a host with very many pages costs no more than others.
+
+def _aligned(shapes: DataFrame) -> DataFrame:
+    """``(host, items, n)``, one row per host: groups of ``GROUP`` are aligned in a task, then their results likewise.
+
+    Groups and their order depend on the items alone, not on how the rows are dealt. Only the largest count goes to the driver.
     """
-    page = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host IS NOT NULL AND html IS NOT NULL")
-    page = page.withColumn("h", F.xxhash64("html"))
-    drawn = page.groupBy("host", F.pmod("h", F.lit(sample)).alias("slot")).agg(F.min_by("html", "h").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, held = None, []
-        for batch in batches:
-            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if h != host and held:
-                    yield _row(host, held)
-                    held = []
-                host = h
-                held.append(text)
-        if held:
-            yield _row(host, held)
+        at, items = None, []
+        for batch in (part for whole in batches for part in slices(whole)):
+            for host, deal, found, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = times(json.loads(found), n)
+                if (host, deal) != at:
+                    if at is not None:
+                        yield _row(at[0], items)
+                    at, items = (host, deal), found
+                else:
+                    items = merge(items, found)
+        if at is not None:
+            yield _row(at[0], items)
 
-    return drawn.select("host", "html").repartition("host").sortWithinPartitions("host", "html").mapInArrow(run, "host string, wrapper string")
+    while True:
+        shapes = materialise(shapes, "shapes")
+        sizes = shapes.groupBy("host").agg(F.count("*").alias("shapes"), F.max("n").alias("n"))
+        if (sizes.agg(F.max(F.greatest("shapes", "n"))).first()[0] or 0) <= 1:
+            return shapes
+        dealt = shapes.join(sizes.select("host", "shapes"), "host")
+        dealt = dealt.select("host", F.pmod(F.xxhash64("items"), F.ceil(F.col("shapes") / GROUP)).alias("deal"), "items", "n")
+        ordered = dealt.repartition("host", "deal").sortWithinPartitions("host", "deal", "items", "n")
+        shapes = ordered.mapInArrow(run, "host string, items string, n bigint")
 
 
-def _row(host: str, pages: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([host]), pa.array([json.dumps(induce(pages), ensure_ascii=False)])], names=["host", "wrapper"])
+def _row(host: str, items: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([host]), pa.array([_dumps(items)]), pa.array([1], pa.int64())], names=["host", "items", "n"])
+
+
+def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(host, wrapper)``: a wrapper as JSON per host, from all its distinct pages, without the parts that reading does not need."""
+    read = materialise(page_items(pages, url, html), "page_items")
+    total = read.groupBy("host").agg(F.count("*").alias("pages"))
+    votes = read.select("host", F.explode("main").alias("path")).groupBy("host", "path").agg(F.count("*").alias("n"))
+    main = votes.join(total, "host").where("2 * n >= pages").groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("main"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [
+                json.dumps({"items": lean(finished(json.loads(items), pages)), "main": main or []}, ensure_ascii=False)
+                for items, pages, main in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["host", "wrapper"])
+
+    whole = _aligned(_shapes(read)).join(total, "host").join(main, "host", "left").select("host", "items", "pages", "main")
+    return whole.mapInArrow(run, "host string, wrapper string")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

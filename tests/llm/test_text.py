@@ -354,6 +354,45 @@ def test_a_page_without_main_text_is_empty():
         assert html_wrappers.extract(f"<html><body>{beside}</body></html>", None) == ""
 
 
+def varied_pages(count):
+    rng = random.Random(5)
+    rows, wanted = [], {}
+    for n in range(count):
+        share = "<div>Share this story</div>" if n % 10 < 7 else "" if n % 10 < 9 else f"<div>Told by reader {n}</div>"
+        note = f"<section><i>Note {n * n}</i></section>" if n % 8 == 0 else ""
+        ask = "<div class=ask><b>Ask us</b></div>" if n % 5 == 0 else ""
+        inner = "".join(rng.choice(["x{0} ", "<b>b{0}</b> ", "<br>", "<i>i{0}</i> ", "<code>c{0}</code> "]).format(rng.randint(1, 10**6)) for _ in range(rng.randint(1, 9)))
+        body = f"{share}<h1>Title {n}</h1>{note}<p id=slug-{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10 % 10]}>Words of page {n} as told by {n * 7}, at length.</p>{ask}<p>{inner}</p>"
+        rows.append((n, "http://hot.example/", f"<html><body><nav>Home</nav><article>{body}</article></body></html>"))
+        kept = body.replace("<div>Share this story</div>", "").replace("<div class=ask><b>Ask us</b></div>", "")
+        wanted[n] = " ".join(re.sub(r"<(?!/?[bi]>|/?code>)[^>]*>", " ", kept).replace("<b>", "").replace("</b>", "").replace("<i>", "").replace("</i>", "").replace("<code>", "").replace("</code>", "").split())
+    return rows, wanted
+
+
+def test_wrappers_come_from_all_pages(spark):
+    rows, wanted = varied_pages(300)
+    rows += [(n + 1000, url, html) for n, url, html in rows[:5] * 3]
+    wanted |= {n + 1000: wanted[n] for n in range(5)}
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    made = [html_wrappers.wrappers(df.repartition(n)).collect() for n in (1, 7)]
+    assert made[0] == made[1] and len(made[0]) == 1 and len(made[0][0].wrapper) < 10_000
+    got = {r.page_id: r.text for r in html_wrappers.main_text(df).collect()}
+    assert got == wanted
+    whole = html_wrappers.induce([html for _, _, html in rows])
+    assert {n: html_wrappers.extract(html, whole) for n, _, html in rows} == wanted
+
+
+def test_very_many_kinds_of_parts_are_aligned_in_any_order():
+    def many(n):
+        parts = [f"<h2 class={'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}>Part {i}</h2>" for i in range(100)]
+        random.Random(n).shuffle(parts)
+        return f"<html><body><article>{''.join(parts)}<p>{'Body of page ' * 200}{n}</p></article></body></html>"
+
+    wrapper = html_wrappers.induce([many(n) for n in range(40)])
+    assert html_wrappers.extract(many(77), wrapper) == "Body of page " * 200 + "77"
+    assert len(str(wrapper)) < 20_000
+
+
 def test_pages_of_odd_rows(spark):
     deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
     rows = [(1, "http://h.example/x", page("<p>one two</p>", 1)), (1, "http://h.example/x", page("<p>one two</p>", 1)), (2, None, "<p>no host</p>"),
