@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from smeltworks.llm.common import short_batches, slices
 from smeltworks.sources.scratch import materialise
 
-# Distinct pages of a host from which on an element or a text may be template, and their share, one in so many, of the distinct
-# pages that have what is around it. This bounds a wrapper, however many pages it is made from.
+# Distinct pages of a host from which on an element or a text may be template, and their share, one in so many, of all of the host's.
+# So a wrapper has at most this many times the parts of a page, however many pages it is made from.
 LEAST_PAGES = 3
 SHARE = 100
 # Wrappers that are aligned one after the other, and parts in a row from which on their order is given up.
@@ -361,14 +361,17 @@ def main_paths(root: Node) -> list[str]:
     return [min(named, key=len)] if named else [best_path]
 
 
-def finished(items: list[dict], pages: int) -> list[dict]:
-    """Items with the template texts: those of more than half of the ``pages`` that have the element around them, and of enough."""
-    done = []
+def finished(items: list[dict], pages: int, around: int | None = None) -> list[dict]:
+    """Items that are on enough of the host's ``pages``, with the template texts: those of more than half of the pages that have
+    the element around them, and of enough."""
+    done, around = [], pages if around is None else around
     for i in items:
-        item = {"k": i["k"], "o": i["o"], "r": i["r"], "c": finished(i["c"], pages if i["k"][0] == "(" else i["n"])}
+        if SHARE * i["n"] < pages:
+            continue
+        item = {"k": i["k"], "o": i["o"], "r": i["r"], "c": finished(i["c"], pages, around if i["k"][0] == "(" else i["n"])}
         if i["k"] == "#text":
             best = max(i["ts"].items(), key=lambda t: (t[1], t[0]), default=(None, 0))
-            item["t"] = best[0] if best[1] >= LEAST_PAGES and 2 * best[1] > pages else None
+            item["t"] = best[0] if best[1] >= LEAST_PAGES and 2 * best[1] > around else None
         done.append(item)
     return done
 
@@ -393,21 +396,19 @@ def place_of(path: str, text: str = "") -> int:
     return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def places(items: list[dict], path: str = "") -> dict[int, int]:
-    """Numbers of elements and texts at their paths, each with the number of what it is in."""
-    around = place_of(path)
-    found: dict[int, int] = {} if path else {around: around}
+def places(items: list[dict], path: str = "") -> set[int]:
+    """Numbers of elements and texts at their paths."""
+    found: set[int] = set()
     for item in items:
         if item["k"][0] == "(":
-            found.update(places(item["c"], path))
+            found |= places(item["c"], path)
             continue
         below = f"{path}>{item['k']}"
-        place = place_of(below)
-        found[place] = around
+        found.add(place_of(below))
         if item["k"] == "#text":
-            found.update((place_of(below, t), place) for t in item["ts"])
+            found.update(place_of(below, t) for t in item["ts"])
         else:
-            found.update(places(item["c"], below))
+            found |= places(item["c"], below)
     return found
 
 
@@ -513,7 +514,6 @@ def page_items(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     page = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host IS NOT NULL AND html IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("around", pa.int64()), ("place", pa.int64())]))
         for batch in (part for whole in batches for part in slices(whole)):
             items, main, at = [], [], []
             for text in batch.column(2).to_pylist():
@@ -521,12 +521,12 @@ def page_items(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
                 found = items_of(tree)
                 items.append(_dumps(found))
                 main.append(main_paths(tree))
-                at.append([{"around": around, "place": place} for place, around in places(found).items()])
-            columns = [batch.column(0), batch.column(1), pa.array(items, pa.string()), pa.array(main, pa.list_(pa.string())), pa.array(at, kind)]
+                at.append(sorted(places(found)))
+            columns = [batch.column(0), batch.column(1), pa.array(items, pa.string()), pa.array(main, pa.list_(pa.string())), pa.array(at, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["host", "h", "items", "main", "places"])
 
     read = page.select("host", F.xxhash64("html").alias("h"), "html").mapInArrow(
-        run, "host string, h bigint, items string, main array<string>, places array<struct<around: bigint, place: bigint>>"
+        run, "host string, h bigint, items string, main array<string>, places array<bigint>"
     )
     return read.dropDuplicates(["host", "h"])
 
@@ -536,11 +536,10 @@ def _dumps(items: list[dict]) -> str:
 
 
 def _recurring(read: DataFrame) -> DataFrame:
-    """``(host, known)``: numbers of the elements and texts that are on enough of the host's pages that have what is around them."""
-    seen = read.select("host", F.explode("places").alias("at")).groupBy("host", "at.around", "at.place").agg(F.count("*").alias("n"))
-    seen = materialise(seen.where(f"n >= {LEAST_PAGES}"), "places")
-    having = seen.select("host", F.col("place").alias("around"), F.col("n").alias("pages"))
-    return seen.join(having, ["host", "around"]).where(f"{SHARE} * n >= pages").groupBy("host").agg(F.collect_set("place").alias("known"))
+    """``(host, known)``: numbers of the elements and texts that are on enough of the host's pages."""
+    total = read.groupBy("host").agg(F.count("*").alias("pages"))
+    seen = read.select("host", F.explode("places").alias("place")).groupBy("host", "place").agg(F.count("*").alias("n")).where(f"n >= {LEAST_PAGES}")
+    return seen.join(total, "host").where(f"{SHARE} * n >= pages").groupBy("host").agg(F.collect_list("place").alias("known"))
 
 
 def _shapes(read: DataFrame) -> DataFrame:

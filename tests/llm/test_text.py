@@ -382,6 +382,12 @@ def test_wrappers_come_from_all_pages(spark):
     assert {n: html_wrappers.extract(html, whole) for n, _, html in rows} == wanted
 
 
+def test_parts_of_too_few_pages_leave_the_wrapper():
+    pages = [f"<body><article>{'<section>x</section>' if n < 2 else '<aside>y</aside>' if n < 5 else ''}<p>{n}</p></article></body>" for n in range(300)]
+    found = str(html_wrappers.induce(pages))
+    assert "section" not in found and "aside" in found
+
+
 def test_very_many_kinds_of_parts_are_aligned_in_any_order():
     def many(n):
         parts = [f"<h2 class={'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}>Part {i}</h2>" for i in range(100)]
