@@ -481,3 +481,42 @@ def test_a_first_load_is_split_by_its_rows(spark, make, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [len(names) > 1 for names in files(table).values()] == [True] and len(content(table)) == 1000
+
+
+def test_checked_rows_are_merged_only_with_stored_ones(spark, make, monkeypatch):
+    table, merges, merge = make(SPEC), [], loads._merge
+    monkeypatch.setattr(loads, "_merge", lambda *args: merges.append(args) or merge(*args))
+    rows = things(spark, [(i, "a", i, 1) for i in range(20)]).selectExpr("*", "n * 2 AS double_n", "current_timestamp() AS loaded")
+    first = loads.upsert(table, rows, checked=True)
+    assert (first.processed, first.inserted, first.updated) == (20, 20, 0) and not merges
+    again = loads.upsert(table, rows.withColumn("name", F.lit("b")), checked=True)
+    assert (again.processed, again.inserted, again.updated) == (20, 0, 20) and len(merges) == 1
+    assert content(table) == [(i, "b", i, 2 * i) for i in range(20)]
+    # The merge still refuses a key that comes twice.
+    with pytest.raises(Exception, match="more than one row for one key"):
+        loads.upsert(table, rows.unionByName(rows), checked=True)
+
+
+def test_a_batch_of_one_folder_is_not_sorted(spark, make):
+    table = make(TableSpec("lone_batch", columns("_id bigint\nn int\n_batch_id string"), partition={"_batch_id": "_batch_id"}))
+    rows = spark.range(5).selectExpr("cast(id AS int) AS n", "'b1' AS _batch_id")
+    assert loads.append_batch(table, rows, "b1").inserted == 5 and table.folders() == {("b1",)}
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [p for p in (runs.apply(i).physicalPlanDescription() for i in range(runs.size())) if "lone_batch" in p and "WriteFiles" in p]
+    assert plans and not any("Sort" in p for p in plans)
+
+
+def test_intermediate_tables_and_shuffles_go_with_their_scope(spark):
+    from smeltworks.sources.scratch import _SHUFFLES_GO, materialise, scratch_scope
+
+    def there(df):
+        place = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    with scratch_scope(spark):
+        outer = materialise(spark.range(3))
+        with scratch_scope(spark):
+            inner = materialise(spark.range(3))
+            assert there(inner) and spark.conf.get(_SHUFFLES_GO) == "true"
+        assert there(outer) and not there(inner) and spark.conf.get(_SHUFFLES_GO) == "true"
+    assert not there(outer) and spark.conf.get(_SHUFFLES_GO) == "false"
