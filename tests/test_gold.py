@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from samples import money, silver_items, silver_orders
 
 from smeltworks.plans import analytics, gold
+from smeltworks.sources.scratch import materialise
 
 D1, D2 = "2021-01-01", "2021-01-02"
 
@@ -214,3 +215,26 @@ def test_items_are_dealt_before_they_are_summed_per_product(spark, capsys):
     capsys.readouterr()
     got.explain()
     assert "REPARTITION_BY_COL" in capsys.readouterr().out
+
+
+def test_facts_that_know_what_earns_need_no_orders(spark, rows, capsys):
+    orders = silver_orders(spark, [(1, 1, "2021-01-02", "completed", "5"), (2, 1, "2021-01-09", "cancelled", "7"), (3, 2, "2021-02-01", "shipped", "7")])
+    items = silver_items(spark, [(1, 1, 2, "3", "6"), (1, 1, 1, "3", "3"), (1, 2, 1, "4", "4"), (2, 1, 5, "3", "15"), (3, 2, 1, "4", "4"), (9, 1, 1, "3", "3")])
+    products = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "y")], "product_id int, product_name string, category string").selectExpr("*", "cast(1 AS decimal(10,2)) AS cost")
+    facts = gold.order_facts(orders, items)
+    assert rows(facts, "order_id", "product_id", "earns", "n_items") == [(1, 1, True, 2), (1, 2, True, 1), (2, 1, False, 1), (3, 2, True, 1)]
+    known = items.where("order_id <> 9")
+    for sums in (gold.product_totals, gold.category_revenue):
+        assert rows(sums(products, facts, orders)) == rows(sums(products, known, orders))
+        sums(products, materialise(facts), orders).explain()
+        assert capsys.readouterr().out.count("Join") == 1
+
+
+def test_facts_of_an_order_with_very_many_items_are_split(spark, rows, monkeypatch):
+    from smeltworks.operators.skew import hot_keys
+
+    orders = silver_orders(spark, [(1, 1, "2021-01-02", "completed", "5"), (2, 1, "2021-01-09", "cancelled", "7")])
+    items = silver_items(spark, [(1 if n % 9 else 2, n % 3, 1, "3", "6") for n in range(90)])
+    plain = rows(gold.order_facts(orders, items))
+    monkeypatch.setattr("smeltworks.operators.skew.hot_keys", lambda df, keys: hot_keys(df, keys, hot_rows=5))
+    assert rows(gold.order_facts(orders, items)) == plain
