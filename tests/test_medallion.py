@@ -1,9 +1,10 @@
+import collections
 import datetime
 
 import pytest
 from samples import bronze, customer, item, order, product, uid
 
-from smeltworks.operators.constraints import ConstraintViolation
+from smeltworks.operators.constraints import ConstraintViolation, conform
 from smeltworks.plans import medallion
 from smeltworks.plans.incremental import load_facts
 from smeltworks.schemas import GOLD, SILVER
@@ -251,3 +252,25 @@ def test_rows_with_parents_are_sorted_and_joined_once_per_load(house, monkeypatc
     fill(house, "b2", orders=[order(4), order(5, customer_id=uid(9, "c"))])
     medallion.load_silver_increment(house, "orders", datetime.timedelta(0))
     assert len(calls) == 2 and house.silver("orders").read().count() == 3 and house.waiting("orders").read().count() == 2
+
+
+def test_facts_of_an_older_version_are_told_apart(house):
+    facts = house.gold("order_facts")
+    assert medallion._facts_complete(house)
+    old = house.spark.createDataFrame([], facts.full_schema).drop("earns")
+    old.unionByName(house.spark.sql("SELECT 'o' AS order_id, '2021-01' AS _month"), allowMissingColumns=True).write.partitionBy("_month").parquet(facts.path)
+    assert not medallion._facts_complete(house)
+
+
+def test_every_orphan_is_counted(house, rows):
+    def store(name, keys):
+        table = house.silver(name)
+        known = house.spark.createDataFrame(keys, ", ".join(f"{c} string" for c in list(keys[0]._fields)))
+        table.append(table.with_partition(conform(known, table.spec)))
+
+    row = collections.namedtuple("row", "order_item_id order_id product_id")
+    store("order_items", [row("1", "a", "p"), row("2", "b", "p"), row("3", "b", "q"), row("4", None, "p")])
+    store("orders", [collections.namedtuple("row", "order_id customer_id")("a", "c")])
+    report = {(r.table_name, r.rule): r.failing_rows for r in medallion.quality_report(house).collect()}
+    assert report["order_items", "order_id is known"] == 3 and report["order_items", "product_id is known"] == 4
+    assert report["orders", "customer_id is known"] == 1

@@ -182,3 +182,15 @@ def test_stored_latest_rows_give_clean_and_waiting_ones(spark, customers, rows):
     shown = ["order_id", "customer_id", "status", "total_amount", "order_date"]
     assert rows(silver.clean_latest("orders", latest), *shown) == rows(silver.clean_orders(raw, customers), *shown)
     assert rows(silver.waiting(latest), "order_id", "_id") == [(uid(2), 3)]
+
+
+def test_stored_latest_rows_are_typed_once(spark, customers, capsys):
+    from smeltworks.sources.scratch import materialise
+
+    raw = bronze(spark, "raw_orders", [order(1), order(2, customer_id=uid(9, "c"), total_amount="x1")])
+    latest = materialise(silver.latest_known("orders", raw, {"customers": customers}))
+    silver.clean_latest("orders", latest).explain()
+    assert "RLIKE" not in capsys.readouterr().out
+    # The rows that wait are as they came.
+    assert [(r.order_id, r.total_amount) for r in silver.waiting(latest).collect()] == [(uid(2), "x1")]
+    assert silver.waiting(latest).columns == raw.columns
